@@ -1,0 +1,103 @@
+"""Keyed tables that streaming jobs maintain in ``foreachBatch``, one parquet folder per batch.
+
+A batch replaces its own folder, so a replayed batch changes nothing. Reading merges the folders:
+counts are summed, sets united, or the newest row of a key wins. Every ``fold_every`` batches the
+merged rows are written once as a base, so a read touches one base and fewer than ``fold_every``
+batches. Which base is valid follows from the batch number alone, because micro-batches run one
+after another from 0. Older folders are never read again by batch number and may be removed.
+
+A table belongs to one checkpoint: starting over with a new checkpoint needs a new ``root``.
+"""
+
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+VERSION = "version"
+
+
+def summed(keys: Sequence[str], value: str = "n") -> Callable[[DataFrame], DataFrame]:
+    """Merge by adding up ``value``."""
+    return lambda rows: rows.groupBy(*keys).agg(F.sum(value).alias(value))
+
+
+def united(rows: DataFrame) -> DataFrame:
+    """Merge as a set."""
+    return rows.drop(VERSION).distinct()
+
+
+def newest(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """Merge by keeping the row of the highest batch for each key."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        values = [c for c in rows.columns if c not in (*keys, VERSION)]
+        last = F.max_by(F.struct(*values, VERSION), VERSION).alias("last")
+        return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
+
+    return merge
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """Rows of ``schema`` under ``root``, merged by ``merge`` and split by ``partition_by``."""
+
+    root: str
+    schema: T.StructType
+    merge: Callable[[DataFrame], DataFrame]
+    partition_by: tuple[str, ...] = ()
+    fold_every: int = 64
+
+    @property
+    def _stored(self) -> T.StructType:
+        """The schema as written: columns, then the version, then the partition columns."""
+        data = [f for f in self.schema.fields if f.name not in self.partition_by]
+        parts = [f for f in self.schema.fields if f.name in self.partition_by]
+        return T.StructType([*data, T.StructField(VERSION, T.LongType()), *parts])
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self._stored.fields])
+        # Few files per batch: adaptive execution joins small partitions and splits big ones.
+        rows = rows.hint("rebalance", *self.partition_by)
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(folder)
+
+    def _load(self, spark: SparkSession, kind: str, folders: Sequence[str]) -> DataFrame:
+        base = f"{self.root}/{kind}"
+        rows = spark.read.schema(self._stored).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders])
+        return rows.select(*self._stored.fieldNames())
+
+    def put(self, rows: DataFrame, batch_id: int) -> None:
+        """Write what ``batch_id`` adds, in place of an earlier try. Every batch has to be put."""
+        if batch_id and batch_id % self.fold_every == 0:
+            merged = self.merge(self._rows_as_of(rows.sparkSession, batch_id - 1))
+            if VERSION not in merged.columns:
+                merged = merged.withColumn(VERSION, F.lit(batch_id - 1))
+            self._write(merged, f"{self.root}/base/upto={batch_id - 1}")
+        self._write(rows.withColumn(VERSION, F.lit(batch_id)), f"{self.root}/delta/batch_id={batch_id}")
+
+    def added(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows one batch has put."""
+        return self._load(spark, "delta", [f"batch_id={batch_id}"]).select(*self.schema.fieldNames())
+
+    def as_of(self, spark: SparkSession, batch_id: int, only: DataFrame | None = None) -> DataFrame:
+        """The merged table after ``batch_id``; with ``only``, just the keys listed there."""
+        rows = self._rows_as_of(spark, batch_id)
+        if only is not None:
+            rows = rows.join(only, only.columns, "left_semi")
+        return self.merge(rows).select(*self.schema.fieldNames())
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The merged table over every batch folder, for readers outside the job."""
+        rows = spark.read.schema(self._stored).parquet(f"{self.root}/delta")
+        return self.merge(rows.select(*self._stored.fieldNames())).select(*self.schema.fieldNames())
+
+    def _rows_as_of(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        if batch_id < 0:
+            return spark.createDataFrame([], self._stored)
+        first = batch_id // self.fold_every * self.fold_every
+        rows = self._load(spark, "delta", [f"batch_id={n}" for n in range(first, batch_id + 1)])
+        if first:
+            rows = rows.unionByName(self._load(spark, "base", [f"upto={first - 1}"]))
+        return rows
