@@ -41,7 +41,7 @@ def drop_banned(clicks: DataFrame, banned: DataFrame) -> DataFrame:
     of this join. Spark broadcasts the bans if their measured size allows it; otherwise both sides
     are shuffled and adaptive execution splits a hot user's rows.
     """
-    return clicks.join(banned.select("user_id"), "user_id", "left_anti")
+    return clicks.join(banned.select("user_id"), "user_id", "left_anti").select(*clicks.columns)
 
 
 def banned_users(clicks: DataFrame, threshold: int = 100, initial: DataFrame | None = None) -> DataFrame:
@@ -66,7 +66,7 @@ def clicks_until_ban(clicks: DataFrame, threshold: int = 100, tie: str = "event_
         .agg(F.min(F.struct("ts", tie)).alias("_ban"))
     )
     kept = F.col("_ban").isNull() | (F.struct("ts", tie) <= F.col("_ban"))
-    return clicks.join(bans, "user_id", "left").filter(kept).drop("_ban")
+    return clicks.join(bans, "user_id", "left").filter(kept).select(*clicks.columns)
 
 
 def bucket_label(start: Column) -> Column:

@@ -7,7 +7,7 @@ in slices of one second; only the first row of each slice takes part in the step
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions.times import text_to_epoch_ms
@@ -15,8 +15,9 @@ from shoptrail.functions.times import text_to_epoch_ms
 HOT_ROWS = 1_000_000
 
 # Sessions are spread over _PARTS frequency sketches, and at most _TOP of each can be called hot,
-# so the list of hot sessions has at most _PARTS * _TOP rows whatever the table holds.
-_PARTS, _TOP, _TRACKED = 256, 32, 256
+# so the list of hot sessions has at most _PARTS * _TOP rows whatever the table holds. More than
+# 128 groups per task would make Spark sort the actions instead of filling sketches.
+_PARTS, _TOP, _TRACKED = 64, 64, 256
 
 
 def hot_sessions(actions: DataFrame, session: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -45,36 +46,39 @@ def _lead(rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: Se
     )
 
 
-def _lead_in_slices(
-    rows: DataFrame, keys: Sequence[str], slices: Sequence[Column], order: Sequence[str], values: Sequence[str]
+def _across_slices(
+    rows: DataFrame, keys: Sequence[str], slices: Sequence[str], order: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """``_lead`` over ``keys`` where ``slices``, coarse to fine, cut a group along its order.
+    """Follow the last row of each slice by the first row of the next slice of the same ``keys``.
 
-    Inside a slice rows are followed directly. The last row of a slice is followed by the first row
-    of the group's next slice, which the same step finds one level up, among first rows only.
+    ``slices`` name columns that cut ``keys`` along ``order``, coarse to fine. Each slice is reduced
+    to its first row before any window runs, and the first rows are followed the same way one level
+    up, so no window sees more rows than the slices of one level. The result has one row per finest
+    slice: ``_after_<value>`` and ``_after``.
     """
-    if not slices:
-        return _lead(rows, keys, order, values)
-    level = f"_slice{len(slices)}"
-    sliced = rows.withColumn(level, slices[-1])
-    inside = _lead(sliced, [*keys, level], order, values)
+    *coarse, fine = slices
     columns = list(dict.fromkeys([*order, *values]))
     first = F.min(F.struct(*columns)).alias("first")
-    heads = sliced.groupBy(*keys, level).agg(first).select(*keys, level, "first.*")
-    across = _lead_in_slices(heads, keys, slices[:-1], order, values).select(
+    heads = rows.groupBy(*keys, *coarse, fine).agg(first).select(*keys, *coarse, fine, "first.*")
+    inside = _lead(heads, [*keys, *coarse[-1:]], order, values)
+    if coarse:
+        inside = _step_across(inside, _across_slices(heads, keys, coarse, order, values), [*keys, coarse[-1]], values)
+    return inside.select(
         *keys,
-        level,
+        fine,
         *[F.col(f"next_{v}").alias(f"_after_{v}") for v in values],
         F.col("has_next").alias("_after"),
     )
-    joined = inside.join(across, [*keys, level])
-    return joined.select(
-        *rows.columns,
-        *[
-            F.when(F.col("has_next"), F.col(f"next_{v}")).otherwise(F.col(f"_after_{v}")).alias(f"next_{v}")
-            for v in values
-        ],
-        (F.col("has_next") | F.col("_after")).alias("has_next"),
+
+
+def _step_across(inside: DataFrame, across: DataFrame, on: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Give rows without a successor in their slice the one that ``across`` holds for the slice."""
+    columns = [c for c in inside.columns if c != "has_next" and c not in {f"next_{v}" for v in values}]
+    has_next = F.col("has_next")
+    return inside.join(across.select(*on, *[c for c in across.columns if c.startswith("_after")]), [*on], "left").select(
+        *columns,
+        *[F.when(has_next, F.col(f"next_{v}")).otherwise(F.col(f"_after_{v}")).alias(f"next_{v}") for v in values],
+        (has_next | F.coalesce("_after", F.lit(False))).alias("has_next"),
     )
 
 
@@ -91,25 +95,28 @@ def with_next_action(
     Actions follow by ``time`` as text and by ``ties`` among equal times. A table without an id can
     name the columns it reads, for instance ``ties=["page_id"]``: rows equal in all of them are
     interchangeable. ``hot_rows=None`` skips the search for hot sessions.
+
+    The actions are shuffled once, by session and slice; all of a usual session is one slice. Where
+    no session is hot, the step across slices has no input and adaptive execution leaves it out.
     """
     order = [time, *ties]
     if hot_rows is None:
         return _lead(actions, [session], order, values)
 
-    hot = F.broadcast(hot_sessions(actions, session, hot_rows))
-    same = F.col(session).eqNullSafe(F.col("hot_id"))
-    plain = _lead(actions.join(hot, same, "left_anti"), [session], order, values)
-
-    # Null ids make up one session too; as two plain columns they can be join keys.
-    rows = actions.join(hot, same, "left_semi").select(
-        "*",
-        F.coalesce(session, F.lit("")).alias("_session"),
-        F.col(session).isNull().alias("_no_session"),
-    )
+    hot = F.broadcast(hot_sessions(actions, session, hot_rows).withColumn("_hot", F.lit(True)))
+    # Actions without a session id make up one session too. Their slices bear a mark, so that a
+    # plain equality of session and slice can tell them from the empty id.
     second = F.coalesce(time, F.lit(""))
-    day = F.substring(second, 1, 10)
-    sliced = _lead_in_slices(rows, ["_session", "_no_session"], [day, second], order, values)
-    return plain.unionByName(sliced.drop("_session", "_no_session"))
+    marked = (
+        actions.join(hot, F.col(session).eqNullSafe(F.col("hot_id")), "left")
+        .withColumn("_session", F.coalesce(session, F.lit("")))
+        .withColumn("_mark", F.when(F.col(session).isNull(), "-").otherwise(""))
+        .withColumn("_slice", F.concat("_mark", F.when(F.col("_hot"), second).otherwise("")))
+        .withColumn("_day", F.substring(second, 1, 10))
+    )
+    across = _across_slices(marked.filter("_hot"), ["_session", "_mark"], ["_day", "_slice"], order, values)
+    inside = _lead(marked.select(*actions.columns, "_session", "_slice"), ["_session", "_slice"], order, values)
+    return _step_across(inside, across, ["_session", "_slice"], values).drop("_session", "_slice")
 
 
 def page_pairs(followed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
