@@ -4,49 +4,32 @@ The event log holds ``event_id, ts, user_id, event_type, props``; the number ``k
 stands for the page, category or ad. These views feed the queries where no shop log is at hand.
 """
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from shoptrail.schemas import USER_VISIT_ACTION
-from shoptrail.sources.tables import typed
-
-
-def _k() -> Column:
-    return F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+_K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k"
+_DAY = "CAST(CAST(ts AS DATE) AS STRING) AS date"
 
 
 def visit_actions(events: DataFrame) -> DataFrame:
     """``user_visit_action`` rows, one per event, with ``event_id`` as the tie-break of equal times."""
-    kind, k = F.col("event_type"), F.col("k")
-
-    def category(factor: int, shift: int = 0) -> Column:
-        return ((k * factor + shift) % 20 + 1).cast("string")
-
-    none = F.lit(None).cast("string")
-    rows = (
-        events.withColumn("k", _k())
-        .withColumn("date", F.col("ts").cast("date").cast("string"))
-        .select(
-            "date",
-            "user_id",
-            F.concat(F.lit("s"), F.col("user_id").cast("string"), F.lit("-"), F.col("date")).alias("session_id"),
-            (k % 10 + 1).alias("page_id"),
-            F.substring(F.col("ts").cast("string"), 1, 19).alias("action_time"),
-            F.when(kind == "view", F.concat(F.lit("kw"), (k % 6).cast("string"))).alias("search_keyword"),
-            F.when(kind == "click", k % 20 + 1).otherwise(-1).alias("click_category_id"),
-            F.when(kind == "click", F.col("event_id") % 100 + 1).otherwise(-1).alias("click_product_id"),
-            F.when(
-                (kind == "signup") | ((kind == "purchase") & (k % 10 == 0)),
-                F.concat_ws(",", category(1), category(3), category(7)),
-            ).alias("order_category_ids"),
-            none.alias("order_product_ids"),
-            F.when(kind == "purchase", F.concat_ws(",", category(1, 5), category(3, 5))).alias("pay_category_ids"),
-            none.alias("pay_product_ids"),
-            (F.col("user_id") % 25).alias("city_id"),
-            "event_id",
-        )
+    return events.selectExpr("event_id", "user_id", "event_type", "ts", _K, _DAY).selectExpr(
+        "date",
+        "user_id",
+        "concat('s', CAST(user_id AS STRING), '-', date) AS session_id",
+        "CAST(k % 10 + 1 AS BIGINT) AS page_id",
+        "substr(CAST(ts AS STRING), 1, 19) AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 6 AS STRING)) END AS search_keyword",
+        "CAST(CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS BIGINT) AS click_category_id",
+        "CAST(CASE WHEN event_type = 'click' THEN event_id % 100 + 1 ELSE -1 END AS BIGINT) AS click_product_id",
+        """CASE WHEN event_type = 'signup' OR (event_type = 'purchase' AND k % 10 = 0)
+           THEN concat_ws(',', k % 20 + 1, (k * 3) % 20 + 1, (k * 7) % 20 + 1) END AS order_category_ids""",
+        "CAST(NULL AS STRING) AS order_product_ids",
+        """CASE WHEN event_type = 'purchase'
+           THEN concat_ws(',', (k + 5) % 20 + 1, (k * 3 + 5) % 20 + 1) END AS pay_category_ids""",
+        "CAST(NULL AS STRING) AS pay_product_ids",
+        "CAST(user_id % 25 AS BIGINT) AS city_id",
+        "event_id",
     )
-    return typed(rows, USER_VISIT_ACTION, keep=["event_id"])
 
 
 def ad_clicks(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -55,31 +38,24 @@ def ad_clicks(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFr
     The line format is separated by spaces, so an area name holds none. ``arrival`` trails the
     click by ``k`` seconds.
     """
-    cities = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("city_key"),
-        F.col("n_name").alias("city"),
-        F.replace("r_name", F.lit(" "), F.lit("-")).alias("area"),
+    cities = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_nationkey AS city_key", "n_name AS city", "replace(r_name, ' ', '-') AS area"
+    )
+    keyed = events.selectExpr(
+        "event_id", "user_id", "CAST(ts AS TIMESTAMP) AS ts", _DAY, _K, "user_id % 25 AS city_key"
     )
-    ts = F.col("ts").cast("timestamp")
-    return (
-        events.withColumn("k", _k())
-        .join(cities, F.col("user_id") % 25 == F.col("city_key"))
-        .select(
-            ts.alias("ts"),
-            F.col("ts").cast("date").cast("string").alias("date"),
-            "area",
-            "city",
-            F.col("user_id").cast("string").alias("user_id"),
-            (F.col("k") % 6 + 1).cast("string").alias("ad_id"),
-            (ts + F.make_dt_interval(secs=F.col("k"))).alias("arrival"),
-            "event_id",
-        )
+    return keyed.join(cities, "city_key").selectExpr(
+        "ts",
+        "date",
+        "area",
+        "city",
+        "CAST(user_id AS STRING) AS user_id",
+        "CAST(k % 6 + 1 AS STRING) AS ad_id",
+        "ts + make_dt_interval(0, 0, 0, k) AS arrival",
+        "event_id",
     )
 
 
 def click_lines(clicks: DataFrame) -> DataFrame:
     """The clicks as lines of the click log, ``(value, arrival)``."""
-    return clicks.select(
-        F.concat_ws(" ", F.unix_millis("ts").cast("string"), "area", "city", "user_id", "ad_id").alias("value"),
-        "arrival",
-    )
+    return clicks.selectExpr("concat_ws(' ', unix_millis(ts), area, city, user_id, ad_id) AS value", "arrival")

@@ -3,7 +3,6 @@
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptrail.schemas import USER_VISIT_ACTION
@@ -11,8 +10,8 @@ from shoptrail.schemas import USER_VISIT_ACTION
 
 def typed(table: DataFrame, schema: T.StructType, keep: Iterable[str] = ()) -> DataFrame:
     """Select the columns of ``schema``, cast to its types, and those named in ``keep``."""
-    wanted = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return table.select(*wanted, *keep)
+    wanted = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
+    return table.selectExpr(*wanted, *[f"`{name}`" for name in keep])
 
 
 def table_scan(

@@ -1,22 +1,26 @@
 """Keyed tables that streaming jobs maintain in ``foreachBatch``, one parquet folder per batch.
 
 A batch replaces its own folder, so a replayed batch changes nothing. Reading merges the folders:
-counts are summed, sets united, or the newest row of a key wins. Every ``fold_every`` batches the
-merged rows are written once as a base, so a read touches one base and fewer than ``fold_every``
-batches. Which base is valid follows from the batch number alone, because micro-batches run one
-after another from 0. Older folders are never read again by batch number and may be removed.
+counts are summed, sets united, or the newest row of a key wins. Whenever ``fold_every`` folders of
+one level are complete, the next batch merges them into one folder of the level above. So a row is
+rewritten once per level, and a read opens fewer than ``fold_every`` folders of each level. Which
+folders are valid follows from the batch number alone, because micro-batches run one after another
+from 0; folders that have been folded are not read again and may be removed.
 
 A table belongs to one checkpoint: starting over with a new checkpoint needs a new ``root``.
 """
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VERSION = "version"
+_FEW = 366
 
 
 def summed(keys: Sequence[str], value: str = "n") -> Callable[[DataFrame], DataFrame]:
@@ -42,62 +46,86 @@ def newest(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Rows of ``schema`` under ``root``, merged by ``merge`` and split by ``partition_by``."""
+    """Rows of ``schema`` under ``root``, merged by ``merge``; folds are split by ``partition_by``."""
 
     root: str
     schema: T.StructType
     merge: Callable[[DataFrame], DataFrame]
     partition_by: tuple[str, ...] = ()
-    fold_every: int = 64
-
-    @property
-    def _stored(self) -> T.StructType:
-        """The schema as written: columns, then the version, then the partition columns."""
-        data = [f for f in self.schema.fields if f.name not in self.partition_by]
-        parts = [f for f in self.schema.fields if f.name in self.partition_by]
-        return T.StructType([*data, T.StructField(VERSION, T.LongType()), *parts])
-
-    def _write(self, rows: DataFrame, folder: str) -> None:
-        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self._stored.fields])
-        # Few files per batch: adaptive execution joins small partitions and splits big ones.
-        rows = rows.hint("rebalance", *self.partition_by)
-        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(folder)
-
-    def _load(self, spark: SparkSession, kind: str, folders: Sequence[str]) -> DataFrame:
-        base = f"{self.root}/{kind}"
-        rows = spark.read.schema(self._stored).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders])
-        return rows.select(*self._stored.fieldNames())
+    fold_every: int = 32
 
     def put(self, rows: DataFrame, batch_id: int) -> None:
         """Write what ``batch_id`` adds, in place of an earlier try. Every batch has to be put."""
-        if batch_id and batch_id % self.fold_every == 0:
-            merged = self.merge(self._rows_as_of(rows.sparkSession, batch_id - 1))
+        spark = rows.sparkSession
+        level, size = 1, self.fold_every
+        while batch_id and batch_id % size == 0:
+            folded = batch_id // size - 1
+            parts = range(folded * self.fold_every, (folded + 1) * self.fold_every)
+            merged = self.merge(self._load(spark, level - 1, parts))
             if VERSION not in merged.columns:
                 merged = merged.withColumn(VERSION, F.lit(batch_id - 1))
-            self._write(merged, f"{self.root}/base/upto={batch_id - 1}")
-        self._write(rows.withColumn(VERSION, F.lit(batch_id)), f"{self.root}/delta/batch_id={batch_id}")
+            self._write(merged, level, folded)
+            level, size = level + 1, size * self.fold_every
+        self._write(rows.withColumn(VERSION, F.lit(batch_id)), 0, batch_id)
 
     def added(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The rows one batch has put."""
-        return self._load(spark, "delta", [f"batch_id={batch_id}"]).select(*self.schema.fieldNames())
+        return self._load(spark, 0, [batch_id]).select(*self.schema.fieldNames())
 
     def as_of(self, spark: SparkSession, batch_id: int, only: DataFrame | None = None) -> DataFrame:
         """The merged table after ``batch_id``; with ``only``, just the keys listed there."""
-        rows = self._rows_as_of(spark, batch_id)
+        if batch_id < 0:
+            return spark.createDataFrame([], self.schema)
+        rows = reduce(
+            DataFrame.unionByName,
+            [self._load(spark, level, parts) for level, parts in self._complete(batch_id)],
+        )
         if only is not None:
-            rows = rows.join(only, only.columns, "left_semi")
+            rows = self._in_partitions_of(rows, only).join(only, only.columns, "left_semi")
         return self.merge(rows).select(*self.schema.fieldNames())
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The merged table over every batch folder, for readers outside the job."""
-        rows = spark.read.schema(self._stored).parquet(f"{self.root}/delta")
-        return self.merge(rows.select(*self._stored.fieldNames())).select(*self.schema.fieldNames())
+        """The merged table after its latest batch, for readers outside the job."""
+        files = spark.read.schema(self._stored).parquet(f"{self.root}/level0").inputFiles()
+        return self.as_of(spark, max(int(re.search(r"/part=(\d+)/", file)[1]) for file in files))
 
-    def _rows_as_of(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id < 0:
-            return spark.createDataFrame([], self._stored)
-        first = batch_id // self.fold_every * self.fold_every
-        rows = self._load(spark, "delta", [f"batch_id={n}" for n in range(first, batch_id + 1)])
-        if first:
-            rows = rows.unionByName(self._load(spark, "base", [f"upto={first - 1}"]))
+    @property
+    def _stored(self) -> T.StructType:
+        """The schema as written: columns, then the version, then the partition columns."""
+        data = [f for f in self.schema.fields if f.name not in self.partition_by]
+        parts = [f for f in self.schema.fields if f.name in self.partition_by]
+        return T.StructType([*data, T.StructField(VERSION, T.LongType()), *parts])
+
+    def _complete(self, batch_id: int) -> list[tuple[int, list[int]]]:
+        """Folders by level that together hold batches 0 to ``batch_id``.
+
+        A fold is written by the batch after it, so ``batch_id`` itself is always read on its own.
+        """
+        levels, level, end = [], 0, batch_id
+        while end:
+            first = end // self.fold_every * self.fold_every
+            levels.append((level, list(range(first, end))))
+            level, end = level + 1, end // self.fold_every
+        own = levels.pop(0)[1] if levels else []
+        return [(0, [*own, batch_id]), *[(at, parts) for at, parts in levels if parts]]
+
+    def _in_partitions_of(self, rows: DataFrame, only: DataFrame) -> DataFrame:
+        """Skip the folders of days and the like that ``only`` does not name, if it names few."""
+        for column in set(self.partition_by) & set(only.columns):
+            named = [row[0] for row in only.select(column).distinct().limit(_FEW + 1).collect()]
+            if len(named) <= _FEW:
+                rows = rows.filter(F.col(column).isin(named))
         return rows
+
+    def _write(self, rows: DataFrame, level: int, part: int) -> None:
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self._stored.fields])
+        # A single batch is small: one folder, with a file even if it has no rows.
+        split_by = self.partition_by if level else ()
+        # Few files per folder: adaptive execution joins small partitions and splits big ones.
+        rows = rows.hint("rebalance", *split_by)
+        rows.write.mode("overwrite").partitionBy(*split_by).parquet(f"{self.root}/level{level}/part={part}")
+
+    def _load(self, spark: SparkSession, level: int, parts: Iterable[int]) -> DataFrame:
+        base = f"{self.root}/level{level}"
+        reader = spark.read.schema(self._stored).option("basePath", base)
+        return reader.parquet(*[f"{base}/part={part}" for part in parts]).select(*self._stored.fieldNames())

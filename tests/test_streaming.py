@@ -1,4 +1,5 @@
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,6 +171,44 @@ def test_folded_tables_read_the_same(spark, tmp_path):
         assert {r.ad_id for r in folded.as_of(spark, 8, only=one).collect()} == {"1"}
 
 
+@pytest.mark.parametrize("fold_every", [2, 3, 10])
+def test_every_batch_is_read_once(fold_every):
+    table = KeyedTable("unused", CITY_AD_COUNTS, united, fold_every=fold_every)
+    for batch_id in range(120):
+        parts = table._complete(batch_id)
+        held = [b for level, ids in parts for i in ids
+                for b in range(i * fold_every**level, (i + 1) * fold_every**level)]
+        assert sorted(held) == list(range(batch_id + 1))
+        # A fold is written at the start of the batch that follows it.
+        assert all((i + 1) * fold_every**level <= batch_id for level, ids in parts if level for i in ids)
+
+
+def test_a_read_of_some_keys_skips_other_days(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
+    for batch_id in range(3):
+        rows = [(f"2019-07-{d:02d}", "n", "x", "1", d) for d in range(1, 10)]
+        table.put(spark.createDataFrame(rows, CITY_AD_COUNTS), batch_id)
+    only = spark.createDataFrame([("2019-07-03", "n")], "date string, area string")
+    some = table.as_of(spark, 2, only=only)
+    assert values(some) == [("2019-07-03", "n", "x", "1", 9)]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "(date" in plan.split("PartitionFilters: [isnotnull")[1]
+
+
+def test_folded_folders_are_not_needed(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "all"), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
+    frames = [spark.createDataFrame([("2019-07-02", "n", "x", "1", i)] if i < 5 else [], CITY_AD_COUNTS)
+              for i in range(8)]
+    for batch_id, frame in enumerate(frames):
+        table.put(frame, batch_id)
+    for level, parts in table._complete(7):
+        for part in parts:
+            folder = f"level{level}/part={part}"
+            shutil.copytree(tmp_path / "all" / folder, tmp_path / "kept" / folder)
+    kept = KeyedTable(str(tmp_path / "kept"), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
+    assert values(kept.read(spark)) == values(table.read(spark)) == [("2019-07-02", "n", "x", "1", 10)]
+
+
 def test_an_empty_table_is_empty(spark, tmp_path):
     table = jobs.banned_table(str(tmp_path))
     assert table.as_of(spark, -1).count() == 0
