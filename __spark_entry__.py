@@ -29,7 +29,8 @@ PATH = "1,2,3,4,5,6,7"
 FIRST_DAY, LAST_DAY = "2024-01-08", "2024-01-21"
 MIDDLE = "2024-01-16"
 THRESHOLD = 3
-AS_OF, TREND_WIDTH, TREND_BUCKET = "2024-01-15 12:00:00", 21600, 3600
+AS_OF = "2024-01-15 12:00:00"
+TREND = (21600, 3600, 3600)  # seconds: width, slide, bucket
 
 
 # --- inputs ---------------------------------------------------------------------------------------
@@ -231,15 +232,18 @@ def ad_area_top3_json(spark, sf_dir):
 
 
 def ad_trend(spark, sf_dir):
-    return ad_plans.ad_trend(_clicks(spark, sf_dir), AS_OF, TREND_WIDTH, TREND_BUCKET)
+    return ad_plans.ad_trend(_clicks(spark, sf_dir), AS_OF, TREND[0], TREND[2])
 
 
 def ad_trend_sliding(spark, sf_dir):
-    return _windows_as_text(ads.ad_trend_sliding(_clicks(spark, sf_dir)))
+    trend = ads.ad_trend_sliding(_clicks(spark, sf_dir))
+    return trend.withColumn("window_start", times.time_to_text(F.col("window_start")))
 
 
-def _windows_as_text(trend):
-    return trend.withColumn("window_start", times.time_to_text(F.col("window_start")))
+def ad_trend_window(spark, sf_dir):
+    """One window of the sliding trend, as it is shown when the window closes."""
+    windows = ads.trend_windows(ads.trend_panes(_clicks(spark, sf_dir), *TREND), *TREND[:2])
+    return ads.window_report(windows, F.to_timestamp(F.lit(AS_OF)) - F.make_dt_interval(secs=F.lit(TREND[0])))
 
 
 # --- streaming queries ----------------------------------------------------------------------------
@@ -271,8 +275,9 @@ def stream_blacklist(spark, sf_dir):
 
 
 def stream_ad_trend(spark, sf_dir):
-    trend = _run(spark, sf_dir, "trend", jobs.chart_trend, jobs.trend_table)
-    return _windows_as_text(jobs.trend_report(trend))
+    windows = ads.trend_windows(_run(spark, sf_dir, "trend", jobs.chart_trend, jobs.trend_table))
+    start, bucket = times.time_to_text(F.col("window_start")), ads.bucket_label(F.col("bucket_start"))
+    return windows.select(start.alias("window_start"), bucket.alias("bucket"), "n")
 
 
 # --- keyed tables and sinks -----------------------------------------------------------------------
@@ -349,6 +354,7 @@ _QUERIES = [
     ad_area_top3_json,
     ad_trend,
     ad_trend_sliding,
+    ad_trend_window,
     stream_user_ad_counts,
     stream_ad_city_counts,
     stream_ad_area_top3,
@@ -479,6 +485,12 @@ def oracle_sql() -> dict[str, str]:
         _FOLLOWED,
     )
     sliding = _ads_sql("SELECT * FROM sliding", _SLIDING)
+    trend = _ads_sql(
+        f"""SELECT strftime(time_bucket(INTERVAL {TREND[2]} SECOND, ts), '%Y-%m-%d %H-%M-%S') AS bucket,
+          count(*) AS n
+        FROM ads WHERE arrival >= TIMESTAMP '{AS_OF}' - INTERVAL {TREND[0]} SECOND
+          AND arrival < TIMESTAMP '{AS_OF}' GROUP BY 1"""
+    )
     return {
         "typed_actions": _shop_sql("SELECT * FROM uva"),
         "category_events": _shop_sql("SELECT * FROM kinds", _CATEGORY),
@@ -566,12 +578,8 @@ def oracle_sql() -> dict[str, str]:
         "ad_area_rollup": _ads_sql("SELECT * FROM area_counts", _AREA_TOP),
         "ad_area_top3": _ads_sql("SELECT * FROM ranked WHERE rank <= 3", _AREA_TOP),
         "ad_area_top3_json": area_json,
-        "ad_trend": _ads_sql(
-            f"""SELECT strftime(time_bucket(INTERVAL {TREND_BUCKET} SECOND, ts), '%Y-%m-%d %H-%M-%S') AS bucket,
-              count(*) AS n
-            FROM ads WHERE arrival >= TIMESTAMP '{AS_OF}' - INTERVAL {TREND_WIDTH} SECOND
-              AND arrival < TIMESTAMP '{AS_OF}' GROUP BY 1"""
-        ),
+        "ad_trend": trend,
+        "ad_trend_window": trend,
         "ad_trend_sliding": sliding,
         "stream_user_ad_counts": user_counts,
         "stream_ad_city_counts": city_counts,

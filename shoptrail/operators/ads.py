@@ -1,5 +1,7 @@
 """Ad-click counts, rankings, bans and trends over a table of parsed clicks."""
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,24 +86,39 @@ def ad_trend(
     return counts.orderBy("start").select(bucket_label(F.col("start")).alias("bucket"), "n")
 
 
-def ad_trend_sliding(
+def trend_panes(
     clicks: DataFrame, width: int = 60, slide: int = 10, bucket: int = 10, arrival: str = "arrival"
 ) -> DataFrame:
-    """The trend of every window of ``width`` seconds that starts each ``slide`` seconds.
+    """Clicks per pane of arrival and bucket of click time.
 
-    Clicks are first counted per pane of ``slide`` seconds, so only the counts, not the clicks, are
-    copied into the windows they belong to. A width that is no multiple of the slide has no panes.
+    Panes are the longest intervals that every window is made of, so one count of a click serves all
+    windows that overlap it. Works on a stream as well, where a watermark on arrival lets panes go.
     """
-    start = bucket_start(F.col("ts"), bucket).alias("bucket_start")
-    if width % slide:
-        window = F.window(arrival, f"{width} seconds", f"{slide} seconds")
-        counts = clicks.groupBy(window.alias("window"), start).agg(F.count("*").alias("n"))
-        counts = counts.select(F.col("window.start").alias("window_start"), "bucket_start", "n")
-    else:
-        pane = bucket_start(F.col(arrival), slide).alias("pane")
-        panes = clicks.groupBy(pane, start).agg(F.count("*").alias("n"))
-        earliest = F.col("pane") - F.make_dt_interval(secs=F.lit(width - slide))
-        windows = F.sequence("pane", earliest, F.make_dt_interval(secs=F.lit(-slide)))
-        copies = panes.select(F.explode(windows).alias("window_start"), "bucket_start", "n")
-        counts = sum_by(copies, ["window_start", "bucket_start"])
-    return counts.select("window_start", bucket_label(F.col("bucket_start")).alias("bucket"), "n")
+    pane = F.window(arrival, f"{math.gcd(width, slide)} seconds").alias("pane")
+    counts = clicks.groupBy(pane, bucket_start(F.col("ts"), bucket).alias("bucket_start")).agg(F.count("*").alias("n"))
+    return counts.select(F.col("pane.start").alias("pane"), "bucket_start", "n")
+
+
+def trend_windows(panes: DataFrame, width: int = 60, slide: int = 10) -> DataFrame:
+    """Clicks per window of ``width`` seconds, one starting each ``slide`` seconds, and bucket."""
+    pane = F.unix_seconds("pane")
+    last = F.floor(pane / slide) * slide
+    first = F.ceil((pane + (math.gcd(width, slide) - width)) / slide) * slide
+    starts = F.when(first <= last, F.sequence(last, F.least(first, last), F.lit(-slide).cast("bigint")))
+    copies = panes.select(F.explode(starts).alias("start"), "bucket_start", "n")
+    counts = sum_by(copies, ["start", "bucket_start"])
+    return counts.select(F.timestamp_seconds("start").alias("window_start"), "bucket_start", "n")
+
+
+def ad_trend_sliding(
+    clicks: DataFrame, width: int = 60, slide: int = 10, bucket: int = 10, arrival: str = "arrival"
+) -> DataFrame:
+    """The trend of every window of ``width`` seconds that starts each ``slide`` seconds."""
+    windows = trend_windows(trend_panes(clicks, width, slide, bucket, arrival), width, slide)
+    return windows.select("window_start", bucket_label(F.col("bucket_start")).alias("bucket"), "n")
+
+
+def window_report(windows: DataFrame, start: Column) -> DataFrame:
+    """The trend of the window that begins at ``start``, in order of time."""
+    one = windows.filter(F.col("window_start") == start).orderBy("bucket_start")
+    return one.select(bucket_label(F.col("bucket_start")).alias("bucket"), "n")

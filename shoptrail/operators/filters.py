@@ -10,7 +10,9 @@ def _given(bound: str | None) -> bool:
     return bound is not None and bound.strip("".join(map(chr, range(33)))) != ""
 
 
-def between_dates(table: DataFrame, start: str | None = None, end: str | None = None, column: str = "date") -> DataFrame:
+def between_dates(
+    table: DataFrame, start: str | None = None, end: str | None = None, column: str = "date"
+) -> DataFrame:
     """Keep ``start <= date <= end``, both inclusive and compared as text; a blank bound is no bound."""
     if _given(start):
         table = table.filter(F.col(column) >= F.lit(start))

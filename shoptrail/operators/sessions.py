@@ -7,34 +7,33 @@ in slices of one second; only the first row of each slice takes part in the step
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.functions.times import text_to_epoch_ms
 
 HOT_ROWS = 1_000_000
 
-# Sessions are spread over _PARTS frequency sketches, and at most _TOP of each can be called hot,
-# so the list of hot sessions has at most _PARTS * _TOP rows whatever the table holds. More than
-# 128 groups per task would make Spark sort the actions instead of filling sketches.
-_PARTS, _TOP, _TRACKED = 64, 64, 256
+# Session ids are hashed into so many slots; the list of hot slots has fewer rows whatever the
+# table holds.
+_SLOTS = 16384
 
 
-def hot_sessions(actions: DataFrame, session: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Sessions with about ``hot_rows`` rows or more, found by frequency sketches of bounded size.
+def _slot(session: str) -> Column:
+    return F.pmod(F.xxhash64(session), F.lit(_SLOTS)).alias("slot")
 
-    The list only decides how rows are laid out. A session that is missed goes the plain way and
-    has the same result.
+
+def hot_slots(actions: DataFrame, session: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hash slots of session ids that hold at least ``hot_rows`` rows and twice the mean of all slots.
+
+    A hot session makes its slot hot. The counts are exact, and a map task sends one number per
+    slot. The list only decides how rows are laid out: other sessions of a hot slot go the same way
+    and have the same result.
     """
-    part = F.pmod(F.xxhash64(session), F.lit(_PARTS)).alias("part")
-    sketch = F.expr(f"approx_top_k({session}, {_TOP}, {_TRACKED})").alias("top")
-    return (
-        actions.groupBy(part)
-        .agg(sketch)
-        .select(F.explode("top").alias("top"))
-        .filter(F.col("top.count") >= hot_rows)
-        .select(F.col("top.item").alias("hot_id"))
-    )
+    counts = actions.groupBy(_slot(session)).agg(F.count("*").alias("n"))
+    mean = F.sum("n").over(Window.partitionBy(F.lit(0))) / _SLOTS
+    hot = (F.col("n") >= hot_rows) & (F.col("n") >= 2 * F.col("mean"))
+    return counts.withColumn("mean", mean).filter(hot).select("slot")
 
 
 def _lead(rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -74,8 +73,9 @@ def _across_slices(
 def _step_across(inside: DataFrame, across: DataFrame, on: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Give rows without a successor in their slice the one that ``across`` holds for the slice."""
     columns = [c for c in inside.columns if c != "has_next" and c not in {f"next_{v}" for v in values}]
+    after = [c for c in across.columns if c.startswith("_after")]
     has_next = F.col("has_next")
-    return inside.join(across.select(*on, *[c for c in across.columns if c.startswith("_after")]), [*on], "left").select(
+    return inside.join(across.select(*on, *after), [*on], "left").select(
         *columns,
         *[F.when(has_next, F.col(f"next_{v}")).otherwise(F.col(f"_after_{v}")).alias(f"next_{v}") for v in values],
         (has_next | F.coalesce("_after", F.lit(False))).alias("has_next"),
@@ -96,19 +96,19 @@ def with_next_action(
     name the columns it reads, for instance ``ties=["page_id"]``: rows equal in all of them are
     interchangeable. ``hot_rows=None`` skips the search for hot sessions.
 
-    The actions are shuffled once, by session and slice; all of a usual session is one slice. Where
-    no session is hot, the step across slices has no input and adaptive execution leaves it out.
+    The actions are shuffled once, by session and slice; a usual session is one slice. Where no
+    session is hot, the step across slices has no input and adaptive execution leaves it out.
     """
     order = [time, *ties]
     if hot_rows is None:
         return _lead(actions, [session], order, values)
 
-    hot = F.broadcast(hot_sessions(actions, session, hot_rows).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_slots(actions, session, hot_rows).withColumn("_hot", F.lit(True)))
     # Actions without a session id make up one session too. Their slices bear a mark, so that a
     # plain equality of session and slice can tell them from the empty id.
     second = F.coalesce(time, F.lit(""))
     marked = (
-        actions.join(hot, F.col(session).eqNullSafe(F.col("hot_id")), "left")
+        actions.join(hot, _slot(session) == F.col("slot"), "left")
         .withColumn("_session", F.coalesce(session, F.lit("")))
         .withColumn("_mark", F.when(F.col(session).isNull(), "-").otherwise(""))
         .withColumn("_slice", F.concat("_mark", F.when(F.col("_hot"), second).otherwise("")))

@@ -79,7 +79,7 @@ BANNED_USERS = T.StructType([T.StructField("user_id", T.StringType())])
 
 TREND_COUNTS = T.StructType(
     [
-        T.StructField("window_start", T.TimestampType()),
+        T.StructField("pane", T.TimestampType()),
         T.StructField("bucket_start", T.TimestampType()),
         T.StructField("n", T.LongType()),
     ]

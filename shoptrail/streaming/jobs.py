@@ -4,6 +4,7 @@ Each takes a stream of parsed clicks, a folder for its tables and a checkpoint,
 started query: ``query.awaitTermination()`` waits for it. A stopped job goes on from its checkpoint.
 """
 
+import math
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoptrail import schemas
 from shoptrail.operators import ads
-from shoptrail.functions.times import bucket_start, day_text
+from shoptrail.functions.times import day_text
 from shoptrail.streaming.keyed_tables import KeyedTable, newest, summed, united
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -49,8 +50,8 @@ def area_top_table(root: str) -> KeyedTable:
 
 
 def trend_table(root: str) -> KeyedTable:
-    """Clicks per window and bucket, newest count wins."""
-    return KeyedTable(f"{root}/trend", schemas.TREND_COUNTS, newest(["window_start", "bucket_start"]))
+    """Clicks per pane of arrival and bucket, newest count wins."""
+    return KeyedTable(f"{root}/trend", schemas.TREND_COUNTS, newest(["pane", "bucket_start"]))
 
 
 def start(
@@ -169,22 +170,6 @@ def rank_area_ads(
     return start(changed, step, checkpoint, "update", trigger)
 
 
-def sliding_trend(
-    clicks: DataFrame, width: int = 60, slide: int = 10, bucket: int = 10, late: str | None = "60 seconds",
-    arrival: str = "arrival",
-) -> DataFrame:
-    """Clicks per arrival window and click-time bucket.
-
-    Arrival times only grow, so a window can leave the state soon after its end: ``late`` is the
-    watermark on arrival. ``None`` keeps every window.
-    """
-    if late is not None:
-        clicks = clicks.withWatermark(arrival, late)
-    window = F.window(arrival, f"{width} seconds", f"{slide} seconds").alias("window")
-    counts = clicks.groupBy(window, bucket_start(F.col("ts"), bucket).alias("bucket_start"))
-    return counts.agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), "bucket_start", "n")
-
-
 def chart_trend(
     clicks: DataFrame,
     root: str,
@@ -193,14 +178,34 @@ def chart_trend(
     slide: int = 10,
     bucket: int = 10,
     late: str | None = "60 seconds",
+    arrival: str = "arrival",
+    report: Callable[[DataFrame], None] | None = None,
     trigger: Mapping[str, object] = EVERY_5_SECONDS,
 ) -> StreamingQuery:
-    """Keep the trend of every window; a batch writes the windows it changed."""
-    table = trend_table(root)
-    return start(sliding_trend(clicks, width, slide, bucket, late), table.put, checkpoint, "update", trigger)
+    """Keep the click counts that the trend of every window is made of.
 
+    Arrival times only grow, so counts can leave the state soon: ``late`` is the watermark on
+    arrival, ``None`` keeps them. ``ads.trend_windows`` over the table gives the windows. ``report``
+    gets the newest window after each batch with clicks, in order of time, for instance to ``show`` it.
+    """
+    table = trend_table(root)
+    if late is not None:
+        clicks = clicks.withWatermark(arrival, late)
 
-def trend_report(trend: DataFrame) -> DataFrame:
-    """The stored trend with text labels, in order of window and bucket."""
-    label = ads.bucket_label(F.col("bucket_start")).alias("bucket")
-    return trend.orderBy("window_start", "bucket_start").select("window_start", label, "n")
+    def step(batch: DataFrame, batch_id: int) -> None:
+        table.put(batch, batch_id)
+        if report is None:
+            return
+        newest_pane = table.added(batch.sparkSession, batch_id).agg(F.max(F.unix_seconds("pane"))).first()[0]
+        if newest_pane is not None:
+            begin = (newest_pane + math.gcd(width, slide) - width) // slide * slide
+            report(_window(table.as_of(batch.sparkSession, batch_id), begin, width, slide))
+
+    return start(ads.trend_panes(clicks, width, slide, bucket, arrival), step, checkpoint, "update", trigger)
+
+
+def _window(panes: DataFrame, begin: int, width: int, slide: int) -> DataFrame:
+    """The trend of the window that begins at the epoch second ``begin``."""
+    seconds = F.unix_seconds("pane")
+    own = panes.filter((seconds >= begin) & (seconds < begin + width))
+    return ads.window_report(ads.trend_windows(own, width, slide), F.timestamp_seconds(F.lit(begin)))

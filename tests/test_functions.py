@@ -58,5 +58,6 @@ def test_times(spark):
 
 
 def test_json_text_field(spark):
-    read = lambda key: one(spark, lambda c: text.json_text_field(c, key), '{"startDate":"2019-07-01","n":3}')
+    document = '{"startDate":"2019-07-01","n":3}'
+    read = lambda key: one(spark, lambda c: text.json_text_field(c, key), document)
     assert (read("startDate"), read("n"), read("none")) == ("2019-07-01", "3", None)

@@ -141,7 +141,8 @@ def test_hot_sessions_are_followed_like_others(spark, hot_rows):
         (F.pmod(F.xxhash64("id"), F.lit(9))).alias("page_id"),
         # Several days, several rows in one second, ids that do not grow with time.
         F.date_format(
-            F.timestamp_seconds(F.lit(1_562_000_000) + F.floor((F.col("id") * 37) % n / 4) * 1700), "yyyy-MM-dd HH:mm:ss"
+            F.timestamp_seconds(F.lit(1_562_000_000) + F.floor((F.col("id") * 37) % n / 4) * 1700),
+            "yyyy-MM-dd HH:mm:ss",
         ).alias("action_time"),
         F.col("id").alias("event_id"),
     )
@@ -149,5 +150,13 @@ def test_hot_sessions_are_followed_like_others(spark, hot_rows):
     sliced = sessions.with_next_action(table, hot_rows=hot_rows)
     assert sliced.columns == plain.columns
     assert values(sliced) == values(plain)
-    hot = {row.hot_id for row in sessions.hot_sessions(table, hot_rows=40).collect()}
-    assert hot == {None, "", "bot"}
+    slots = [row.slot for row in sessions.hot_slots(table, hot_rows=40).collect()]
+    slot = F.pmod(F.xxhash64("session_id"), F.lit(16384))
+    hot = {row.session_id for row in table.filter(slot.isin(slots)).select("session_id").collect()}
+    assert hot >= {None, "", "bot"} and len(hot) < 10
+
+
+def test_no_session_is_hot_where_all_are_alike(spark):
+    table = spark.range(100_000).select((F.col("id") % 50_000).cast("string").alias("session_id"))
+    assert sessions.hot_slots(table, hot_rows=1).count() < 16384 / 2
+    assert sessions.hot_slots(table).count() == 0

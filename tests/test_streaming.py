@@ -80,8 +80,8 @@ def test_stream_equals_batch(spark, tmp_path, files):
     assert 0 < len(banned) < 5
 
     run(jobs.chart_trend, spark, tmp_path / "in", tmp_path / "e")
-    trend = jobs.trend_report(jobs.trend_table(str(tmp_path / "e" / "tables")).read(spark))
-    assert values(trend) == values(ads.ad_trend_sliding(clicks))
+    panes = jobs.trend_table(str(tmp_path / "e" / "tables")).read(spark)
+    assert values(ads.trend_windows(panes)) == values(ads.trend_windows(ads.trend_panes(clicks)))
 
 
 def test_a_ban_acts_from_the_next_batch_on(spark, tmp_path):
@@ -154,6 +154,20 @@ def test_expired_days_leave_the_state(spark, tmp_path):
     assert [n for _, n in counts[1]] == [1, 2]
 
 
+def test_the_newest_window_is_reported(spark, tmp_path):
+    seconds = [[1, 12, 59], [61, 75], [76, 130]]
+    for i, batch_seconds in enumerate(seconds):
+        drop_files(tmp_path / "in", [f"{START + s * 1000} n x u 1" for s in batch_seconds], 1, first=i)
+    reports = []
+    run(jobs.chart_trend, spark, tmp_path / "in", tmp_path,
+        report=lambda window: reports.append([(r.bucket[-8:], r.n) for r in window.collect()]))
+    assert reports == [
+        [("12-00-00", 1), ("12-00-10", 1), ("12-00-50", 1)],  # until 12:01:00
+        [("12-00-50", 1), ("12-01-00", 1), ("12-01-10", 1)],  # until 12:01:20
+        [("12-02-10", 1)],  # until 12:02:20
+    ]
+
+
 def test_folded_tables_read_the_same(spark, tmp_path):
     rows = [[("2019-07-02", "n", "x", str(i % 3), i + 1)] for i in range(9)]
     keys = ads.CITY_KEYS
