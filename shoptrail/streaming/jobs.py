@@ -206,6 +206,6 @@ def chart_trend(
 
 def _window(panes: DataFrame, begin: int, width: int, slide: int) -> DataFrame:
     """The trend of the window that begins at the epoch second ``begin``."""
-    seconds = F.unix_seconds("pane")
-    own = panes.filter((seconds >= begin) & (seconds < begin + width))
-    return ads.window_report(ads.trend_windows(own, width, slide), F.timestamp_seconds(F.lit(begin)))
+    first, end = F.timestamp_seconds(F.lit(begin)), F.timestamp_seconds(F.lit(begin + width))
+    own = panes.filter((F.col("pane") >= first) & (F.col("pane") < end))
+    return ads.window_report(ads.trend_windows(own, width, slide), first)
