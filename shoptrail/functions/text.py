@@ -22,7 +22,7 @@ def split_list(text: Column, separator: str = ",") -> Column:
     pattern = re.escape(separator)
     body = F.regexp_replace(text, rf"(?:{pattern})+\z", "")
     return (
-        F.when(text == "", F.array(F.lit("")))
+        F.when(~text.endswith(separator), F.split(text, pattern))
         .when(body == "", F.array().cast("array<string>"))
         .otherwise(F.split(body, pattern))
     )

@@ -18,12 +18,18 @@ def time_to_text(ts: Column, pattern: str = SECOND) -> Column:
 
 
 def text_to_time(text: Column, pattern: str = SECOND) -> Column:
-    """Strict parse; text that does not fit fails the query under ANSI mode."""
-    return F.to_timestamp(text, pattern)
+    """Parse a text time; text that is none fails the query under ANSI mode.
+
+    For the usual form a cast does it, several times faster than a pattern; it also takes one-digit
+    months and the like.
+    """
+    return text.cast("timestamp") if pattern == SECOND else F.to_timestamp(text, pattern)
 
 
 def text_to_epoch_ms(text: Column, pattern: str = SECOND) -> Column:
-    return F.unix_millis(text_to_time(text, pattern))
+    """Epoch milliseconds of a text time; a fraction of a second is beyond the usual form and ignored."""
+    time = text_to_time(text, pattern)
+    return F.unix_seconds(time) * 1000 if pattern == SECOND else F.unix_millis(time)
 
 
 def day_text(ts: Column) -> Column:

@@ -7,7 +7,7 @@ in slices of one second; only the first row of each slice takes part in the step
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.functions.times import text_to_epoch_ms
@@ -19,8 +19,8 @@ HOT_ROWS = 1_000_000
 _SLOTS = 16384
 
 
-def _slot(session: str) -> Column:
-    return F.pmod(F.xxhash64(session), F.lit(_SLOTS)).alias("slot")
+def _slot(session: str) -> str:
+    return f"pmod(xxhash64({session}), {_SLOTS})"
 
 
 def hot_slots(actions: DataFrame, session: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -30,18 +30,17 @@ def hot_slots(actions: DataFrame, session: str = "session_id", hot_rows: int = H
     slot. The list only decides how rows are laid out: other sessions of a hot slot go the same way
     and have the same result.
     """
-    counts = actions.groupBy(_slot(session)).agg(F.count("*").alias("n"))
-    mean = F.sum("n").over(Window.partitionBy(F.lit(0))) / _SLOTS
-    hot = (F.col("n") >= hot_rows) & (F.col("n") >= 2 * F.col("mean"))
-    return counts.withColumn("mean", mean).filter(hot).select("slot")
+    counts = actions.groupBy(F.expr(f"{_slot(session)} AS slot")).agg(F.count("*").alias("n"))
+    mean = counts.selectExpr("slot", "n", f"sum(n) OVER (PARTITION BY 0) / {_SLOTS} AS mean")
+    return mean.filter(f"n >= {hot_rows} AND n >= 2 * mean").select("slot")
 
 
 def _lead(rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
-    follow = Window.partitionBy(*keys).orderBy(*order)
-    return rows.select(
+    follow = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
+    return rows.selectExpr(
         "*",
-        *[F.lead(v).over(follow).alias(f"next_{v}") for v in values],
-        F.lead(F.lit(True), 1, False).over(follow).alias("has_next"),
+        *[f"lead({v}) {follow} AS next_{v}" for v in values],
+        f"lead(true, 1, false) {follow} AS has_next",
     )
 
 
@@ -57,28 +56,22 @@ def _across_slices(
     """
     *coarse, fine = slices
     columns = list(dict.fromkeys([*order, *values]))
-    first = F.min(F.struct(*columns)).alias("first")
+    first = F.expr(f"min(struct({', '.join(columns)})) AS first")
     heads = rows.groupBy(*keys, *coarse, fine).agg(first).select(*keys, *coarse, fine, "first.*")
     inside = _lead(heads, [*keys, *coarse[-1:]], order, values)
     if coarse:
         inside = _step_across(inside, _across_slices(heads, keys, coarse, order, values), [*keys, coarse[-1]], values)
-    return inside.select(
-        *keys,
-        fine,
-        *[F.col(f"next_{v}").alias(f"_after_{v}") for v in values],
-        F.col("has_next").alias("_after"),
-    )
+    return inside.selectExpr(*keys, fine, *[f"next_{v} AS _after_{v}" for v in values], "has_next AS _after")
 
 
 def _step_across(inside: DataFrame, across: DataFrame, on: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Give rows without a successor in their slice the one that ``across`` holds for the slice."""
     columns = [c for c in inside.columns if c != "has_next" and c not in {f"next_{v}" for v in values}]
-    after = [c for c in across.columns if c.startswith("_after")]
-    has_next = F.col("has_next")
-    return inside.join(across.select(*on, *after), [*on], "left").select(
+    after = across.select(*on, *[f"_after_{v}" for v in values], "_after")
+    return inside.join(after, [*on], "left").selectExpr(
         *columns,
-        *[F.when(has_next, F.col(f"next_{v}")).otherwise(F.col(f"_after_{v}")).alias(f"next_{v}") for v in values],
-        (has_next | F.coalesce("_after", F.lit(False))).alias("has_next"),
+        *[f"if(has_next, next_{v}, _after_{v}) AS next_{v}" for v in values],
+        "has_next OR coalesce(_after, false) AS has_next",
     )
 
 
@@ -103,16 +96,18 @@ def with_next_action(
     if hot_rows is None:
         return _lead(actions, [session], order, values)
 
-    hot = F.broadcast(hot_slots(actions, session, hot_rows).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_slots(actions, session, hot_rows).selectExpr("slot", "true AS _hot"))
     # Actions without a session id make up one session too. Their slices bear a mark, so that a
     # plain equality of session and slice can tell them from the empty id.
-    second = F.coalesce(time, F.lit(""))
     marked = (
-        actions.join(hot, _slot(session) == F.col("slot"), "left")
-        .withColumn("_session", F.coalesce(session, F.lit("")))
-        .withColumn("_mark", F.when(F.col(session).isNull(), "-").otherwise(""))
-        .withColumn("_slice", F.concat("_mark", F.when(F.col("_hot"), second).otherwise("")))
-        .withColumn("_day", F.substring(second, 1, 10))
+        actions.join(hot, F.expr(f"{_slot(session)} = slot"), "left")
+        .selectExpr(
+            "*",
+            f"coalesce({session}, '') AS _session",
+            f"if({session} IS NULL, '-', '') AS _mark",
+            f"coalesce({time}, '') AS _second",
+        )
+        .selectExpr("*", "concat(_mark, if(_hot, _second, '')) AS _slice", "substr(_second, 1, 10) AS _day")
     )
     across = _across_slices(marked.filter("_hot"), ["_session", "_mark"], ["_day", "_slice"], order, values)
     inside = _lead(marked.select(*actions.columns, "_session", "_slice"), ["_session", "_slice"], order, values)

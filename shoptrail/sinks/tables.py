@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from shoptrail.session import work_folder
+
 
 def replace_table(
     result: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
@@ -33,4 +35,7 @@ def checkpointed(table: DataFrame) -> DataFrame:
     The files survive the loss of executors. Worth it when computing the table costs more than
     writing and reading it; a plain scan does not.
     """
+    context = table.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(table.sparkSession, "checkpointed"))
     return table.checkpoint()

@@ -34,12 +34,12 @@ def united(rows: DataFrame) -> DataFrame:
 
 
 def newest(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
-    """Merge by keeping the row of the highest batch for each key."""
+    """Merge by keeping the row of the highest batch for each key; a batch has a key once."""
 
     def merge(rows: DataFrame) -> DataFrame:
         values = [c for c in rows.columns if c not in (*keys, VERSION)]
-        last = F.max_by(F.struct(*values, VERSION), VERSION).alias("last")
-        return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
+        last = [F.max_by(v, VERSION).alias(v) for v in values]
+        return rows.groupBy(*keys).agg(*last, F.max(VERSION).alias(VERSION))
 
     return merge
 

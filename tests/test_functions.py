@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from shoptrail.functions import text, times
@@ -57,6 +58,17 @@ def test_times(spark):
     assert row.start == "2019-07-01 16:55:20"
 
 
+def test_text_times(spark):
+    ms = lambda value: one(spark, times.text_to_epoch_ms, value)
+    assert ms("2019-07-01 16:55:25") == ms("2019-7-1 16:55:25.9") == 1_562_000_125_000
+    assert one(spark, lambda c: times.text_to_epoch_ms(c, times.SECOND_DASHED), "2019-07-01 16-55-25") == ms(
+        "2019-07-01 16:55:25"
+    )
+    for bad in ("noon", "2019-13-01 00:00:00"):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            ms(bad)
+
+
 def test_json_text_field(spark):
     document = '{"startDate":"2019-07-01","n":3}'
     read = lambda key: one(spark, lambda c: text.json_text_field(c, key), document)
