@@ -5,9 +5,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Days and text times are read in one fixed zone; otherwise day borders move.
+# Days and text times are read in one fixed zone; otherwise day borders move. Text that is no
+# number or time fails a query, instead of turning into nulls.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -5,7 +5,7 @@ counts are summed, sets united, or the newest row of a key wins. Whenever ``fold
 one level are complete, the next batch merges them into one folder of the level above. So a row is
 rewritten once per level, and a read opens fewer than ``fold_every`` folders of each level. Which
 folders are valid follows from the batch number alone, because micro-batches run one after another
-from 0; folders that have been folded are not read again and may be removed.
+from 0. Folders that have been folded are not read again and may be removed (``retired``).
 
 A table belongs to one checkpoint: starting over with a new checkpoint needs a new ``root``.
 """
@@ -85,10 +85,22 @@ class KeyedTable:
         return self.merge(rows).select(*self.schema.fieldNames())
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The merged table after its latest batch, for readers outside the job."""
+        """The merged table after its latest batch, for readers outside the job.
+
+        This lists the folders of all batches; a reader that knows the batch number has ``as_of``.
+        """
         files = spark.read.schema(self._stored).parquet(f"{self.root}/level0").inputFiles()
         return self.as_of(spark, max(int(re.search(r"/part=(\d+)/", file)[1]) for file in files))
 
+    def retired(self, batch_id: int) -> list[str]:
+        """Folders that ``batch_id`` has folded: no longer needed once that batch is committed."""
+        folders, level, size = [], 0, self.fold_every
+        while batch_id and batch_id % size == 0:
+            first = (batch_id // size - 1) * self.fold_every
+            folders += [self._folder(level, part) for part in range(first, first + self.fold_every)]
+            level, size = level + 1, size * self.fold_every
+        return folders
+
     @property
     def _stored(self) -> T.StructType:
         """The schema as written: columns, then the version, then the partition columns."""
@@ -123,9 +135,12 @@ class KeyedTable:
         split_by = self.partition_by if level else ()
         # Few files per folder: adaptive execution joins small partitions and splits big ones.
         rows = rows.hint("rebalance", *split_by)
-        rows.write.mode("overwrite").partitionBy(*split_by).parquet(f"{self.root}/level{level}/part={part}")
+        rows.write.mode("overwrite").partitionBy(*split_by).parquet(self._folder(level, part))
 
     def _load(self, spark: SparkSession, level: int, parts: Iterable[int]) -> DataFrame:
-        base = f"{self.root}/level{level}"
-        reader = spark.read.schema(self._stored).option("basePath", base)
-        return reader.parquet(*[f"{base}/part={part}" for part in parts]).select(*self._stored.fieldNames())
+        reader = spark.read.schema(self._stored).option("basePath", f"{self.root}/level{level}")
+        folders = [self._folder(level, part) for part in parts]
+        return reader.parquet(*folders).select(*self._stored.fieldNames())
+
+    def _folder(self, level: int, part: int) -> str:
+        return f"{self.root}/level{level}/part={part}"

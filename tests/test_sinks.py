@@ -86,3 +86,17 @@ def test_work_folder_lies_in_the_shared_checkpoint_folder(spark):
     folder = work_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert folder != work_folder(spark, "x")
+
+
+class FakeSession:
+    """A session without ``spark.checkpoint.dir``."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(FakeSession("spark://host:7077"), "x")
+    assert work_folder(FakeSession("local[2]"), "x").startswith("/")

@@ -197,6 +197,20 @@ def test_every_batch_is_read_once(fold_every):
         assert all((i + 1) * fold_every**level <= batch_id for level, ids in parts if level for i in ids)
 
 
+@pytest.mark.parametrize("fold_every", [2, 3])
+def test_retired_folders_are_never_read_again(fold_every):
+    table = KeyedTable("root", CITY_AD_COUNTS, united, fold_every=fold_every)
+    gone, written = set(), set()
+    for batch_id in range(100):
+        retired = set(table.retired(batch_id))
+        needed = {f"root/level{level}/part={part}" for level, parts in table._complete(batch_id) for part in parts}
+        assert not needed & (gone | retired) and not retired & gone
+        gone |= retired
+        written |= needed
+    # Only what the last batch reads is left.
+    assert len(written - gone) <= len(needed) + fold_every
+
+
 def test_a_read_of_some_keys_skips_other_days(spark, tmp_path):
     table = KeyedTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
     for batch_id in range(3):
