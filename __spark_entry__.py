@@ -17,7 +17,7 @@ from shoptrail.operators import ads, categories, filters, flows, sessions
 from shoptrail.plans import ads as ad_plans
 from shoptrail.plans import shop
 from shoptrail.session import apply_settings, work_folder
-from shoptrail.sinks.tables import checkpointed, replace_table
+from shoptrail.sinks.tables import checkpointed, replace_table, written
 from shoptrail.sources import clicks as click_source
 from shoptrail.sources import event_views
 from shoptrail.streaming import jobs
@@ -201,12 +201,13 @@ def blacklist(spark, sf_dir):
 
 def blacklist_filtered_clicks(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)
-    kept = ads.drop_banned(clicks, ad_plans.blacklist(clicks, THRESHOLD))
+    kept = ads.drop_banned(clicks, written(ad_plans.blacklist(clicks, THRESHOLD)))
     return kept.select("event_id", "date", "user_id", "ad_id")
 
 
 def clicks_until_ban(spark, sf_dir):
-    kept = ads.clicks_until_ban(_clicks(spark, sf_dir), THRESHOLD)
+    clicks = _clicks(spark, sf_dir)
+    kept = ads.clicks_until_ban(clicks, written(ads.ban_times(clicks, THRESHOLD)))
     return kept.select("event_id", "date", "user_id", "ad_id")
 
 

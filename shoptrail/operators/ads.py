@@ -40,8 +40,9 @@ def drop_banned(clicks: DataFrame, banned: DataFrame) -> DataFrame:
     """Rows of users that are not banned, repeats kept.
 
     Works on clicks as on counts. Counts are few per user, so counting first keeps a hot user out
-    of this join. Spark broadcasts the bans if their measured size allows it; otherwise both sides
-    are shuffled and adaptive execution splits a hot user's rows.
+    of this join. Spark broadcasts the bans if it knows them to be small, as it does of a table
+    (``sinks.tables.written``); otherwise both sides are shuffled and adaptive execution splits a
+    hot user's rows.
     """
     return clicks.join(banned.select("user_id"), "user_id", "left_anti").select(*clicks.columns)
 
@@ -55,19 +56,23 @@ def banned_users(clicks: DataFrame, threshold: int = 100, initial: DataFrame | N
     return found.union(initial.select("user_id")).distinct()
 
 
-def clicks_until_ban(clicks: DataFrame, threshold: int = 100, tie: str = "event_id") -> DataFrame:
-    """Clicks up to and with the one that gets their user banned, in order of ``ts`` and ``tie``.
+def ban_times(clicks: DataFrame, threshold: int = 100, tie: str = "event_id") -> DataFrame:
+    """The click ``(user_id, ban: (ts, tie))`` that gets a user banned, in order of ``ts`` and ``tie``.
 
-    This is what a filter that knew every ban at once would let through. Only the first ``threshold``
-    clicks of a day, ad and user matter for a ban, so no more leave a map task.
+    Only the first ``threshold`` clicks of a day, ad and user matter, so no more leave a map task.
     """
     first = top_per_group(clicks.select(*USER_KEYS, "ts", tie), USER_KEYS, [F.asc("ts"), F.asc(tie)], threshold)
-    bans = (
-        first.filter(F.col("rank") == threshold)
-        .groupBy("user_id")
-        .agg(F.min(F.struct("ts", tie)).alias("_ban"))
-    )
-    kept = F.col("_ban").isNull() | (F.struct("ts", tie) <= F.col("_ban"))
+    crossing = first.filter(F.col("rank") == threshold)
+    return crossing.groupBy("user_id").agg(F.min(F.struct("ts", tie)).alias("ban"))
+
+
+def clicks_until_ban(clicks: DataFrame, bans: DataFrame, tie: str = "event_id") -> DataFrame:
+    """Clicks up to and with the one that gets their user banned.
+
+    This is what a filter that knew every ban at once would let through. ``bans`` come from
+    ``ban_times``; they are joined like those of ``drop_banned``.
+    """
+    kept = F.col("ban").isNull() | (F.struct("ts", tie) <= F.col("ban"))
     return clicks.join(bans, "user_id", "left").filter(kept).select(*clicks.columns)
 
 

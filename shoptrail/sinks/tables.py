@@ -39,3 +39,14 @@ def checkpointed(table: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(work_folder(table.sparkSession, "checkpointed"))
     return table.checkpoint()
+
+
+def written(table: DataFrame) -> DataFrame:
+    """``table`` written to the shared work folder and read back.
+
+    Its size is then known before a join with it is planned, so a small one is broadcast and a large
+    one is not; of a computed table Spark only learns the size after it has shuffled the other side.
+    """
+    folder = work_folder(table.sparkSession, "written")
+    table.write.parquet(folder)
+    return table.sparkSession.read.schema(table.schema).parquet(folder)

@@ -30,7 +30,7 @@ def test_entry(spark):
     assert registry.entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", ["category_session_top10", "ad_area_top3", "clicks_until_ban"])
+@pytest.mark.parametrize("name", ["category_session_top10", "ad_area_top3"])
 def test_groups_are_cut_before_the_shuffle(spark, name):
     plan = plan_of(spark, name)
     steps = re.findall(r"(?:WindowGroupLimit .*, (Final|Partial)\n)|(Exchange) hashpartitioning", plan)
@@ -49,3 +49,15 @@ def test_counts_shuffle_partial_sums_only(spark):
     plan = plan_of(spark, "category_counts")
     assert plan.count("Exchange") == 1 and "partial_count" in plan
     assert "ReadSchema: struct<event_type:string,props:string>" in plan
+
+
+@pytest.mark.parametrize("name", ["blacklist_filtered_clicks", "clicks_until_ban"])
+def test_clicks_are_not_shuffled_for_few_bans(spark, name):
+    plan = plan_of(spark, name)
+    assert "BroadcastHashJoin [user_id" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_ban_times_cut_groups_before_the_shuffle(spark):
+    times = registry.ads.ban_times(registry._clicks(spark, SF_DIR))
+    plan = times._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"row_number\(\), 100, Final.*Exchange.*row_number\(\), 100, Partial", plan, re.DOTALL)
