@@ -207,7 +207,8 @@ def blacklist_filtered_clicks(spark, sf_dir):
 
 def clicks_until_ban(spark, sf_dir):
     clicks = _clicks(spark, sf_dir)
-    kept = ads.clicks_until_ban(clicks, written(ads.ban_times(clicks, THRESHOLD)))
+    heavy = written(heavy_user_ad_days(spark, sf_dir))
+    kept = ads.clicks_until_ban(clicks, written(ads.ban_times(clicks, heavy, THRESHOLD)))
     return kept.select("event_id", "date", "user_id", "ad_id")
 
 

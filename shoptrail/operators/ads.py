@@ -56,12 +56,14 @@ def banned_users(clicks: DataFrame, threshold: int = 100, initial: DataFrame | N
     return found.union(initial.select("user_id")).distinct()
 
 
-def ban_times(clicks: DataFrame, threshold: int = 100, tie: str = "event_id") -> DataFrame:
+def ban_times(clicks: DataFrame, heavy: DataFrame, threshold: int = 100, tie: str = "event_id") -> DataFrame:
     """The click ``(user_id, ban: (ts, tie))`` that gets a user banned, in order of ``ts`` and ``tie``.
 
-    Only the first ``threshold`` clicks of a day, ad and user matter, so no more leave a map task.
+    ``heavy`` lists the days, ads and users that reach the threshold (``at_least`` of ``count_by``);
+    only their clicks are put in order, and only the first ``threshold`` of each leave a map task.
     """
-    first = top_per_group(clicks.select(*USER_KEYS, "ts", tie), USER_KEYS, [F.asc("ts"), F.asc(tie)], threshold)
+    own = clicks.select(*USER_KEYS, "ts", tie).join(heavy.select(*USER_KEYS), USER_KEYS, "left_semi")
+    first = top_per_group(own, USER_KEYS, [F.asc("ts"), F.asc(tie)], threshold)
     crossing = first.filter(F.col("rank") == threshold)
     return crossing.groupBy("user_id").agg(F.min(F.struct("ts", tie)).alias("ban"))
 

@@ -58,6 +58,9 @@ def test_clicks_are_not_shuffled_for_few_bans(spark, name):
 
 
 def test_ban_times_cut_groups_before_the_shuffle(spark):
-    times = registry.ads.ban_times(registry._clicks(spark, SF_DIR))
-    plan = times._jdf.queryExecution().executedPlan().toString()
+    clicks = registry._clicks(spark, SF_DIR)
+    heavy = registry.written(registry.heavy_user_ad_days(spark, SF_DIR))
+    plan = registry.ads.ban_times(clicks, heavy)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"row_number\(\), 100, Final.*Exchange.*row_number\(\), 100, Partial", plan, re.DOTALL)
+    # The listed groups are few, so clicks meet them without a shuffle of their own.
+    assert re.search(r"Partial.*BroadcastHashJoin \[date", plan, re.DOTALL)
