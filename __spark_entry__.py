@@ -22,6 +22,14 @@ from shoptrail.sources import clicks as click_source
 from shoptrail.sources import event_views
 from shoptrail.streaming import jobs
 
+try:
+    from shoptrail.llm import queries as llm
+except ModuleNotFoundError as error:
+    # The library works without that subpackage; anything else that is missing is an error.
+    if error.name not in ("shoptrail.llm", "shoptrail.llm.queries"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the registered queries.
@@ -376,7 +384,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in [*_QUERIES, *(llm.QUERIES if llm else ())]}
 
 
 # --- oracles --------------------------------------------------------------------------------------
@@ -493,7 +501,7 @@ def oracle_sql() -> dict[str, str]:
         FROM ads WHERE arrival >= TIMESTAMP '{AS_OF}' - INTERVAL {TREND[0]} SECOND
           AND arrival < TIMESTAMP '{AS_OF}' GROUP BY 1"""
     )
-    return {
+    oracles = {
         "typed_actions": _shop_sql("SELECT * FROM uva"),
         "category_events": _shop_sql("SELECT * FROM kinds", _CATEGORY),
         "category_counts": counts,
@@ -593,3 +601,4 @@ def oracle_sql() -> dict[str, str]:
         "keyed_replace": area_json,
         "table_replace": counts,
     }
+    return oracles | (llm.ORACLES if llm else {})
