@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from shoptrail.llm.common import remainder, slices, split_words, word_hashes
+from shoptrail.llm.common import slices, split_words, training_rows, word_hashes
 
 FEATURES = (
     "log_words word_length long_words letters capitals digits marks odd_marks non_ascii line_words same_lines "
@@ -178,18 +178,6 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, bins: int = 32, pairs:
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, limit: int) -> DataFrame:
-    """``doc_id``, ``text`` and 0/1 ``label`` of labelled documents whose id's remainder is not ``held_out``.
-
-    At most ``limit`` labels are used, the first by hash of their id. Null ids and labels are left out; of
-    repeated labels of a document the largest counts.
-    """
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna()
-    known = known.filter(remainder(F.col("doc_id"), divisor) != held_out)
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-
-
 def fit_documents(
     docs: DataFrame, labels: DataFrame, label: str = "quality", divisor: int = 5, held_out: int = 0, limit: int = MAX_ROWS
 ) -> Additive:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import decontaminate, mixing, near_dups, quality, surrogates
+from shoptrail.llm import decontaminate, fingerprints, language_model, mixing, near_dups, quality, surrogates, token_counts, toxicity, url_filter
 from shoptrail.llm.common import remainder
 
 KEY = "registered-query"
@@ -13,18 +13,57 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_recurrent_lm(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scored = language_model.score(docs, *language_model.fit(docs.filter(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_template_decontamination(spark, sf_dir):
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_offset_token_counts(spark, sf_dir):
+    """Tokens of every line of every document; a token that crosses lines goes to the line it starts in."""
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op4_piecewise_fingerprints(spark, sf_dir):
+    return fingerprints.against_next(_table(spark, sf_dir, "documents"))
+
+
 def op5_hash_threshold_mix(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+# The rules of the query's contract: host, path, verdict.
+URL_RULES = [
+    ("net", "/", url_filter.BLOCK),
+    ("example.net", "/en/", url_filter.ALLOW),
+    ("example.com", "/de/", url_filter.BLOCK),
+    ("org", "/fr/", url_filter.ALLOW),
+]
+
+
+def op6_url_ngrams(spark, sf_dir):
+    """There is no table of labelled URLs: the pages that a rule fits, with its verdict, are the labelled rows."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    host, path = url_filter.host_and_path(F.col("url"))
+    ruled = pages.select("url", url_filter.longest_rule(host, path, URL_RULES)["verdict"].alias("verdict"))
+    return url_filter.judged(pages, URL_RULES, url_filter.fit(ruled))
+
+
 def op7_pii_surrogates(spark, sf_dir):
     return surrogates.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
 
 
+def op8_weak_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op9_tensored_minhash(spark, sf_dir):
     """Sets of four-word shingles, as the query's contract asks; the operator's own default is five."""
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
@@ -44,9 +83,14 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = [
+    op1_recurrent_lm,
     op2_template_decontamination,
+    op3_offset_token_counts,
+    op4_piecewise_fingerprints,
     op5_hash_threshold_mix,
+    op6_url_ngrams,
     op7_pii_surrogates,
+    op8_weak_toxicity,
     op9_tensored_minhash,
     op10_additive_quality,
     pipeline,
