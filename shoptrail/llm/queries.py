@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.llm import decontaminate, fingerprints, language_model, mixing, near_dups, quality, surrogates, token_counts, toxicity, url_filter
 from shoptrail.llm.common import remainder
+from shoptrail.llm.oracles import ORACLES as ORACLES
 
 KEY = "registered-query"
 
@@ -95,4 +96,3 @@ QUERIES = [
     op10_additive_quality,
     pipeline,
 ]
-ORACLES: dict[str, str] = {}

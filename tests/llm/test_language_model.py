@@ -1,0 +1,152 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from shoptrail.llm import language_model as lm
+from shoptrail.llm.common import remainder
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def small_net():
+    rng = np.random.default_rng(3)
+    net = lm.fresh(rng.integers(1, 50, 500), rng.integers(1, 50, lm.TAIL_CLASSES), hidden=4)
+    return net.of(net.flat() + rng.normal(0, 0.2, net.flat().shape).astype(np.float32) * (net.flat() > -1e8))
+
+
+def by_steps(net, symbols):
+    """One document, one step after another."""
+    h, last, total = np.zeros(net.turn.shape[0]), lm.START, 0.0
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    for s in symbols:
+        n, added, turned = len(h), net.inputs[last].astype(float), h @ net.turn
+        r, z = sigmoid(added[:n] + turned[:n]), sigmoid(added[n : 2 * n] + turned[n : 2 * n])
+        offer = np.tanh(added[2 * n :] + r * turned[2 * n :])
+        h = z * h + (1 - z) * offer
+        head = s < lm.HEAD_CLASSES * lm.CLASS_SIZE
+        k = s // lm.CLASS_SIZE if head else lm.HEAD_CLASSES + s - lm.HEAD_CLASSES * lm.CLASS_SIZE
+        total += math.log(softmax(h @ net.classes + net.class_bias)[k])
+        if head:
+            total += math.log(softmax(h @ net.words[k] + net.word_bias[k])[s % lm.CLASS_SIZE])
+        last = s
+    return total
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 64])
+def test_windows_and_lanes_do_not_change_the_likelihood(lanes):
+    rng, net = np.random.default_rng(lanes), small_net()
+    lengths = rng.integers(1, 90, 20)
+    lengths[3] = 700
+    symbols = np.where(rng.random(lengths.sum()) < 0.5, rng.integers(0, 400, lengths.sum()), rng.integers(lm.HEAD + 1, lm.SYMBOLS, lengths.sum()))
+    found = lm.log_probabilities(net, symbols, lengths, lanes)
+    starts = np.cumsum(lengths) - lengths
+    expected = [by_steps(net, symbols[s : s + n]) for s, n in zip(starts, lengths)]
+    assert np.allclose(found, expected, rtol=1e-4)
+
+
+def test_gradients():
+    """Backpropagation through one window against differences."""
+    rng, net = np.random.default_rng(5), small_net()
+    steps, lanes = 5, 3
+    symbols, targets = rng.integers(0, 400, (steps, lanes)), rng.choice([*range(400), *range(lm.HEAD + 1, lm.SYMBOLS)], steps * lanes)
+    keep = (rng.random((steps, lanes)) < 0.8).astype(np.float32)
+    state = np.zeros((lanes, 4), np.float32)
+
+    def loss(flat):
+        other = net.of(flat.astype(np.float64))
+        states, _, _ = lm._run(other, symbols, keep, state, False)
+        return -lm._outputs(other, states.reshape(-1, 4).astype(np.float64), targets)[0].sum()
+
+    grads = net.of(np.zeros_like(net.flat()))
+    states, _, traced = lm._run(net, symbols, keep, state, True)
+    _, back = lm._outputs(net, states.reshape(-1, 4), targets, grads)
+    lm._back(net, symbols, keep, traced, back.reshape(states.shape).astype(np.float32), grads)
+    flat, got = net.flat().astype(np.float64), grads.flat()
+    for i in rng.choice(np.flatnonzero(np.abs(got) > 1e-3), 40, replace=False):
+        step = np.zeros_like(flat)
+        step[i] = 1e-2
+        assert (loss(flat + step) - loss(flat - step)) / 2e-2 == pytest.approx(got[i], rel=0.05, abs=5e-3)
+
+
+def test_probabilities_of_all_words_sum_to_one(spark, docs_of):
+    """Over all known words, one unknown word of each tail class, and the end, after a given text."""
+    docs = docs_of([(i, f"the cat sat on mat{i % 7}, and dog{i % 5}.") for i in range(40)])
+    model, counts = lm.fit(docs)
+    known = [r["word"] for r in counts.collect()]
+    tail = [chr(c) + "?" * 9 + e for c in range(97, 97 + lm.FIRST_GROUPS) for e in (",", ".", "-")]
+    assert len(set(lm._tail_class(__import__("pyarrow").array(tail)))) == lm.TAIL_CLASSES
+    nexts = [*known, *tail, ""]
+    rows = [(i, f"the cat {w}") for i, w in enumerate(nexts)]
+    # A text's score holds its end too; the word alone is what a text's own end leaves.
+    scored = {r["doc_id"]: r["score"] for r in lm.score(docs_of(rows), model, counts).collect()}
+    net, total = model.net, 0.0
+    symbols, lengths, *_ = lm._tokens(__import__("pyarrow").array([t for _, t in rows]), __import__("pyarrow").array(model.words))
+    starts = np.cumsum(lengths) - lengths
+    for i, (s, n) in enumerate(zip(starts, lengths)):
+        prefix, whole = by_steps(net, symbols[s : s + 2]), by_steps(net, symbols[s : s + n])
+        one = by_steps(net, symbols[s : s + 3])
+        total += math.exp(scored[i] * math.log(10) - (whole - one) - by_prefix_counts(model, "the cat") - prefix)
+    assert total == pytest.approx(1, rel=1e-3)
+
+
+def by_prefix_counts(model, text):
+    """What counts add to the network's part for words in tail classes; none here, all are head words."""
+    assert all(w in model.words[: lm.HEAD] for w in text.split())
+    return 0.0
+
+
+def test_base_score_and_counts_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    training = docs.filter(remainder(docs["doc_id"], 7) != 2)
+    for listed in (lm.LISTED_WORDS, 50):
+        old, lm.LISTED_WORDS = lm.LISTED_WORDS, listed
+        try:
+            found = {r["doc_id"]: r for r in lm.score(docs, *lm.fit(training)).collect()}
+        finally:
+            lm.LISTED_WORDS = old
+        counts = Counter()
+        for doc_id, text in rows:
+            if zlib.crc32(str(doc_id).encode()) % 7 != 2:
+                counts.update([*words(text), None])
+        n, v = sum(counts.values()), len(counts)
+        for doc_id, text in rows:
+            tokens, r = [*words(text), None], found[doc_id]
+            assert r["train_tokens"] == n and r["n_tokens"] == len(tokens) and r["n_known"] == sum(counts[t] > 0 for t in tokens)
+            assert r["base_score"] == pytest.approx(sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens))
+        held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2]
+        assert sum(found[i]["score"] for i in held) > sum(found[i]["base_score"] for i in held)
+
+
+def test_odd_rows(odd_docs):
+    model, counts = lm.fit(odd_docs)
+    found = lm.score(odd_docs, model, counts).collect()
+    assert len(found) == odd_docs.count()
+    empty = [r for r in found if r["doc_id"] in (2, 3, 4)]
+    assert {(r["n_tokens"], r["n_known"]) for r in empty} == {(1, 1)} and len({r["score"] for r in empty}) == 1
+    assert all(r["score"] < 0 and np.isfinite(r["score"]) for r in found)
+    one = [r["score"] for r in found if r["doc_id"] == 1]
+    assert len(one) == 2 and one[0] == pytest.approx(one[1], rel=1e-5)
+
+
+def test_empty_tables(docs_of):
+    model, counts = lm.fit(docs_of([]))
+    assert lm.score(docs_of([]), model, counts).collect() == []
+    row = lm.score(docs_of([(1, "new words")]), model, counts).collect()[0]
+    assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (3, 0, 0, 0.0)
+
+
+def test_averages_are_weighted_and_summed_in_a_tree(spark):
+    rows = [(float(i + 1), (np.full(3, float(i)) * (i + 1)).tobytes()) for i in range(40)]
+    tokens, average = lm._averaged(spark.createDataFrame(rows, "tokens double, net binary"), at_once=4)
+    weights = np.arange(1, 41)
+    assert tokens == weights.sum() and np.allclose(average, (weights * np.arange(40)).sum() / weights.sum())

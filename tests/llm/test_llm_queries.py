@@ -1,0 +1,80 @@
+"""The registered queries: oracles, contracts' columns, and the pipeline."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as registry
+import corpus_pipeline
+from oracle import oracle_rows, same, spark_rows
+from shoptrail.llm import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+COLUMNS = {
+    "op1": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op4": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    "op5": "doc_id size source_size target taken",
+    "op6": "page_id host path rule verdict",
+    "op8": "doc_id held_out score predicted",
+    "op9": "doc_id n_shingles component_id kept",
+    "op10": "doc_id held_out score predicted",
+}
+
+
+def test_all_are_registered():
+    names = [q.__name__ for q in queries.QUERIES]
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert set(names) <= set(registry.queries()) and set(queries.ORACLES) <= set(registry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_query_equals_oracle(spark, name):
+    got = spark_rows(registry.queries()[name](spark, SF_DIR))
+    want = oracle_rows(SF_DIR, queries.ORACLES[name])
+    assert got[1] and same(got, want), (got[0], want[0], got[1][:3], want[1][:3])
+
+
+@pytest.mark.parametrize("query", [q for q in queries.QUERIES if q.__name__.split("_")[0] in COLUMNS], ids=lambda q: q.__name__)
+def test_columns_and_rows(spark, query):
+    result = query(spark, SF_DIR)
+    table, key = ("pages", "page_id") if "url" in query.__name__ else ("documents", "doc_id")
+    wanted = COLUMNS[query.__name__.split("_")[0]].split()
+    assert result.columns[: len(wanted)] == wanted
+    ids = sorted(r[0] for r in result.select(key).collect())
+    assert ids == sorted(r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).collect())
+
+
+@pytest.mark.parametrize("name", ["op2_template_decontamination", "op6_url_ngrams", "op7_pii_surrogates"])
+def test_native_plans(spark, name):
+    plan = registry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_stages_equal_their_operators(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    ids = lambda table: sorted(r["doc_id"] for r in table.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, SF_DIR)
+        assert result.schema == docs.schema, name
+        kept, before = ids(result), ids(docs)
+        assert set(kept) <= set(before) and len(kept) > 0.7 * len(before)
+        if name == "PII":
+            assert kept == before
+            assert all(r["n_chars"] == len(r["text"]) for r in result.collect())
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    assert set(last.columns) == {*docs.columns, "copies"} and last.filter("copies not between 1 and 3").isEmpty()
+
+
+def test_pipeline_runs_all_stages(spark):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "MinHash near-dedup", "benchmark decontamination", "PII", "mixing sources to target weights",
+    ]
+    result = registry.queries()["pipeline"](spark, SF_DIR)
+    assert 0 < result.count() < spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+
+
+def test_stages_on_odd_and_empty_documents(spark, odd_docs, docs_of):
+    for docs in (odd_docs, docs_of([])):
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs, SF_DIR).count() <= docs.count()

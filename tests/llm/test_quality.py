@@ -1,0 +1,60 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from shoptrail.llm import quality
+from shoptrail.llm.common import remainder
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_features_of_single_texts():
+    texts = ["", None, "the cat sat", "AAA AAA AAA AAA", "a b\n\na b\nc"]
+    x = quality.features(pa.array(texts))
+    at = {name: x[:, i] for i, name in enumerate(quality.FEATURES)}
+    assert not x[:2].any() or (at["line_words"][:2] == 0).all()
+    assert at["capitals"][3] == pytest.approx(12 / 15) and at["repeats"][3] == pytest.approx(3 / 4)
+    assert at["top_word"][3] == 1 and at["common_words"][2] == pytest.approx(1 / 3)
+    assert at["same_lines"][4] == pytest.approx(1 / 3) and at["word_length"][2] == pytest.approx(3)
+    # Whatever stands in the same batch.
+    alone = np.concatenate([quality.features(pa.array([t], pa.string())) for t in texts])
+    assert np.allclose(alone, x)
+
+
+def test_tables_learn_an_interaction():
+    rng = np.random.default_rng(1)
+    x = np.zeros((4000, len(quality.FEATURES)))
+    x[:, :2] = rng.random((4000, 2))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = quality.fit(x, y, rounds=60)
+    right = (model.score(x) > 0.5) == (y == 1)
+    assert {model.pairs[0][0], model.pairs[0][1]} == {0, 1} and right.mean() > 0.95
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_documents(docs, labels)
+    scored = quality.score(docs, model, keep=["doc_id"]).join(labels, "doc_id").filter(remainder(labels["doc_id"], 5) == 0).toPandas()
+    assert len(scored) > 50 and (scored["predicted"] == scored["quality"]).mean() >= 0.95
+
+
+def test_the_fit_repeats_itself_and_is_bounded(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    one, two = (quality.fit_documents(d, labels, limit=100) for d in (docs, docs.repartition(5)))
+    assert all(np.array_equal(a, b) for a, b in zip(one.tables, two.tables))
+
+
+def test_odd_rows(spark, odd_docs):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, None, 0), (None, 1, 1), (8, 0, 1)], "doc_id long, quality int, toxic int")
+    model = quality.fit_documents(odd_docs, labels, divisor=1, held_out=1)
+    result = quality.score(odd_docs, model)
+    assert result.count() == odd_docs.count() and dict(result.dtypes)["score"] == "double"
+    assert set(result.columns) == {*odd_docs.columns, "predicted"}
+    assert all(0 <= r["score"] <= 1 for r in result.collect())
+
+
+def test_without_labels_or_documents(spark, docs_of):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs = docs_of([(1, "text"), (2, None)])
+    assert {r["score"] for r in quality.score(docs, quality.fit_documents(docs, labels)).collect()} == {0.5}
+    assert quality.score(docs_of([]), quality.fit_documents(docs_of([]), labels)).collect() == []
