@@ -16,10 +16,11 @@ from shoptrail.functions import text, times
 from shoptrail.operators import ads, categories, filters, flows, sessions
 from shoptrail.plans import ads as ad_plans
 from shoptrail.plans import shop
-from shoptrail.session import apply_settings, work_folder
-from shoptrail.sinks.tables import checkpointed, replace_table, written
+from shoptrail.session import apply_settings, delete_on_exit, work_folder
+from shoptrail.sinks.tables import first_rows, replace_table, written
 from shoptrail.sources import clicks as click_source
 from shoptrail.sources import event_views
+from shoptrail.sources.tables import table_scan
 from shoptrail.streaming import jobs
 
 try:
@@ -38,6 +39,7 @@ FIRST_DAY, LAST_DAY = "2024-01-08", "2024-01-21"
 MIDDLE = "2024-01-16"
 THRESHOLD = 3
 AS_OF = "2024-01-15 12:00:00"
+RUN = "run-1"
 TREND = (21600, 3600, 3600)  # seconds: width, slide, bucket
 
 
@@ -64,18 +66,32 @@ def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of click lines, parsed again. A glob serves both a file and a folder."""
-    schema = _events(spark, sf_dir).schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events}}.parquet")
-    lines = event_views.click_lines(_as_clicks(events, sf_dir))
-    return click_source.parse_click_lines(click_source.line_values(lines))
+    """All events as a stream of click lines in three batches or more, parsed again.
+
+    The lines are dealt to files by their hash, so every batch holds clicks of all times and they
+    come out of order of arrival.
+    """
+    lines = event_views.click_lines(_clicks(spark, sf_dir))
+    folder = work_folder(spark, "click-lines")
+    files = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines.repartition(files, F.xxhash64("value")).write.parquet(folder)
+    delete_on_exit(spark, folder)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", files // 3).parquet(folder)
+    return click_source.parse_click_lines(click_source.line_values(stream))
 
 
 # --- shop queries ---------------------------------------------------------------------------------
 
 
 def typed_actions(spark, sf_dir):
-    return _actions(spark, sf_dir)
+    """The visits saved as a catalog table of texts, and scanned under their schema."""
+    actions = _actions(spark, sf_dir)
+    folder = work_folder(spark, "visits")
+    name = "shoptrail_visits_" + folder.rsplit("-", 1)[1]
+    texts = actions.select(*[F.col(c).cast("string") if c != "event_id" else F.col(c) for c in actions.columns])
+    replace_table(texts, name, folder)
+    delete_on_exit(spark, folder)
+    return table_scan(spark, name, keep=["event_id"])
 
 
 def category_events(spark, sf_dir):
@@ -94,6 +110,20 @@ def category_session_top10(spark, sf_dir):
     return shop.category_session_top10(_actions(spark, sf_dir))
 
 
+def category_top10_run(spark, sf_dir):
+    """Rows as they are appended to a result table: with the run's id."""
+    return shop.category_top10(_actions(spark, sf_dir), task_id=RUN)
+
+
+def category_session_top10_run(spark, sf_dir):
+    return shop.category_session_top10(_actions(spark, sf_dir), FIRST_DAY, LAST_DAY, task_id=RUN)
+
+
+def first_actions(spark, sf_dir):
+    """The first ten visits, to be shown."""
+    return first_rows(_actions(spark, sf_dir).select("event_id", "session_id", "page_id").orderBy("event_id"))
+
+
 def top_category_clicks_semi(spark, sf_dir):
     actions = _actions(spark, sf_dir)
     clicks = categories.clicks_in(actions, shop.category_top10(actions))
@@ -110,6 +140,22 @@ def not_blank_filter(spark, sf_dir):
     return chosen.select("event_id", "order_category_ids")
 
 
+def list_texts(spark, sf_dir):
+    """Blank lists, lists of separators and lists that end in some, derived from the events."""
+    lists = F.expr(
+        r"""CASE event_id % 8 WHEN 0 THEN '' WHEN 1 THEN ' ' WHEN 2 THEN '\t\n ' WHEN 3 THEN ',' WHEN 4 THEN concat(user_id, ',,')
+        WHEN 5 THEN concat(',', user_id) WHEN 6 THEN concat(user_id, ',,', event_type) END"""
+    )
+    rows = _events(spark, sf_dir).select("event_id", lists.alias("list"))
+    parts = text.split_list(F.col("list"))
+    return rows.select(
+        "event_id",
+        F.coalesce(text.is_not_blank(F.col("list")), F.lit(False)).alias("filled"),
+        F.size(parts).alias("parts"),
+        F.array_join(parts, "|").alias("joined"),
+    )
+
+
 def page_views(spark, sf_dir):
     return flows.page_views(_actions(spark, sf_dir), PATH)
 
@@ -138,7 +184,7 @@ def page_flow_ratio(spark, sf_dir):
 def checkpointed_page_flow(spark, sf_dir):
     """The two-branch form: visit actions are written once, then viewed and followed."""
     columns = ["session_id", "action_time", "page_id", "event_id"]
-    actions = checkpointed(_actions(spark, sf_dir).select(*columns))
+    actions = written(_actions(spark, sf_dir).select(*columns))
     pairs = sessions.page_pairs(sessions.with_next_action(actions, ["page_id"]))
     steps = flows.with_page_views(flows.pair_counts(pairs, PATH), flows.page_views(actions, PATH))
     return _rounded(flows.conversion_ratio(steps))
@@ -252,15 +298,17 @@ def ad_trend_sliding(spark, sf_dir):
 
 def ad_trend_window(spark, sf_dir):
     """One window of the sliding trend, as it is shown when the window closes."""
-    windows = ads.trend_windows(ads.trend_panes(_clicks(spark, sf_dir), *TREND), *TREND[:2])
-    return ads.window_report(windows, F.to_timestamp(F.lit(AS_OF)) - F.make_dt_interval(secs=F.lit(TREND[0])))
+    end = F.to_timestamp(F.lit(AS_OF))
+    start = end - F.make_dt_interval(secs=F.lit(TREND[0]))
+    clicks = _clicks(spark, sf_dir).filter((F.col("arrival") >= start) & (F.col("arrival") < end))
+    return ads.window_report(ads.trend_panes(clicks, *TREND), start, *TREND[:2])
 
 
 # --- streaming queries ----------------------------------------------------------------------------
 
 
 def _run(spark, sf_dir, name, job, table, **options):
-    """Run a job over all events there are, then read the table it keeps."""
+    """Run a job over all events there are, in several batches, then read the table it keeps."""
     stream = _click_stream(spark, sf_dir)
     root = work_folder(spark, name)
     query = job(stream, f"{root}/tables", f"{root}/checkpoint", trigger=jobs.ALL_AVAILABLE, **options)
@@ -338,9 +386,13 @@ _QUERIES = [
     category_counts,
     category_top10,
     category_session_top10,
+    category_top10_run,
+    category_session_top10_run,
+    first_actions,
     top_category_clicks_semi,
     date_range_filter,
     not_blank_filter,
+    list_texts,
     page_views,
     session_page_pairs,
     page_pair_counts,
@@ -506,6 +558,16 @@ def oracle_sql() -> dict[str, str]:
         "category_events": _shop_sql("SELECT * FROM kinds", _CATEGORY),
         "category_counts": counts,
         "category_top10": _shop_sql("SELECT * FROM top10", _CATEGORY),
+        "category_top10_run": _shop_sql(f"""SELECT '{RUN}' AS "taskId", * FROM top10""", _CATEGORY),
+        "category_session_top10_run": _shop_sql(
+            f""", clicks AS (
+              SELECT CAST(click_category_id AS VARCHAR) AS c, session_id, count(*) AS n FROM uva
+              WHERE CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top10) GROUP BY ALL),
+            r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY n DESC, session_id) AS rn FROM clicks)
+            SELECT '{RUN}' AS "taskId", c AS "categoryId", session_id AS "sessionId", n AS "clickCount" FROM r WHERE rn <= 10""",
+            _CATEGORY,
+        ).replace("FROM ev)", f"FROM ev WHERE dt BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}')", 1),
+        "first_actions": _shop_sql("SELECT event_id, session_id, page_id FROM uva ORDER BY event_id LIMIT 10"),
         "category_session_top10": _shop_sql(
             """, clicks AS (
               SELECT CAST(click_category_id AS VARCHAR) AS c, session_id, count(*) AS n FROM uva
@@ -525,6 +587,13 @@ def oracle_sql() -> dict[str, str]:
         "not_blank_filter": _shop_sql(
             "SELECT event_id, order_category_ids FROM uva WHERE order_category_ids IS NOT NULL"
         ),
+        "list_texts": """
+            SELECT event_id, event_id % 8 IN (3, 4, 5, 6) AS filled,
+              CAST(CASE event_id % 8 WHEN 3 THEN 0 WHEN 5 THEN 2 WHEN 6 THEN 3 WHEN 7 THEN NULL ELSE 1 END AS INT) AS parts,
+              CASE event_id % 8 WHEN 0 THEN '' WHEN 1 THEN ' ' WHEN 2 THEN concat(chr(9), chr(10), ' ') WHEN 3 THEN ''
+                WHEN 4 THEN CAST(user_id AS VARCHAR) WHEN 5 THEN concat('|', user_id)
+                WHEN 6 THEN concat(user_id, '||', event_type) END AS joined
+            FROM events""",
         "page_views": _shop_sql("SELECT * FROM views", _FOLLOWED),
         "session_page_pairs": _shop_sql(
             """SELECT session_id, event_id, page_id AS from_page, next_page AS to_page

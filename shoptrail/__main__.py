@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
         query.add_argument("--ties", nargs="+", default=["page_id"], help="order of actions of the same second")
         if name == "page_flow_ratio":
             query.add_argument("--path-pages", default="1,2,3,4,5,6,7", help="target path")
+        query.add_argument("--rows", type=int, help="print so many rows only; all by default")
         query.add_argument("--jdbc-url", help="append the result there instead of printing it")
         query.add_argument("--jdbc-table")
         query.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
@@ -50,8 +51,15 @@ def _parser() -> argparse.ArgumentParser:
         query.add_argument("--root", required=True, help="folder of the tables the job keeps")
         query.add_argument("--checkpoint", required=True)
         query.add_argument("--once", action="store_true", help="stop when all there is has been read")
+        query.add_argument("--starting", default="latest", help="Kafka offsets a new checkpoint starts at")
+        query.add_argument("--batch-limit", type=int, help="Kafka offsets or files per batch; a backlog takes several")
         if name == "blacklist":
             query.add_argument("--threshold", type=int, default=100)
+            query.add_argument("--initial", help="parquet folder of users (user_id) banned from the start")
+        if name in ("user_ad_counts", "ad_area_top3"):
+            query.add_argument("--expire-after", help="drop days from the state so long after, for instance '7 days'")
+        if name == "ad_trend":
+            query.add_argument("--rows", type=int, help="print so many rows of a report only; all by default")
     return parser
 
 
@@ -68,6 +76,13 @@ def _shop_result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return getattr(shop, args.query)(actions, task_id=new_task_id(), **days)
 
 
+def print_rows(result: DataFrame, rows: int | None = None) -> None:
+    """Print a result, partition by partition; all of it unless ``rows`` is given."""
+    print("|" + "|".join(result.columns) + "|")
+    for row in (result if rows is None else result.limit(rows)).toLocalIterator():
+        print("|" + "|".join("" if value is None else str(value) for value in row) + "|")
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"shoptrail-{args.query}")
@@ -77,14 +92,20 @@ def main(argv: Sequence[str] | None = None) -> None:
             options = dict(option.split("=", 1) for option in args.jdbc_option)
             append_jdbc(result, args.jdbc_url, args.jdbc_table or args.query, options)
         else:
-            result.show(100, truncate=False)
+            print_rows(result, args.rows)
         return
-    lines = kafka_click_lines(spark, args.servers, args.topic) if args.servers else file_click_lines(spark, args.lines)
+    if args.servers:
+        lines = kafka_click_lines(spark, args.servers, args.topic, args.starting, args.batch_limit)
+    else:
+        lines = file_click_lines(spark, args.lines, args.batch_limit)
     options = {"trigger": jobs.ALL_AVAILABLE} if args.once else {}
     if args.query == "blacklist":
         options["threshold"] = args.threshold
+        options["initial"] = spark.read.parquet(args.initial) if args.initial else None
+    if getattr(args, "expire_after", None):
+        options["expire_after"] = args.expire_after
     if args.query == "ad_trend":
-        options["report"] = lambda window: window.show(10, truncate=False)
+        options["report"] = lambda windows: print_rows(windows, args.rows)
     query = LIVE[args.query](parse_click_lines(lines), args.root, args.checkpoint, **options)
     query.awaitTermination()
 

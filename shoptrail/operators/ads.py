@@ -125,7 +125,9 @@ def ad_trend_sliding(
     return windows.select("window_start", bucket_label(F.col("bucket_start")).alias("bucket"), "n")
 
 
-def window_report(windows: DataFrame, start: Column) -> DataFrame:
-    """The trend of the window that begins at ``start``, in order of time."""
-    one = windows.filter(F.col("window_start") == start).orderBy("bucket_start")
+def window_report(panes: DataFrame, start: Column, width: int = 60, slide: int = 10) -> DataFrame:
+    """The trend of the window that begins at ``start``, in order of time; only its own panes are counted."""
+    end = start + F.make_dt_interval(secs=F.lit(width))
+    own = panes.filter((F.col("pane") >= start) & (F.col("pane") < end))
+    one = trend_windows(own, width, slide).filter(F.col("window_start") == start).orderBy("bucket_start")
     return one.select(bucket_label(F.col("bucket_start")).alias("bucket"), "n")

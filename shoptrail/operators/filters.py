@@ -1,5 +1,6 @@
 """Row filters shared by the batch queries."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +28,14 @@ def is_click(category: Column) -> Column:
 
 
 def is_one_of(column: Column, texts: Sequence[str]) -> Column:
-    """Membership as text, so ``'01'`` does not match 1."""
-    return column.cast("string").isin(list(texts))
+    """Whether a ``bigint`` is written like one of the texts, so ``'01'`` does not match 1.
+
+    Texts that are no plain number match nothing; the others become numbers, so that the test is on the
+    bare column and reaches the scan.
+    """
+    plain = [t for t in texts if re.fullmatch("0|-?[1-9][0-9]{0,18}", t)]
+    numbers = [n for n in map(int, plain) if -(2**63) <= n < 2**63]
+    return column.isin(numbers) if numbers else F.lit(False)
 
 
 def is_pair_of(first: Column, second: Column, pairs: Sequence[tuple[str, str]]) -> Column:

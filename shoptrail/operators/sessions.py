@@ -14,24 +14,26 @@ from shoptrail.functions.times import text_to_epoch_ms
 
 HOT_ROWS = 1_000_000
 
-# Session ids are hashed into so many slots; the list of hot slots has fewer rows whatever the
-# table holds.
-_SLOTS = 16384
+# Session ids are hashed into so many slots. A session of more than 2/SLOTS of all rows is always
+# found, and the list of hot slots has fewer than SLOTS/2 rows whatever the table holds.
+SLOTS = 1 << 18
 
 
-def _slot(session: str) -> str:
-    return f"pmod(xxhash64({session}), {_SLOTS})"
+def _slot(session: str, slots: int) -> str:
+    return f"pmod(xxhash64({session}), {slots})"
 
 
-def hot_slots(actions: DataFrame, session: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_slots(
+    actions: DataFrame, session: str = "session_id", hot_rows: int = HOT_ROWS, slots: int = SLOTS
+) -> DataFrame:
     """Hash slots of session ids that hold at least ``hot_rows`` rows and twice the mean of all slots.
 
     A hot session makes its slot hot. The counts are exact, and a map task sends one number per
     slot. The list only decides how rows are laid out: other sessions of a hot slot go the same way
     and have the same result.
     """
-    counts = actions.groupBy(F.expr(f"{_slot(session)} AS slot")).agg(F.count("*").alias("n"))
-    mean = counts.selectExpr("slot", "n", f"sum(n) OVER (PARTITION BY 0) / {_SLOTS} AS mean")
+    counts = actions.groupBy(F.expr(f"{_slot(session, slots)} AS slot")).agg(F.count("*").alias("n"))
+    mean = counts.selectExpr("slot", "n", f"sum(n) OVER (PARTITION BY 0) / {slots} AS mean")
     return mean.filter(f"n >= {hot_rows} AND n >= 2 * mean").select("slot")
 
 
@@ -82,6 +84,7 @@ def with_next_action(
     time: str = "action_time",
     ties: Sequence[str] = ("event_id",),
     hot_rows: int | None = HOT_ROWS,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Each action with ``next_<value>`` of the action after it in its session, and ``has_next``.
 
@@ -96,11 +99,11 @@ def with_next_action(
     if hot_rows is None:
         return _lead(actions, [session], order, values)
 
-    hot = F.broadcast(hot_slots(actions, session, hot_rows).selectExpr("slot", "true AS _hot"))
+    hot = F.broadcast(hot_slots(actions, session, hot_rows, slots).selectExpr("slot", "true AS _hot"))
     # Actions without a session id make up one session too. Their slices bear a mark, so that a
     # plain equality of session and slice can tell them from the empty id.
     marked = (
-        actions.join(hot, F.expr(f"{_slot(session)} = slot"), "left")
+        actions.join(hot, F.expr(f"{_slot(session, slots)} = slot"), "left")
         .selectExpr(
             "*",
             f"coalesce({session}, '') AS _session",

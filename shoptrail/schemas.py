@@ -67,6 +67,15 @@ CITY_AD_COUNTS = T.StructType(
     ]
 )
 
+AREA_AD_COUNTS = T.StructType(
+    [
+        T.StructField("date", T.StringType()),
+        T.StructField("area", T.StringType()),
+        T.StructField("ad_id", T.StringType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+
 AREA_TOP_ADS = T.StructType(
     [
         T.StructField("date", T.StringType()),
@@ -77,8 +86,12 @@ AREA_TOP_ADS = T.StructType(
 
 BANNED_USERS = T.StructType([T.StructField("user_id", T.StringType())])
 
+# Until when, in epoch seconds, windows of the trend have been reported.
+TREND_CLOCK = T.StructType([T.StructField("clock", T.IntegerType()), T.StructField("until", T.LongType())])
+
 TREND_COUNTS = T.StructType(
     [
+        T.StructField("date", T.StringType()),
         T.StructField("pane", T.TimestampType()),
         T.StructField("bucket_start", T.TimestampType()),
         T.StructField("n", T.LongType()),

@@ -34,7 +34,11 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Put the runtime settings on a session somebody else built."""
+    """Put the runtime settings on a session somebody else built; they stay on it for good.
+
+    The registered queries call it, as their results depend on zone and ANSI mode. Library functions
+    never do: a caller who wants other settings uses those.
+    """
     for key, value in {**SESSION_SETTINGS, **STREAM_SETTINGS}.items():
         spark.conf.set(key, value)
     return spark
@@ -52,3 +56,51 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="shoptrail-")
     return f"{shared.rstrip('/')}/shoptrail/{name}-{uuid.uuid4().hex}"
+
+
+def _file_context(spark: SparkSession, path: str):
+    """Hadoop's file context for a path, and the path for it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop.FileContext.getFileContext(place.getFileSystem(conf).getUri(), conf), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens if there is none."""
+    context, place = _file_context(spark, path)
+    if context.util().exists(place):
+        context.delete(place, True)
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Let a folder live as long as the application."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place of an older one at once: readers see the old or the new text."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context, place = _file_context(spark, path)
+    fresh = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(place.getParent())
+    stream = system.create(fresh)
+    stream.writeBytes(text)
+    stream.close()
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context.rename(fresh, place, options)
+
+
+def published_text(spark: SparkSession, path: str) -> str | None:
+    """The text of such a file, ``None`` where there is none."""
+    context, place = _file_context(spark, path)
+    if not context.util().exists(place):
+        return None
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        return stream.readLine()
+    finally:
+        stream.close()

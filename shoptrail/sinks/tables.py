@@ -1,10 +1,11 @@
 """Catalog tables and materialized intermediate results."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from shoptrail.session import work_folder
+from shoptrail.session import delete_on_exit, work_folder
 
 
 def replace_table(
@@ -12,15 +13,23 @@ def replace_table(
 ) -> DataFrame:
     """Write ``result`` as catalog table ``name``, whatever was there before, and return the table.
 
-    ``path`` puts the files in a folder of the caller's. Partitioning visit actions by ``date`` lets
-    date bounds skip folders. ``result`` must not read from the table it replaces.
+    The result is written under another name first and takes the old table's place when it is
+    complete. So a failed write leaves the old table as it was, and ``result`` may read from it.
+    ``path`` puts the files in a folder of the caller's, which must not be the old table's.
+    Partitioning visit actions by ``date`` lets date bounds skip folders.
     """
     spark = result.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = result.write.mode("overwrite").format("parquet").partitionBy(*partition_by)
+    fresh = f"{name}_{uuid.uuid4().hex}"
+    writer = result.write.format("parquet").partitionBy(*partition_by)
     if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        writer = writer.mode("overwrite").option("path", path)
+    try:
+        writer.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return spark.table(name)
 
 
@@ -29,24 +38,15 @@ def first_rows(result: DataFrame, n: int = 10) -> DataFrame:
     return result.limit(n)
 
 
-def checkpointed(table: DataFrame) -> DataFrame:
-    """``table`` written once to the shared checkpoint folder, for reuse by several branches.
-
-    The files survive the loss of executors. Worth it when computing the table costs more than
-    writing and reading it; a plain scan does not.
-    """
-    context = table.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_folder(table.sparkSession, "checkpointed"))
-    return table.checkpoint()
-
-
 def written(table: DataFrame) -> DataFrame:
     """``table`` written to the shared work folder and read back.
 
     Its size is then known before a join with it is planned, so a small one is broadcast and a large
     one is not; of a computed table Spark only learns the size after it has shuffled the other side.
+    Several branches may read it, each only its own columns. The files survive the loss of executors
+    and go when the application ends.
     """
     folder = work_folder(table.sparkSession, "written")
     table.write.parquet(folder)
+    delete_on_exit(table.sparkSession, folder)
     return table.sparkSession.read.schema(table.schema).parquet(folder)

@@ -7,13 +7,17 @@ from shoptrail.functions.times import day_text
 
 
 def kafka_click_lines(
-    spark: SparkSession, servers: str, topic: str = "ads_log", starting: str = "latest", **options: str
+    spark: SparkSession, servers: str, topic: str = "ads_log", starting: str = "latest",
+    offsets_per_batch: int | None = None, **options: str,
 ) -> DataFrame:
     """Click lines of a Kafka topic as ``(value, arrival)``; needs the Kafka connector package.
 
     ``arrival`` is the record's own timestamp. Offsets live in the query's checkpoint, so every job
-    reads the whole topic by itself and no consumer group is shared.
+    reads the whole topic by itself and no consumer group is shared. ``offsets_per_batch`` cuts a
+    backlog into batches; nothing is skipped.
     """
+    if offsets_per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(offsets_per_batch)
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)

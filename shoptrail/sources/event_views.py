@@ -5,6 +5,10 @@ stands for the page, category or ad. These views feed the queries where no shop
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Cities broadcast at most; some 100 bytes each.
+MOST_CITIES = 100_000
 
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k"
 _DAY = "CAST(CAST(ts AS DATE) AS STRING) AS date"
@@ -36,15 +40,18 @@ def ad_clicks(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFr
     """Parsed ad clicks, one per event; a nation is a city, a region an area.
 
     The line format is separated by spaces, so an area name holds none. ``arrival`` trails the
-    click by ``k`` seconds.
+    click by ``k`` seconds. Cities are counted and broadcast, so that clicks are neither broadcast nor
+    shuffled on the few cities; more than ``MOST_CITIES`` are refused.
     """
     cities = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
         "n_nationkey AS city_key", "n_name AS city", "replace(r_name, ' ', '-') AS area"
     )
+    if cities.limit(MOST_CITIES + 1).count() > MOST_CITIES:
+        raise ValueError(f"more than {MOST_CITIES} cities to broadcast")
     keyed = events.selectExpr(
         "event_id", "user_id", "CAST(ts AS TIMESTAMP) AS ts", _DAY, _K, "user_id % 25 AS city_key"
     )
-    return keyed.join(cities, "city_key").selectExpr(
+    return keyed.join(F.broadcast(cities), "city_key").selectExpr(
         "ts",
         "date",
         "area",

@@ -15,13 +15,17 @@ def typed(table: DataFrame, schema: T.StructType, keep: Iterable[str] = ()) -> D
 
 
 def table_scan(
-    spark: SparkSession, name: str, database: str | None = None, schema: T.StructType = USER_VISIT_ACTION
+    spark: SparkSession,
+    name: str,
+    database: str | None = None,
+    schema: T.StructType = USER_VISIT_ACTION,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """A catalog table under its fixed schema.
+    """A catalog table under its fixed schema, with the further columns named in ``keep``.
 
     Nothing is read here: the columns and date bounds a query uses reach the scan.
     """
-    return typed(spark.table(f"{database}.{name}" if database else name), schema)
+    return typed(spark.table(f"{database}.{name}" if database else name), schema, keep)
 
 
 def parquet_scan(spark: SparkSession, path: str, schema: T.StructType = USER_VISIT_ACTION) -> DataFrame:

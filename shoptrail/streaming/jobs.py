@@ -26,8 +26,8 @@ def user_ad_table(root: str) -> KeyedTable:
 
 
 def ban_counter_table(root: str) -> KeyedTable:
-    """Admitted clicks per day, ad and user, added up over batches."""
-    return KeyedTable(f"{root}/admitted_counts", schemas.USER_AD_COUNTS, summed(ads.USER_KEYS), ("date",))
+    """Running clicks per day, ad and user up to the batch that got the user banned, newest count wins."""
+    return KeyedTable(f"{root}/admitted_counts", schemas.USER_AD_COUNTS, newest(ads.USER_KEYS), ("date",))
 
 
 def banned_table(root: str) -> KeyedTable:
@@ -39,9 +39,9 @@ def city_counter_table(root: str) -> KeyedTable:
     return KeyedTable(f"{root}/city_counts", schemas.CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",))
 
 
-def city_running_table(root: str) -> KeyedTable:
-    """Running clicks per day, area, city and ad, newest count wins."""
-    return KeyedTable(f"{root}/city_running", schemas.CITY_AD_COUNTS, newest(ads.CITY_KEYS), ("date",))
+def area_running_table(root: str) -> KeyedTable:
+    """Running clicks per day, area and ad, newest count wins."""
+    return KeyedTable(f"{root}/area_running", schemas.AREA_AD_COUNTS, newest(ads.AREA_KEYS), ("date",))
 
 
 def area_top_table(root: str) -> KeyedTable:
@@ -50,8 +50,13 @@ def area_top_table(root: str) -> KeyedTable:
 
 
 def trend_table(root: str) -> KeyedTable:
-    """Clicks per pane of arrival and bucket, newest count wins."""
-    return KeyedTable(f"{root}/trend", schemas.TREND_COUNTS, newest(["pane", "bucket_start"]))
+    """Clicks per pane of arrival and bucket, added up over batches; split by the day of arrival."""
+    return KeyedTable(f"{root}/trend", schemas.TREND_COUNTS, summed(["date", "pane", "bucket_start"]), ("date",))
+
+
+def trend_clock(root: str) -> KeyedTable:
+    """The end of the last window that was reported."""
+    return KeyedTable(f"{root}/trend_clock", schemas.TREND_CLOCK, newest(["clock"]))
 
 
 def start(
@@ -70,7 +75,7 @@ def to_console(
     stream: DataFrame, checkpoint: str, mode: str = "update", rows: int = 10,
     trigger: Mapping[str, object] = EVERY_5_SECONDS,
 ) -> StreamingQuery:
-    """Print the first rows of every micro-batch."""
+    """Print the first ``rows`` rows of every micro-batch."""
     writer = stream.writeStream.format("console").outputMode(mode).option("numRows", rows)
     return writer.option("truncate", False).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -125,23 +130,24 @@ def block_heavy_clickers(
     A ban holds for all ads and days from the next batch on; the batch that reaches the threshold
     still counts in full. Users are judged only by batches they click in. ``initial`` users are
     banned from the start; it must be the same on a restart.
+
+    The state store holds the running count of every key and a batch gets those it changed, so no
+    counter is read again. Counts of banned users go on in the state only; a user taken off the list
+    by hand is judged with the clicks made during the ban.
     """
     counts, banned = ban_counter_table(root), banned_table(root)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = banned.as_of(spark, batch_id - 1)
+        known = banned.as_of(batch.sparkSession, batch_id - 1)
         if batch_id == 0 and initial is not None:
             known = initial.select("user_id")
-        counts.put(ads.drop_banned(ads.count_by(batch, ads.USER_KEYS), known), batch_id)
-        touched = counts.added(spark, batch_id).select(*ads.USER_KEYS)
-        totals = counts.as_of(spark, batch_id, only=touched)
-        found = ads.at_least(totals, threshold).select("user_id").distinct()
+        counts.put(ads.drop_banned(batch, known), batch_id)
+        found = ads.at_least(counts.added(batch.sparkSession, batch_id), threshold).select("user_id").distinct()
         if batch_id == 0:
             found = found.union(known)
         banned.put(found, batch_id)
 
-    return start(clicks, step, checkpoint, trigger=trigger)
+    return start(running_counts(clicks, ads.USER_KEYS), step, checkpoint, "update", trigger)
 
 
 def rank_area_ads(
@@ -154,19 +160,19 @@ def rank_area_ads(
 ) -> StreamingQuery:
     """Keep the top ``k`` ads of each day and area as JSON text.
 
-    The state store holds the running city counts. A batch gets those it changed, and ranks again
+    The state store holds the running counts of areas. A batch gets those it changed, and ranks again
     only the days and areas they belong to.
     """
-    counts, top = city_running_table(root), area_top_table(root)
+    counts, top = area_running_table(root), area_top_table(root)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         counts.put(batch, batch_id)
         touched = counts.added(spark, batch_id).select("date", "area").distinct()
-        totals = ads.sum_by(counts.as_of(spark, batch_id, only=touched), ads.AREA_KEYS)
+        totals = counts.as_of(spark, batch_id, only=touched)
         top.put(ads.ads_json(ads.top_ads(totals, k)), batch_id)
 
-    changed = running_counts(clicks, ads.CITY_KEYS, expire_after)
+    changed = running_counts(clicks, ads.AREA_KEYS, expire_after)
     return start(changed, step, checkpoint, "update", trigger)
 
 
@@ -177,35 +183,46 @@ def chart_trend(
     width: int = 60,
     slide: int = 10,
     bucket: int = 10,
-    late: str | None = "60 seconds",
     arrival: str = "arrival",
     report: Callable[[DataFrame], None] | None = None,
     trigger: Mapping[str, object] = EVERY_5_SECONDS,
 ) -> StreamingQuery:
     """Keep the click counts that the trend of every window is made of.
 
-    Arrival times only grow, so counts can leave the state soon: ``late`` is the watermark on
-    arrival, ``None`` keeps them. ``ads.trend_windows`` over the table gives the windows. ``report``
-    gets the newest window after each batch with clicks, in order of time, for instance to ``show`` it.
+    Each batch adds its counts per pane to the table; nothing is dropped, however late a click is.
+    ``ads.trend_windows`` over the table gives the windows. ``report`` gets, after a batch, all windows
+    that ended since the last report, ``(window_start, bucket, n)`` in order of time: those up to the
+    newest pane of arrival seen. Clicks that arrive late count in the table, but no window is
+    reported twice, and windows without clicks have no rows. A batch that runs again reports again.
     """
-    table = trend_table(root)
-    if late is not None:
-        clicks = clicks.withWatermark(arrival, late)
+    table, clock = trend_table(root), trend_clock(root)
+    pane_width = math.gcd(width, slide)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        table.put(batch, batch_id)
+        spark = batch.sparkSession
+        panes = ads.trend_panes(batch, width, slide, bucket, arrival)
+        table.put(panes.withColumn("date", day_text(F.col("pane"))), batch_id)
         if report is None:
             return
-        newest_pane = table.added(batch.sparkSession, batch_id).agg(F.max(F.unix_seconds("pane"))).first()[0]
-        if newest_pane is not None:
-            begin = (newest_pane + math.gcd(width, slide) - width) // slide * slide
-            report(_window(table.as_of(batch.sparkSession, batch_id), begin, width, slide))
+        seconds = F.unix_seconds("pane")
+        first, last = table.added(spark, batch_id).agg(F.min(seconds), F.max(seconds)).first()
+        before = clock.as_of(spark, batch_id - 1).first()
+        since = before["until"] if before else None
+        until = since if last is None else max(last + pane_width, since or 0)
+        if until is not None and (since is None or until > since):
+            report(_ended(table.as_of(spark, batch_id), first if since is None else since, until, width, slide))
+        clock.put(spark.createDataFrame([] if until is None else [(0, until)], schemas.TREND_CLOCK), batch_id)
 
-    return start(ads.trend_panes(clicks, width, slide, bucket, arrival), step, checkpoint, "update", trigger)
+    return start(clicks, step, checkpoint, trigger=trigger)
 
 
-def _window(panes: DataFrame, begin: int, width: int, slide: int) -> DataFrame:
-    """The trend of the window that begins at the epoch second ``begin``."""
-    first, end = F.timestamp_seconds(F.lit(begin)), F.timestamp_seconds(F.lit(begin + width))
-    own = panes.filter((F.col("pane") >= first) & (F.col("pane") < end))
-    return ads.window_report(ads.trend_windows(own, width, slide), first)
+def _ended(panes: DataFrame, since: int, until: int, width: int, slide: int) -> DataFrame:
+    """The windows that end after the epoch second ``since`` and by ``until``, in order of time."""
+    low, high = (F.timestamp_seconds(F.lit(s)) for s in (since - width, until))
+    own = panes.filter(F.col("date").between(day_text(low), day_text(high)))
+    own = own.filter((F.col("pane") >= low) & (F.col("pane") < high))
+    end = F.unix_seconds("window_start") + width
+    windows = ads.trend_windows(own, width, slide).filter((end > since) & (end <= until))
+    return windows.orderBy("window_start", "bucket_start").select(
+        "window_start", ads.bucket_label(F.col("bucket_start")).alias("bucket"), "n"
+    )

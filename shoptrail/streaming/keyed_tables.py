@@ -5,12 +5,13 @@ counts are summed, sets united, or the newest row of a key wins. Whenever ``fold
 one level are complete, the next batch merges them into one folder of the level above. So a row is
 rewritten once per level, and a read opens fewer than ``fold_every`` folders of each level. Which
 folders are valid follows from the batch number alone, because micro-batches run one after another
-from 0. Folders that have been folded are not read again and may be removed (``retired``).
+from 0. Folders that have been folded are not read again (``retired``); a later batch removes them.
+When a batch is written its number is published, in one file that is swapped at once; ``read`` goes
+by that, so a reader beside the job sees finished batches only.
 
 A table belongs to one checkpoint: starting over with a new checkpoint needs a new ``root``.
 """
 
-import re
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -19,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoptrail.session import delete_folder, publish_text, published_text
+
 VERSION = "version"
-_FEW = 366
 
 
 def summed(keys: Sequence[str], value: str = "n") -> Callable[[DataFrame], DataFrame]:
@@ -67,6 +69,10 @@ class KeyedTable:
             self._write(merged, level, folded)
             level, size = level + 1, size * self.fold_every
         self._write(rows.withColumn(VERSION, F.lit(batch_id)), 0, batch_id)
+        publish_text(spark, self._finished, str(batch_id))
+        # Readers of the last ``fold_every`` finished batches still find their folders.
+        for folder in self.retired(batch_id - self.fold_every):
+            delete_folder(spark, folder)
 
     def added(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The rows one batch has put."""
@@ -85,22 +91,25 @@ class KeyedTable:
         return self.merge(rows).select(*self.schema.fieldNames())
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The merged table after its latest batch, for readers outside the job.
+        """The merged table after the last finished batch, for readers outside the job.
 
-        This lists the folders of all batches; a reader that knows the batch number has ``as_of``.
+        It holds for the next ``fold_every`` batches; then its folders go, and it has to be read again.
         """
-        files = spark.read.schema(self._stored).parquet(f"{self.root}/level0").inputFiles()
-        return self.as_of(spark, max(int(re.search(r"/part=(\d+)/", file)[1]) for file in files))
+        return self.as_of(spark, int(published_text(spark, self._finished) or -1))
 
     def retired(self, batch_id: int) -> list[str]:
         """Folders that ``batch_id`` has folded: no longer needed once that batch is committed."""
         folders, level, size = [], 0, self.fold_every
-        while batch_id and batch_id % size == 0:
+        while batch_id > 0 and batch_id % size == 0:
             first = (batch_id // size - 1) * self.fold_every
             folders += [self._folder(level, part) for part in range(first, first + self.fold_every)]
             level, size = level + 1, size * self.fold_every
         return folders
 
+    @property
+    def _finished(self) -> str:
+        return f"{self.root}/finished"
+
     @property
     def _stored(self) -> T.StructType:
         """The schema as written: columns, then the version, then the partition columns."""
@@ -122,11 +131,11 @@ class KeyedTable:
         return [(0, [*own, batch_id]), *[(at, parts) for at, parts in levels if parts]]
 
     def _in_partitions_of(self, rows: DataFrame, only: DataFrame) -> DataFrame:
-        """Skip the folders of days and the like that ``only`` does not name, if it names few."""
-        for column in set(self.partition_by) & set(only.columns):
-            named = [row[0] for row in only.select(column).distinct().limit(_FEW + 1).collect()]
-            if len(named) <= _FEW:
-                rows = rows.filter(F.col(column).isin(named))
+        """Skip the folders of days and the like outside the range that ``only`` names."""
+        for column in sorted(set(self.partition_by) & set(only.columns)):
+            low, high = only.agg(F.min(column), F.max(column)).first()
+            if low is not None:
+                rows = rows.filter((F.col(column) >= low) & (F.col(column) <= high))
         return rows
 
     def _write(self, rows: DataFrame, level: int, part: int) -> None:

@@ -91,8 +91,7 @@ def test_trend_takes_the_last_minute(spark):
 
 def test_window_report(spark):
     table = clicks(spark, *[(s, "n", "x", "u", "1") for s in (-1, 0, 5, 59, 60)])
-    windows = ads.trend_windows(ads.trend_panes(table))
-    report = ads.window_report(windows, F.lit("2019-07-02 12:00:00").cast("timestamp"))
+    report = ads.window_report(ads.trend_panes(table), F.lit("2019-07-02 12:00:00").cast("timestamp"))
     assert [tuple(r) for r in report.collect()] == [("2019-07-02 12-00-00", 2), ("2019-07-02 12-00-50", 1)]
 
 

@@ -129,8 +129,8 @@ def test_at_least(spark):
     assert at_least(spark.createDataFrame([(99,), (100,)], "n long"), 100).count() == 1
 
 
-@pytest.mark.parametrize("hot_rows", [1, 4, 40])
-def test_hot_sessions_are_followed_like_others(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows, slots", [(1, sessions.SLOTS), (4, 16), (40, sessions.SLOTS), (1, 4)])
+def test_hot_sessions_are_followed_like_others(spark, hot_rows, slots):
     n = 600
     table = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, None)
@@ -147,16 +147,28 @@ def test_hot_sessions_are_followed_like_others(spark, hot_rows):
         F.col("id").alias("event_id"),
     )
     plain = sessions.with_next_action(table, hot_rows=None)
-    sliced = sessions.with_next_action(table, hot_rows=hot_rows)
+    sliced = sessions.with_next_action(table, hot_rows=hot_rows, slots=slots)
     assert sliced.columns == plain.columns
     assert values(sliced) == values(plain)
     slots = [row.slot for row in sessions.hot_slots(table, hot_rows=40).collect()]
-    slot = F.pmod(F.xxhash64("session_id"), F.lit(16384))
+    slot = F.pmod(F.xxhash64("session_id"), F.lit(sessions.SLOTS))
     hot = {row.session_id for row in table.filter(slot.isin(slots)).select("session_id").collect()}
     assert hot >= {None, "", "bot"} and len(hot) < 10
 
 
 def test_no_session_is_hot_where_all_are_alike(spark):
     table = spark.range(100_000).select((F.col("id") % 50_000).cast("string").alias("session_id"))
-    assert sessions.hot_slots(table, hot_rows=1).count() < 16384 / 2
+    assert sessions.hot_slots(table, hot_rows=1, slots=1024).count() < 1024 / 2
     assert sessions.hot_slots(table).count() == 0
+
+
+@pytest.mark.parametrize("more, hot", [(0, False), (1, True)])
+def test_a_session_is_hot_from_twice_the_mean_on(spark, more, hot):
+    """With 8 slots and 80 rows twice the mean is 20 rows; a session just below stays whole."""
+    rows = [("bot",)] * (19 + more) + [(f"s{i}",) for i in range(61 - more)]
+    table = spark.createDataFrame(rows, "session_id string")
+    slot = F.pmod(F.xxhash64("session_id"), F.lit(8))
+    table = table.filter((F.col("session_id") == "bot") | (slot != F.pmod(F.xxhash64(F.lit("bot")), F.lit(8))))
+    others = spark.range(80 - table.count()).select(F.lit(table.filter("session_id != 'bot'").first()[0]).alias("session_id"))
+    found = sessions.hot_slots(table.union(others), hot_rows=1, slots=8)
+    assert (found.filter(found.slot == F.pmod(F.xxhash64(F.lit("bot")), F.lit(8))).count() == 1) == hot

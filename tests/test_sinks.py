@@ -5,7 +5,7 @@ from shop_rows import actions, values
 from shoptrail import schemas
 from shoptrail.plans import shop
 from shoptrail.sinks.jdbc import append_jdbc, jdbc_options
-from shoptrail.sinks.tables import checkpointed, first_rows, replace_table
+from shoptrail.sinks.tables import first_rows, replace_table, written
 from shoptrail.sources.clicks import kafka_click_lines
 from shoptrail.sources.tables import parquet_scan, rows_table, table_scan, typed
 from shoptrail.session import work_folder
@@ -72,10 +72,22 @@ def test_kafka_needs_its_connector(spark):
         kafka_click_lines(spark, "broker:9092")
 
 
-def test_checkpointed(spark):
-    table = checkpointed(spark.range(5).withColumn("r", F.rand()))
+def test_written_is_computed_once_and_read_by_column(spark):
+    table = written(spark.range(5).withColumn("r", F.rand()))
     assert values(table) == values(table)
-    assert "RDD" in table._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in table.select("id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark):
+    replace_table(spark.createDataFrame([(1,), (2,)], "a long"), "kept")
+    bad = spark.table("kept").select(F.raise_error(F.lit("no")).cast("long").alias("a"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(bad, "kept")
+    assert values(spark.table("kept")) == [(1,), (2,)]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept")] == ["kept"]
+    # A result may read from the table it replaces.
+    assert values(replace_table(spark.table("kept").filter("a > 1"), "kept")) == [(2,)]
+    spark.sql("DROP TABLE kept")
 
 
 def test_first_rows(spark):

@@ -1,5 +1,6 @@
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,18 +155,78 @@ def test_expired_days_leave_the_state(spark, tmp_path):
     assert [n for _, n in counts[1]] == [1, 2]
 
 
-def test_the_newest_window_is_reported(spark, tmp_path):
-    seconds = [[1, 12, 59], [61, 75], [76, 130]]
+def reported(windows):
+    return [(r.window_start.strftime("%H:%M:%S"), r.bucket[-8:], r.n) for r in windows.collect()]
+
+
+def test_every_window_that_ended_is_reported_once(spark, tmp_path):
+    seconds = [[1, 59], [61, 75], [130], [62]]
     for i, batch_seconds in enumerate(seconds):
         drop_files(tmp_path / "in", [f"{START + s * 1000} n x u 1" for s in batch_seconds], 1, first=i)
     reports = []
-    run(jobs.chart_trend, spark, tmp_path / "in", tmp_path,
-        report=lambda window: reports.append([(r.bucket[-8:], r.n) for r in window.collect()]))
-    assert reports == [
-        [("12-00-00", 1), ("12-00-10", 1), ("12-00-50", 1)],  # until 12:01:00
-        [("12-00-50", 1), ("12-01-00", 1), ("12-01-10", 1)],  # until 12:01:20
-        [("12-02-10", 1)],  # until 12:02:20
-    ]
+    run(jobs.chart_trend, spark, tmp_path / "in", tmp_path, report=lambda windows: reports.append(reported(windows)))
+    # Windows that end at 12:00:10 to 12:01:00, then the two up to 12:01:20, then up to 12:02:20; the
+    # late click ends no window.
+    assert len(reports) == 3
+    first = [("11:59:10", "12-00-00", 1), ("11:59:20", "12-00-00", 1), ("11:59:30", "12-00-00", 1)]
+    assert reports[0] == [*first, ("11:59:40", "12-00-00", 1), ("11:59:50", "12-00-00", 1), ("12:00:00", "12-00-00", 1), ("12:00:00", "12-00-50", 1)]
+    assert reports[1] == [("12:00:10", "12-00-50", 1), ("12:00:10", "12-01-00", 1),
+                          ("12:00:20", "12-00-50", 1), ("12:00:20", "12-01-00", 1), ("12:00:20", "12-01-10", 1)]
+    starts = [f"12:00:{s}" for s in (30, 40, 50)] + [f"12:01:{s:02d}" for s in (0, 10, 20)]
+    assert sorted({r[0] for r in reports[2]}) == starts and reports[2][-1] == ("12:01:20", "12-02-10", 1)
+    # All clicks count, also the late one.
+    panes = jobs.trend_table(str(tmp_path / "tables")).read(spark)
+    assert panes.agg(F.sum("n")).first()[0] == 6
+
+
+def test_reports_go_on_after_a_restart(spark, tmp_path):
+    reports = []
+    for i, batch_seconds in enumerate([[5], [38]]):
+        drop_files(tmp_path / "in", [f"{START + s * 1000} n x u 1" for s in batch_seconds], 1, first=i)
+        run(jobs.chart_trend, spark, tmp_path / "in", tmp_path, width=10, report=lambda windows: reports.append(reported(windows)))
+    assert reports == [[("12:00:00", "12-00-00", 1)], [("12:00:30", "12-00-30", 1)]]
+
+
+def test_a_batch_ten_minutes_late_counts(spark, tmp_path):
+    lines = [f"{START + s * 1000} n x u 1" for s in (700, 710, 20, 720, 730, 30)]
+    drop_files(tmp_path / "in", lines, 6)
+    run(jobs.chart_trend, spark, tmp_path / "in", tmp_path)
+    panes = jobs.trend_table(str(tmp_path / "tables")).read(spark)
+    assert values(ads.trend_windows(panes)) == values(ads.trend_windows(ads.trend_panes(batch(spark, lines))))
+
+
+def test_a_job_runs_on_the_five_second_trigger(spark, tmp_path):
+    drop_files(tmp_path / "in", sample_lines(30), 1)
+    root = str(tmp_path / "tables")
+    query = jobs.count_city_ads(stream(spark, tmp_path / "in"), root, str(tmp_path / "checkpoint"))
+    try:
+        drop_files(tmp_path / "in", sample_lines(60)[30:], 1, first=1)
+        for _ in range(60):
+            time.sleep(0.5)
+            if sum(p["numInputRows"] for p in query.recentProgress) == 60:
+                break
+    finally:
+        query.stop()
+    assert jobs.city_counter_table(root).read(spark).agg(F.sum("n")).first()[0] == 60
+
+
+def test_an_unfinished_folder_is_not_read(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",))
+    for batch_id in range(2):
+        table.put(spark.createDataFrame([("2019-07-02", "n", "x", "1", 5)], CITY_AD_COUNTS), batch_id)
+    shutil.copytree(tmp_path / "level0" / "part=1", tmp_path / "level0" / "part=2")
+    assert values(table.read(spark)) == [("2019-07-02", "n", "x", "1", 10)]
+
+
+def test_old_folders_go(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=3)
+    rows = spark.createDataFrame([("2019-07-02", "n", "x", "1", 1)], CITY_AD_COUNTS).coalesce(1)
+    for batch_id in range(40):
+        table.put(rows, batch_id)
+    assert values(table.read(spark)) == [("2019-07-02", "n", "x", "1", 40)]
+    left = {p.name for p in (tmp_path / "level0").iterdir()}
+    live = {f"part={b}" for level, parts in table._complete(39) if level == 0 for b in parts}
+    assert live <= left and len(left) <= 3 * 3
 
 
 def test_folded_tables_read_the_same(spark, tmp_path):
@@ -174,11 +235,12 @@ def test_folded_tables_read_the_same(spark, tmp_path):
     for merge in (summed(keys), newest(keys), united):
         name = str(tmp_path / f"t{id(merge)}")
         folded = KeyedTable(name, CITY_AD_COUNTS, merge, ("date",), fold_every=2)
+        plain = KeyedTable(f"{name}-plain", CITY_AD_COUNTS, merge, ("date",), fold_every=1000)
         for batch_id, batch_rows in enumerate(rows):
             frame = spark.createDataFrame(batch_rows, CITY_AD_COUNTS)
             folded.put(frame, batch_id)
             folded.put(frame, batch_id)
-            plain = KeyedTable(name, CITY_AD_COUNTS, merge, ("date",), fold_every=1000)
+            plain.put(frame, batch_id)
             assert values(folded.as_of(spark, batch_id)) == values(plain.as_of(spark, batch_id))
         assert values(folded.read(spark)) == values(folded.as_of(spark, len(rows) - 1))
         one = spark.createDataFrame([("2019-07-02", "1")], "date string, ad_id string")
@@ -233,6 +295,7 @@ def test_folded_folders_are_not_needed(spark, tmp_path):
         for part in parts:
             folder = f"level{level}/part={part}"
             shutil.copytree(tmp_path / "all" / folder, tmp_path / "kept" / folder)
+    shutil.copy(tmp_path / "all" / "finished", tmp_path / "kept" / "finished")
     kept = KeyedTable(str(tmp_path / "kept"), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
     assert values(kept.read(spark)) == values(table.read(spark)) == [("2019-07-02", "n", "x", "1", 10)]
 
