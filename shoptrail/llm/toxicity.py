@@ -30,6 +30,9 @@ PATTERNS = ("shouting", "exclaiming", "repeating")
 
 TOXIC, CLEAN, SILENT = 1, 2, 0
 
+# What is believed of a voter before any vote, as counts of silent, toxic and clean votes on clean and on toxic texts.
+BELIEF = np.array([[0.5, 0.1, 0.4], [0.5, 0.4, 0.1]])
+
 
 def terms(text: str) -> set[str]:
     """The distinct words of a text, lower-cased, and their beginnings, marked by length (0: whole)."""
@@ -118,26 +121,30 @@ def votes(held: list[list[int]], forms: np.ndarray, chosen: list[str]) -> np.nda
 def label_model(ballots: np.ndarray, share: float, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of toxic for each text, each voter's table P(vote | class), and the voters' weights.
 
-    ``share`` is the first guess of the share of toxic texts. Weights are 1 over the sum of a voter's absolute
+    ``share`` is the share of toxic texts, which a few voters could not tell. Weights are 1 over the sum of a voter's absolute
     correlations with all voters inside the classes, so copies of one voter weigh as one.
     """
     n, k = ballots.shape
     one_hot = np.stack([ballots == v for v in (SILENT, TOXIC, CLEAN)], 2).astype(float)
-    lead = (ballots == TOXIC).sum(1) - (ballots == CLEAN).sum(1)
-    posterior, weights = np.where(lead > 0, 0.9, 0.1 * share), np.ones(k)
-    tables = np.zeros((2, k, 3))
     signs = one_hot[:, :, 1] - one_hot[:, :, 2]
+    # At first only voters that nearly always agree count as copies; a majority of the others leads.
+    rest = signs - signs.mean(0)
+    spread = np.sqrt((rest**2).mean(0)) + 1e-6
+    alike = np.abs((rest.T @ rest) / max(n, 1) / np.outer(spread, spread))
+    np.fill_diagonal(alike, 1)
+    weights = 1 / np.where(alike > 0.8, alike, 0).sum(1)
+    posterior = np.where(signs @ weights > 0, 0.9, 0.1 * share)
+    tables = np.zeros((2, k, 3))
     for _ in range(rounds):
         for c, weight in enumerate((1 - posterior, posterior)):
-            tables[c] = (np.einsum("n,nkv->kv", weight, one_hot) + 0.5) / (weight.sum() + 1.5)
+            tables[c] = (np.einsum("n,nkv->kv", weight, one_hot) + BELIEF[c]) / (weight.sum() + BELIEF[c].sum())
         means = np.stack([((1 - posterior) @ signs) / max((1 - posterior).sum(), 1e-9), (posterior @ signs) / max(posterior.sum(), 1e-9)])
         rest = signs - (1 - posterior)[:, None] * means[0] - posterior[:, None] * means[1]
         spread = np.sqrt((rest**2).mean(0)) + 1e-6
         correlation = np.abs((rest.T @ rest) / n / np.outer(spread, spread))
         np.fill_diagonal(correlation, 1)
         weights = 1 / np.where(correlation > 0.2, correlation, 0).sum(1)
-        prior = (posterior.sum() + 1) / (n + 2)
-        odds = math.log(prior / (1 - prior)) + np.einsum("nkv,kv,k->n", one_hot, np.log(tables[1] / tables[0]), weights)
+        odds = math.log(share / (1 - share)) + np.einsum("nkv,kv,k->n", one_hot, np.log(tables[1] / tables[0]), weights)
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return posterior, tables, weights
 
@@ -185,7 +192,7 @@ def one_of_copies(rows: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 3, held_out: int = 1, limit: int = MAX_ROWS) -> Linear:
     """A classifier from at most ``limit`` labelled rows whose id's remainder is not ``held_out``.
 
-    Labels only tell which terms make the lexicons and the first guess of the share; what the classifier is trained on is
+    Labels only tell which terms make the lexicons and the share of toxic texts; what the classifier is trained on is
     the label model's posterior. Without a telling term every text gets the labels' smoothed share.
     """
     rows = written(training_rows(docs, labels, label, divisor, held_out, limit).select("doc_id", "text", "label"), "labelled")

@@ -49,7 +49,9 @@ def test_odd_rows(spark, odd_docs, docs_of):
     for docs in (odd_docs, docs_of([])):
         found = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
         assert len(found) == docs.count() and all(0 <= r["score"] <= 1 for r in found)
-    many = docs_of([(i, f"some words {i} {'vile' if i % 3 == 0 else 'fine'} and other{i % 11} words") for i in range(90)])
+    plain = lambda i: " ".join(f"w{(i * 7919 + j * 104729) % 5003}x" for j in range(12))
+    insults = lambda i: " ".join(w for k, w in enumerate(["vile", "rotten", "nasty", "foul"]) if k != i // 3 % 4)
+    many = docs_of([(i, f"{plain(i)} {insults(i) if i % 3 == 0 else 'fine'} {plain(i + 1000)}") for i in range(90)])
     marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int")
     model = toxicity.fit(many, marks)
     found = {r["doc_id"]: r["predicted"] for r in toxicity.score(many, model).collect()}
