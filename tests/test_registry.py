@@ -68,3 +68,30 @@ def test_ban_times_cut_groups_before_the_shuffle(spark):
     assert re.search(r"row_number\(\), 100, Final.*Exchange.*row_number\(\), 100, Partial", plan, re.DOTALL)
     # The listed groups are few, so clicks meet them without a shuffle of their own.
     assert re.search(r"Partial.*BroadcastHashJoin \[date", plan, re.DOTALL)
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n.startswith(("ad_", "blacklist", "user_ad", "heavy"))])
+def test_clicks_are_never_on_the_build_side(spark, name):
+    """The cities are broadcast; what is read of the events stays where it is."""
+    plan = plan_of(spark, name)
+    cities = re.findall(r"BroadcastHashJoin \[city_key.*?, (BuildLeft|BuildRight)", plan)
+    assert cities and set(cities) == {"BuildRight"}
+
+
+def test_too_many_cities_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(registry.event_views, "MOST_CITIES", 24)
+    with pytest.raises(ValueError, match="cities"):
+        registry.ad_city_counts(spark, SF_DIR)
+
+
+def test_page_ids_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "visits")
+    registry._actions(spark, SF_DIR).write.parquet(path)
+    plan = registry.flows.page_views(spark.read.parquet(path), "1,2,03")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^]]*In\(page_id, \[1,2\]\)", plan) or "In(page_id, [1,2])" in plan
+
+
+def test_one_window_counts_its_own_clicks_only(spark):
+    plan = plan_of(spark, "ad_trend_window")
+    above, below = plan.split("HashAggregate", 1)[0], plan[plan.index("Generate") :]
+    assert "Generate" in plan and re.search(r"Filter .*make_dt_interval|Filter .*arrival|Filter .*2024-01-15", below) and above
