@@ -41,6 +41,7 @@ ENDINGS = {
     "cyrillic": {"m": ["лис", "мир", "рон", "сей"], "f": ["лия", "на", "ра", "са"], "n": ["ко", "ли", "ни", "ри"]},
     "greek": {"m": ["λος", "νης", "ρος", "σης"], "f": ["λα", "νη", "ρα", "σα"], "n": ["λι", "νι", "ρι", "σι"]},
 }
+RELAXED = 20
 SECRET_VALUE = r"([A-Za-z0-9_+/-]+)$"
 ANY = "|".join(PATTERNS.values())
 
@@ -133,6 +134,8 @@ def _email(norm: Column, stream: Column, key: str) -> Column:
     """Local part of the same shape; a domain keyed by itself, so one domain stays one, with its last label."""
     domain = F.regexp_extract(norm, r"@(.*)\.[^.]+$", 1)
     local = _alike(F.regexp_extract(norm, "^([^@]*)@", 1), stream)
+    # Short addresses are few: later attempts are longer.
+    local = F.concat(local, F.when(F.col("attempt") > 2, F.substring(stream, F.lit(65), F.col("attempt") - 2)).otherwise(""))
     return F.concat(local, F.lit("@"), _alike(domain, _stream(F.lit(key), F.lit("domain"), domain)), F.regexp_extract(norm, r"(\.[^.]+)$", 1))
 
 
@@ -173,7 +176,8 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """``kind``, ``norm``, ``surrogate`` for the distinct (``kind``, ``norm``) of ``entities``.
 
     A surrogate equals no other one and no real value of its pool; of entities that meet, the first keeps it and
-    the others get the next of their own sequence, until none meet. Both kinds of names are one pool.
+    the others get the next of their own sequence, until none meet. Both kinds of names are one pool. Where the
+    values of a format are nearly used up, real values are taken too from ``RELAXED`` attempts on.
     """
     pool = F.when(F.col("kind").isin("given", "surname"), "name").otherwise(F.col("kind"))
     state = entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0))
@@ -184,7 +188,7 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         pooled = state.withColumn("pool", pool)
         first = pooled.groupBy("pool", "surrogate").agg(F.min(F.struct("attempt", "kind", "norm")).alias("first"))
         checked = pooled.join(first, ["pool", "surrogate"]).join(real, ["pool", "surrogate"], "left")
-        again = F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "kind", "norm"))
+        again = (F.col("real").isNotNull() & (F.col("attempt") < RELAXED)) | (F.col("first") != F.struct("attempt", "kind", "norm"))
         checked = written(checked.select("kind", "norm", "attempt", "surrogate", again.alias("again")), "surrogates")
         if checked.filter("again").isEmpty():
             return checked.select("kind", "norm", "surrogate")
