@@ -6,24 +6,27 @@ tables of ``2*k`` minhashes. Texts that meet in a table are candidates; their fu
 decide. With the defaults (n = 10, k = 2) a pair at similarity 0.8 is missed with a chance of
 2 * (1 - 0.8**2)**10 = 0.00007, one at 0.9 with 2e-7.
 
-Candidates are not all pairs of a table's texts. In each round a few centres of a key are compared
-with the others that meet there; texts already known to be connected need no further comparison. A key is
-finished when its untried texts belong to one class. More centres are tried from round to round, those
-outside the key's main class first, until no key is left, so no link between different classes is lost.
+A table's texts are not all compared. First each text is compared with one centre of its key (twice, with
+two centres), which joins large groups of copies at a cost in proportion to the rows. Keys whose texts are then
+of one class are finished. In the others, texts of different classes are compared by a sketch of ``BITS`` bits, one
+per further minhash, in blocks of ``BLOCK`` texts, so that a hot key is shared out among many tasks; a
+pair is compared exactly if the sketch estimates a similarity of at least ``SURE`` below the limit, which a true
+pair misses with a chance of 0.0001, and only in the first table it meets in.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.common import mix, slices, split_words, word_hashes, written
 
 SHINGLE, PERCENT = 5, 80
 TABLE_SIDE, KEY_HASHES = 10, 2
-FIRST_CENTRES, MORE_CENTRES = 4, 4
+STAR_ROUNDS = 2
+BITS, SURE, BLOCK = 2048, 0.05, 2048
 
 SKETCH = "doc_id bigint, n_shingles bigint, set_id string, first array<bigint>, second array<bigint>"
 
@@ -58,18 +61,22 @@ def shingle_sets(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]
     return rolled, np.searchsorted(owner, np.arange(len(n_words) + 1))
 
 
+def _least(sets: np.ndarray, starts: np.ndarray, number: int) -> np.ndarray:
+    """The minhash of that number of each set; sets begin at ``starts`` and have members."""
+    salt = mix(np.array([number + 1], np.uint64) * np.uint64(0xD1342543DE82EF95))
+    # A multiplication by an odd number and a shift keep order random enough for a minimum.
+    values = (sets ^ salt) * (salt | np.uint64(1))
+    values ^= values >> np.uint64(29)
+    return np.minimum.reduceat(values, starts) if len(starts) else values[:0]
+
+
 def _keys(sets: np.ndarray, at: np.ndarray, side: int, width: int) -> np.ndarray:
     """The ``2*side`` short keys of each set that has members: one row each."""
-    full = np.flatnonzero(at[1:] > at[:-1])
-    keys = np.zeros((len(full), 2 * side), np.uint64)
+    starts = at[:-1][at[1:] > at[:-1]]
+    keys = np.zeros((len(starts), 2 * side), np.uint64)
     for i in range(2 * side):
         for j in range(width):
-            salt = mix(np.array([i * width + j + 1], np.uint64) * np.uint64(0xD1342543DE82EF95))
-            # A multiplication by an odd number and a shift keep order random enough for a minimum.
-            values = (sets ^ salt) * (salt | np.uint64(1))
-            values ^= values >> np.uint64(29)
-            least = np.minimum.reduceat(values, at[:-1][full]) if len(full) else values[:0]
-            keys[:, i] = mix(keys[:, i] + least + np.uint64(j))
+            keys[:, i] = mix(keys[:, i] + _least(sets, starts, i * width + j) + np.uint64(j))
     return keys
 
 
@@ -100,14 +107,14 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, side: int = TABLE_SIDE, wi
 
 
 def _meetings(sketched: DataFrame) -> DataFrame:
-    """``key``, ``doc_id``, ``size``: a row per table in which a text meets another one."""
+    """``key``, ``i``, ``j``, ``doc_id``, ``size``: a row per table (i, j) in which a text meets another one."""
     rows = (
         sketched.select("doc_id", F.col("n_shingles").alias("size"), "second", F.posexplode("first").alias("i", "a"))
         .select("doc_id", "size", "i", "a", F.posexplode("second").alias("j", "b"))
-        .select(F.xxhash64("i", "a", "j", "b").alias("key"), "doc_id", "size")
+        .select(F.xxhash64("i", "a", "j", "b").alias("key"), "i", "j", "doc_id", "size")
     )
-    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
-    return rows.join(shared.filter("n > 1").drop("least"), "key")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    return rows.join(shared, "key")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -153,21 +160,105 @@ def components(edges: DataFrame) -> DataFrame:
         before = tuple(state)
 
 
-def _centre_pairs(open_keys: DataFrame, centres: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each key's next centres with its other texts, and the rows left without those centres.
+def _alike_in_size(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _star_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
+    """Every text of a key with the key's centre, if their classes differ: the least id, then the least by hash."""
+    order = F.col("doc_id") if round_ == 0 else F.xxhash64("doc_id", F.lit(round_))
+    centre = F.min(F.struct(order.alias("order"), "doc_id", "size", "label")).alias("c")
+    centres = rows.groupBy("key").agg(centre).select("key", *(F.col(f"c.{x}").alias(f"c_{x}") for x in ("doc_id", "size", "label")))
+    met = rows.join(centres, "key").filter("label != c_label").filter(_alike_in_size("size", "c_size", percent))
+    return met.select(F.least("doc_id", "c_doc_id").alias("a"), F.greatest("doc_id", "c_doc_id").alias("b")).distinct()
+
+
+def _open_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of keys whose texts are of several classes (``label``), by the components found so far."""
+    rows = rows.drop("label", "n").join(found, "doc_id", "left")
+    rows = rows.withColumn("label", F.coalesce("component", "doc_id")).drop("component")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    return rows.join(mixed.filter("low != high").select("key", "n"), "key")
+
+
+def _fine_sketches(docs: DataFrame, wanted: DataFrame, shingle: int, first_hash: int) -> DataFrame:
+    """``doc_id``, ``bits`` of the wanted documents: the lowest bits of ``BITS`` minhashes."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets, at = shingle_sets(batch.column("text"), shingle)
+            full = np.flatnonzero(at[1:] > at[:-1])
+            starts = at[:-1][full]
+            bits = np.zeros((len(full), BITS), bool)
+            for i in range(BITS):
+                bits[:, i] = _least(sets, starts, first_hash + i) & np.uint64(1)
+            packed = [row.tobytes() for row in np.packbits(bits, axis=1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(full)), pa.array(packed, pa.binary())], ["doc_id", "bits"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
+    return texts.mapInArrow(sketch, "doc_id bigint, bits binary")
 
-    Centres come from outside the key's main class first (that of its smallest label), so that a class of
-    thousands is met by the few strangers and not the other way round.
+
+def _close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different classes whose sketches are close, from the rows of open keys.
+
+    ``rows``: ``key``, ``n`` (rows of the key), ``i``, ``j``, ``doc_id``, ``size``, ``label``, ``short`` (all short keys), ``bits``. A key
+    of many rows is cut into blocks; a row goes to each pair of blocks that its own one is in.
     """
-    order = Window.partitionBy("key").orderBy("main", F.xxhash64("doc_id", "key"), "doc_id")
-    ranked = open_keys.withColumn("rank", F.row_number().over(order))
-    chosen = ranked.filter(F.col("rank") <= centres)
-    heads = chosen.select("key", *(F.col(c).alias(f"c_{c}") for c in ("doc_id", "size", "label", "rank")))
-    met = open_keys.join(heads, "key").filter("label != c_label")
-    met = met.filter(100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size"))
-    pairs = met.select(F.least("doc_id", "c_doc_id").alias("a"), F.greatest("doc_id", "c_doc_id").alias("b")).distinct()
-    left = open_keys.join(chosen.select("key", "doc_id"), ["key", "doc_id"], "left_anti")
-    return pairs, left
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda x: F.struct(F.least(own, x).alias("p"), F.greatest(own, x).alias("q")))
+    dealt = rows.select("*", own.alias("block"), F.explode(meets).alias("cell"))
+    dealt = dealt.withColumn("cell", F.xxhash64("key", "cell.p", "cell.q")).drop("n")
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(count, "cell").sortWithinPartitions("cell", "doc_id")
+    least = percent / 100 - SURE
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        cell = None
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1], [True])))
+            for start, stop in zip(cuts[:-1], cuts[1:]):
+                if held and cells[start] != cell:
+                    yield _compared(held, least, percent)
+                    held = []
+                held.append(batch.slice(start, stop - start))
+                cell = cells[start]
+        if held:
+            yield _compared(held, least, percent)
+
+    return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def _compared(held: list[pa.RecordBatch], least: float, percent: int) -> pa.RecordBatch:
+    """The close pairs of one cell, each row against the later ones."""
+    table = pa.Table.from_batches(held)
+    column = lambda name: table.column(name).to_numpy()
+    ids, sizes, labels, blocks = (column(c) for c in ("doc_id", "size", "label", "block"))
+    i, j = int(column("i")[0]), int(column("j")[0])
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+    short = np.frombuffer(b"".join(table.column("short").to_pylist()), np.uint32).reshape(len(ids), -1)
+    first, second = short[:, : short.shape[1] // 2], short[:, short.shape[1] // 2 :]
+    two_blocks = blocks.min() != blocks.max()
+    out_a, out_b = [], []
+    for x in range(len(ids) - 1):
+        rest = np.arange(x + 1, len(ids))
+        fits = (labels[rest] != labels[x]) & (100 * np.minimum(sizes[rest], sizes[x]) >= percent * np.maximum(sizes[rest], sizes[x]))
+        if two_blocks:  # those of one block meet in its own cell
+            fits &= blocks[rest] != blocks[x]
+        rest = rest[fits]
+        # Only in the first table that the two share.
+        rest = rest[~(first[rest, :i] == first[x, :i]).any(1) & ~(second[rest, :j] == second[x, :j]).any(1)]
+        if not len(rest):
+            continue
+        unlike = np.bitwise_count(bits[rest] ^ bits[x]).sum(1, dtype=np.int64)
+        rest = rest[1 - 2 * unlike / BITS >= least]
+        out_a.append(np.minimum(ids[rest], ids[x]))
+        out_b.append(np.maximum(ids[rest], ids[x]))
+    join = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
+    return pa.RecordBatch.from_arrays([join(out_a), join(out_b)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -183,31 +274,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     groups = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy("set_id")
     one = groups.agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.first("first").alias("first"), F.first("second").alias("second"))
     sets = written(one, "sets")
-    table = written(_meetings(sets), "meetings")
-    # First round: each text against the smallest id it meets, in keys of any size.
-    least = table.groupBy("key").agg(F.min("doc_id").alias("c"), F.min_by("size", "doc_id").alias("c_size"))
-    star = table.join(least, "key").filter("doc_id != c")
-    star = star.filter(100 * F.least("size", "c_size") >= percent * F.greatest("size", "c_size"))
-    pairs = written(star.select(F.col("c").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     copies = sketched.filter("set_id is not null").join(sets.select("set_id", F.col("doc_id").alias("rep")), "set_id")
     same = copies.filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = written(same.union(confirmed(pairs, docs, shingle, percent)), "links")
-    found = written(components(links), "components")
-    rest = table.join(least.select("key", F.col("c").alias("doc_id")), ["key", "doc_id"], "left_anti").filter("n > 2")
-    centres = FIRST_CENTRES
-    while True:
-        label = F.coalesce("component", "doc_id")
-        rest = rest.select("key", "doc_id", "size").join(found, "doc_id", "left").select("key", "doc_id", "size", label.alias("label"))
-        main = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-        rest = rest.join(main, "key").select("key", "doc_id", "size", "label", (F.col("label") == F.col("low")).alias("main"))
-        rest = written(rest, "open-keys")
-        if rest.isEmpty():
-            break
-        pairs, rest = _centre_pairs(rest, centres, percent)
-        more = confirmed(written(pairs, "pairs"), docs, shingle, percent)
-        links = written(links.union(more).distinct(), "links")
+    rows = written(_meetings(sets).withColumn("label", F.col("doc_id")), "meetings")
+    links, found = written(same, "links"), None
+    for round_ in range(STAR_ROUNDS):
+        pairs = written(_star_pairs(rows, round_, percent), "pairs")
+        links = written(links.union(confirmed(pairs, docs, shingle, percent)).distinct(), "links")
+        found = written(components(links), "components")
+        rows = written(_open_rows(rows, found), "open-keys")
+    if not rows.isEmpty():
+        fine = written(_fine_sketches(docs, rows.select("doc_id").distinct(), shingle, 2 * TABLE_SIDE * KEY_HASHES), "fine-sketches")
+        short = F.concat(*(F.substring(F.unhex(F.lpad(F.hex(F.get(c, F.lit(i))), 16, "0")), 5, 4) for c in ("first", "second") for i in range(TABLE_SIDE)))
+        fine = fine.distinct().join(sets.select("doc_id", short.alias("short")), "doc_id")
+        pairs = written(_close_pairs(rows.join(fine, "doc_id"), percent), "pairs")
+        links = written(links.union(confirmed(pairs, docs, shingle, percent)).distinct(), "links")
         found = written(components(links), "components")
-        centres *= MORE_CENTRES
     joined = sketched.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
