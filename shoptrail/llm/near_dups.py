@@ -28,6 +28,9 @@ TABLE_SIDE, KEY_HASHES = 10, 2
 STAR_ROUNDS = 2
 BITS, SURE, BLOCK = 2048, 0.05, 2048
 
+# Room for TABLE_SIDE * TABLE_SIDE numbers in a key, and the ids broadcast at most (8 bytes each).
+TABLE_BITS, BROADCAST_IDS = 7, 1_000_000
+
 SKETCH = "doc_id bigint, n_shingles bigint, set_id string, first array<bigint>, second array<bigint>"
 
 
@@ -107,18 +110,30 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, side: int = TABLE_SIDE, wi
 
 
 def _meetings(sketched: DataFrame) -> DataFrame:
-    """``key``, ``i``, ``j``, ``doc_id``, ``size``: a row per table (i, j) in which a text meets another one."""
+    """``key``, ``doc_id``, ``size``: a row per table in which a text meets another one.
+
+    The lowest ``TABLE_BITS`` bits of a key are the table's number; what is shuffled is key and id alone.
+    """
+    side = F.size("first")
     rows = (
-        sketched.select("doc_id", F.col("n_shingles").alias("size"), "second", F.posexplode("first").alias("i", "a"))
-        .select("doc_id", "size", "i", "a", F.posexplode("second").alias("j", "b"))
-        .select(F.xxhash64("i", "a", "j", "b").alias("key"), "i", "j", "doc_id", "size")
+        sketched.select("doc_id", "second", side.alias("side"), F.posexplode("first").alias("i", "a"))
+        .select("doc_id", "side", "i", "a", F.posexplode("second").alias("j", "b"))
+        .select(F.shiftleft(F.xxhash64("a", "b"), TABLE_BITS).bitwiseOR(F.col("i") * F.col("side") + F.col("j")).alias("key"), "doc_id")
     )
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    return rows.join(shared, "key")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    sizes = sketched.select("doc_id", F.col("n_shingles").alias("size"))
+    return rows.join(shared, "key").join(sizes, "doc_id")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full shingle sets have 100 * intersection >= percent * union."""
+def _those_of(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``table`` with one of the distinct ``ids``, a written table. A list of bounded size is broadcast, so
+    that texts are not shuffled to find a few; for a longer one both sides are."""
+    few = ids.count() <= BROADCAST_IDS
+    return table.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
+def stored_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """``doc_id``, ``shingles`` (hashes of the full set) of some documents, written."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -126,10 +141,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int = SHINGLE, percent
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "shingles"])
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    sets = written(texts.mapInArrow(sets_of, "doc_id bigint, shingles array<bigint>"), "shingle-sets")
-    left, right = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
+    texts = _those_of(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ids)
+    return written(texts.mapInArrow(sets_of, "doc_id bigint, shingles array<bigint>"), "shingle-sets")
+
+
+def confirmed(pairs: DataFrame, stored: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (``a``, ``b``) whose full shingle sets have 100 * intersection >= percent * union."""
+    left, right = (
+        _those_of(stored, written(pairs.select(F.col(c).alias("doc_id")).distinct(), "pair-ids")).select(
+            F.col("doc_id").alias(c), F.col("shingles").alias(f"{c}_set")
+        )
+        for c in "ab"
+    )
     both = pairs.join(right, "b").join(left, "a")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - shared
@@ -181,28 +204,28 @@ def _open_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(mixed.filter("low != high").select("key", "n"), "key")
 
 
-def _fine_sketches(docs: DataFrame, wanted: DataFrame, shingle: int, first_hash: int) -> DataFrame:
-    """``doc_id``, ``bits`` of the wanted documents: the lowest bits of ``BITS`` minhashes."""
+def _fine_sketches(stored: DataFrame, ids: DataFrame, first_hash: int) -> DataFrame:
+    """``doc_id``, ``bits`` of some documents: the lowest bits of ``BITS`` further minhashes."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets, at = shingle_sets(batch.column("text"), shingle)
+        for batch in batches:
+            lists = batch.column("shingles")
+            at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            sets = lists.flatten().to_numpy().view(np.uint64)
             full = np.flatnonzero(at[1:] > at[:-1])
-            starts = at[:-1][full]
             bits = np.zeros((len(full), BITS), bool)
             for i in range(BITS):
-                bits[:, i] = _least(sets, starts, first_hash + i) & np.uint64(1)
+                bits[:, i] = _least(sets, at[:-1][full], first_hash + i) & np.uint64(1)
             packed = [row.tobytes() for row in np.packbits(bits, axis=1)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(full)), pa.array(packed, pa.binary())], ["doc_id", "bits"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    return texts.mapInArrow(sketch, "doc_id bigint, bits binary")
+    return _those_of(stored, ids).mapInArrow(sketch, "doc_id bigint, bits binary")
 
 
 def _close_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different classes whose sketches are close, from the rows of open keys.
 
-    ``rows``: ``key``, ``n`` (rows of the key), ``i``, ``j``, ``doc_id``, ``size``, ``label``, ``short`` (all short keys), ``bits``. A key
+    ``rows``: ``key``, ``n`` (rows of the key), ``doc_id``, ``size``, ``label``, ``short`` (all short keys), ``bits``. A key
     of many rows is cut into blocks; a row goes to each pair of blocks that its own one is in.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -237,10 +260,11 @@ def _compared(held: list[pa.RecordBatch], least: float, percent: int) -> pa.Reco
     table = pa.Table.from_batches(held)
     column = lambda name: table.column(name).to_numpy()
     ids, sizes, labels, blocks = (column(c) for c in ("doc_id", "size", "label", "block"))
-    i, j = int(column("i")[0]), int(column("j")[0])
     bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
     short = np.frombuffer(b"".join(table.column("short").to_pylist()), np.uint32).reshape(len(ids), -1)
-    first, second = short[:, : short.shape[1] // 2], short[:, short.shape[1] // 2 :]
+    side = short.shape[1] // 2
+    first, second = short[:, :side], short[:, side:]
+    i, j = divmod(int(column("key")[0]) & ((1 << TABLE_BITS) - 1), side)
     two_blocks = blocks.min() != blocks.max()
     out_a, out_b = [], []
     for x in range(len(ids) - 1):
@@ -277,18 +301,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     copies = sketched.filter("set_id is not null").join(sets.select("set_id", F.col("doc_id").alias("rep")), "set_id")
     same = copies.filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
     rows = written(_meetings(sets).withColumn("label", F.col("doc_id")), "meetings")
+    stored = stored_sets(docs, written(rows.select("doc_id").distinct(), "met"), shingle)
     links, found = written(same, "links"), None
     for round_ in range(STAR_ROUNDS):
         pairs = written(_star_pairs(rows, round_, percent), "pairs")
-        links = written(links.union(confirmed(pairs, docs, shingle, percent)).distinct(), "links")
+        links = written(links.union(confirmed(pairs, stored, percent)).distinct(), "links")
         found = written(components(links), "components")
         rows = written(_open_rows(rows, found), "open-keys")
     if not rows.isEmpty():
-        fine = written(_fine_sketches(docs, rows.select("doc_id").distinct(), shingle, 2 * TABLE_SIDE * KEY_HASHES), "fine-sketches")
+        ids = written(rows.select("doc_id").distinct(), "open-ids")
+        fine = written(_fine_sketches(stored, ids, 2 * TABLE_SIDE * KEY_HASHES), "fine-sketches")
         short = F.concat(*(F.substring(F.unhex(F.lpad(F.hex(F.get(c, F.lit(i))), 16, "0")), 5, 4) for c in ("first", "second") for i in range(TABLE_SIDE)))
         fine = fine.distinct().join(sets.select("doc_id", short.alias("short")), "doc_id")
         pairs = written(_close_pairs(rows.join(fine, "doc_id"), percent), "pairs")
-        links = written(links.union(confirmed(pairs, docs, shingle, percent)).distinct(), "links")
+        links = written(links.union(confirmed(pairs, stored, percent)).distinct(), "links")
         found = written(components(links), "components")
     joined = sketched.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
