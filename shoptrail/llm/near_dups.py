@@ -296,7 +296,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sketched = written(sketches(docs, shingle), "sketches")
     # Equal sets are one text from here on.
     groups = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy("set_id")
-    one = groups.agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.first("first").alias("first"), F.first("second").alias("second"))
+    same_for_all = [F.first(c).alias(c) for c in ("n_shingles", "first", "second")]
+    one = groups.agg(F.min("doc_id").alias("doc_id"), *same_for_all)
     sets = written(one, "sets")
     copies = sketched.filter("set_id is not null").join(sets.select("set_id", F.col("doc_id").alias("rep")), "set_id")
     same = copies.filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
@@ -311,7 +312,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     if not rows.isEmpty():
         ids = written(rows.select("doc_id").distinct(), "open-ids")
         fine = written(_fine_sketches(stored, ids, 2 * TABLE_SIDE * KEY_HASHES), "fine-sketches")
-        short = F.concat(*(F.substring(F.unhex(F.lpad(F.hex(F.get(c, F.lit(i))), 16, "0")), 5, 4) for c in ("first", "second") for i in range(TABLE_SIDE)))
+        key_bytes = lambda c, i: F.unhex(F.lpad(F.hex(F.get(c, F.lit(i))), 16, "0"))
+        short = F.concat(*(F.substring(key_bytes(c, i), 5, 4) for c in ("first", "second") for i in range(TABLE_SIDE)))
         fine = fine.distinct().join(sets.select("doc_id", short.alias("short")), "doc_id")
         pairs = written(_close_pairs(rows.join(fine, "doc_id"), percent), "pairs")
         links = written(links.union(confirmed(pairs, stored, percent)).distinct(), "links")

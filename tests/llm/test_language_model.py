@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shoptrail.llm import language_model as lm
@@ -83,27 +84,22 @@ def test_probabilities_of_all_words_sum_to_one(spark, docs_of):
     model, counts = lm.fit(docs)
     known = [r["word"] for r in counts.collect()]
     tail = [chr(c) + "?" * 9 + e for c in range(97, 97 + lm.FIRST_GROUPS) for e in (",", ".", "-")]
-    assert len(set(lm._tail_class(__import__("pyarrow").array(tail)))) == lm.TAIL_CLASSES
+    assert len(set(lm._tail_class(pa.array(tail)))) == lm.TAIL_CLASSES
     nexts = [*known, *tail, ""]
     rows = [(i, f"the cat {w}") for i, w in enumerate(nexts)]
     # A text's score holds its end too; the word alone is what a text's own end leaves.
     scored = {r["doc_id"]: r["score"] for r in lm.score(docs_of(rows), model, counts).collect()}
     net, total = model.net, 0.0
-    symbols, lengths, *_ = lm._tokens(__import__("pyarrow").array([t for _, t in rows]), __import__("pyarrow").array(model.words))
+    symbols, lengths, *_ = lm._tokens(pa.array([t for _, t in rows]), pa.array(model.words))
     starts = np.cumsum(lengths) - lengths
     for i, (s, n) in enumerate(zip(starts, lengths)):
         prefix, whole = by_steps(net, symbols[s : s + 2]), by_steps(net, symbols[s : s + n])
         one = by_steps(net, symbols[s : s + 3])
-        total += math.exp(scored[i] * math.log(10) - (whole - one) - by_prefix_counts(model, "the cat") - prefix)
+        total += math.exp(scored[i] * math.log(10) - (whole - one) - prefix)
+    assert {"the", "cat"} <= set(model.words[: lm.HEAD])  # so counts add nothing to the prefix
     assert total == pytest.approx(1, rel=1e-3)
 
 
-def by_prefix_counts(model, text):
-    """What counts add to the network's part for words in tail classes; none here, all are head words."""
-    assert all(w in model.words[: lm.HEAD] for w in text.split())
-    return 0.0
-
-
 def test_base_score_and_counts_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
