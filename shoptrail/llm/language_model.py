@@ -26,7 +26,7 @@ HIDDEN = 16
 HEAD_CLASSES, CLASS_SIZE = 40, 50
 FIRST_GROUPS, TAIL_CLASSES = 8, 24
 
-# Words whose counts every task holds; the counts of rarer words are joined by a shuffle.
+# Words whose counts every task holds at most, all above some count; the counts of rarer words are joined by a shuffle.
 LISTED_WORDS = 131_072
 
 WINDOW, LANES, RATE = 16, 128, 0.1
@@ -38,7 +38,7 @@ BACKPROP_EVERY = 8
 WARM_DOCS, WARM_LANES, WARM_EVERY, WARM_RATE = 1200, 32, 2, 0.2
 
 # Text in a task's memory at once: as long as many documents, so that a long one can share its steps.
-SLICE_BYTES = 32_000_000
+SLICE_BYTES = 16_000_000
 
 
 # --- the network ----------------------------------------------------------------------------------
@@ -183,7 +183,7 @@ def _lanes(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         heapq.heappush(heap, (used + int(lengths[doc]), lane))
     dealt.sort(key=lambda docs: -int(lengths[docs].sum()))
     filled = np.array([int(lengths[docs].sum()) for docs in dealt])
-    places = np.full((n, filled[0]), -1, np.int64)
+    places = np.full((n, filled[0]), -1, np.int32)
     for i, docs in enumerate(dealt):
         places[i, : filled[i]] = np.concatenate([np.arange(starts[d], starts[d] + lengths[d]) for d in docs])
     return np.ascontiguousarray(places.T), filled
@@ -194,7 +194,7 @@ def _windows(symbols: np.ndarray, lengths: np.ndarray, lanes: int, steps: int) -
     places, filled = _lanes(lengths, lanes)
     first = np.zeros(len(symbols), bool)
     first[np.cumsum(lengths) - lengths] = True
-    inputs = np.concatenate(([START], symbols[:-1]))
+    inputs = np.concatenate((np.array([START], np.int32), symbols[:-1]))
     inputs[first] = START
     t = 0
     while t < len(places):
@@ -240,7 +240,7 @@ def log_probabilities(net: Network, symbols: np.ndarray, lengths: np.ndarray, la
     """Natural log probability of each document's symbols."""
     if not len(lengths):
         return np.zeros(0)
-    out = np.zeros(len(symbols))
+    out = np.zeros(len(symbols), np.float32)
     state = None
     for at, inputs, keep, n in _windows(symbols, lengths, lanes, 2 * WINDOW):
         state = np.zeros((n, net.turn.shape[0]), np.float32) if state is None else state[:n]
@@ -249,7 +249,7 @@ def log_probabilities(net: Network, symbols: np.ndarray, lengths: np.ndarray, la
         places = at.ravel()[real]
         out[places], _ = _outputs(net, states.reshape(-1, states.shape[2])[real], symbols[places])
     ends = np.cumsum(lengths)
-    return np.add.reduceat(out, ends - lengths)
+    return np.add.reduceat(out, ends - lengths, dtype=np.float64)
 
 
 # --- words, counts and documents ------------------------------------------------------------------
@@ -289,10 +289,11 @@ def _tokens(texts: pa.Array, words: pa.Array):
     coded = found.dictionary_encode()
     listed = pc.fill_null(pc.index_in(coded.dictionary, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     head = (listed >= 0) & (listed < HEAD)
-    symbol = np.where(head, listed + 1, HEAD + 1 + _tail_class(coded.dictionary))
+    symbol = np.where(head, listed + 1, HEAD + 1 + _tail_class(coded.dictionary)).astype(np.int32)
+    listed = listed.astype(np.int32)
     codes, n_words = coded.indices.to_numpy(), at[1:] - at[:-1]
     places = np.arange(len(codes)) + np.repeat(np.arange(len(n_words)), n_words)
-    symbols, known = np.zeros(len(codes) + len(n_words), np.int64), np.full(len(codes) + len(n_words), -2)
+    symbols, known = np.zeros(len(codes) + len(n_words), np.int32), np.full(len(codes) + len(n_words), -2, np.int32)
     symbols[places], known[places] = symbol[codes], listed[codes]
     return symbols, n_words + 1, known, found, at
 
@@ -337,7 +338,8 @@ def _trained(docs: DataFrame, net: Network, words: list[str], lanes: int, every:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, memory, tokens, listed = net, np.zeros_like(net.flat()), 0.0, pa.array(words, pa.string())
         for batch in slices(batches, limit=SLICE_BYTES):
-            symbols, lengths, *_ = _tokens(batch.column("text"), listed)
+            symbols, lengths = _tokens(batch.column("text"), listed)[:2]
+            pa.default_memory_pool().release_unused()
             own, tokens = train(own, symbols, lengths, memory, every, rate, lanes), tokens + float(len(symbols))
         if tokens:
             yield pa.RecordBatch.from_arrays(
@@ -351,7 +353,14 @@ def _trained(docs: DataFrame, net: Network, words: list[str], lanes: int, every:
 def fit(docs: DataFrame) -> tuple[LanguageModel, DataFrame]:
     """A model of the texts of ``docs`` (``doc_id``, ``text``; null: empty), and the table of all word counts."""
     counts = written(word_counts(docs), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(LISTED_WORDS).collect()
+    # The least count that at most LISTED_WORDS words reach, from the number of words by count.
+    above, least = 0, 0
+    for r in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        above += r["count"]
+        if above > LISTED_WORDS:
+            least = r["n"] + 1
+            break
+    top = sorted(counts.filter(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"]))
     words, listed = [r["word"] for r in top], np.array([r["n"] for r in top], np.int64)
     ends = docs.count()
 
@@ -390,6 +399,7 @@ def score(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> DataFrame
         logs = np.concatenate((logs, [end_log, 0.0]))  # at -2 the end, at -1 words that are not listed
         for batch in slices(batches, limit=SLICE_BYTES):
             symbols, lengths, listed, found, at = _tokens(batch.column("text"), words)
+            pa.default_memory_pool().release_unused()
             starts = np.cumsum(lengths) - lengths
             sums = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
             tail = symbols > HEAD
