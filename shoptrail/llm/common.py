@@ -19,7 +19,7 @@ BLANKS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Text handled at once inside a Python task; bounds its memory whatever a partition holds.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 5_000_000
 
 
 def lower_ascii(text: Column) -> Column:
