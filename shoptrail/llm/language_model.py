@@ -6,7 +6,7 @@ class a word has (c + 1) / (N + V + 1) from its count c, and (unseen) 1 / (N + V
 counts N and of distinct words V. So every text has a probability and the counts of all words are used.
 
 Training is truncated backpropagation in numpy. After a short common start every task trains on its part of the
-documents, all of them, and the parameters are averaged by tokens. The state is carried across the windows of a document and set to zero
+documents, with gradients from every token of them, and the parameters are averaged by tokens. The state is carried across the windows of a document and set to zero
 at its start, in training and in scoring, so a text's score is the likelihood of the complete text.
 """
 
@@ -29,10 +29,10 @@ FIRST_GROUPS, TAIL_CLASSES = 8, 24
 # Words whose counts every task holds at most, all above some count; the counts of rarer words are joined by a shuffle.
 LISTED_WORDS = 131_072
 
-WINDOW, LANES, RATE = 16, 128, 0.1
+WINDOW, LANES, RATE = 16, 512, 0.1
 
-# Every document is run through in training; gradients are taken in each BACKPROP_EVERY-th window.
-BACKPROP_EVERY = 8
+# Gradients are taken in each BACKPROP_EVERY-th window: in all of them, so that every token is learnt from.
+BACKPROP_EVERY = 1
 
 # The common start of all tasks is trained on this many documents at most, the first by hash of their ids.
 WARM_DOCS, WARM_LANES, WARM_EVERY, WARM_RATE = 1200, 32, 2, 0.2
@@ -88,86 +88,110 @@ def fresh(head_counts: np.ndarray, tail_counts: np.ndarray, hidden: int = HIDDEN
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 def _run(net: Network, symbols: np.ndarray, keep: np.ndarray, state: np.ndarray, trace: bool):
-    """States after each step of (steps, lanes) symbols. ``keep`` is 0 where a document starts."""
+    """States after each step of (steps, lanes) symbols. ``keep`` is 0 where a document starts.
+
+    Inside, and in the trace, lanes are the last axis, so that gates are blocks without gaps.
+    """
     hidden = state.shape[1]
-    added = net.inputs[symbols]
     states = np.empty((*symbols.shape, hidden), np.float32)
+    turn, state = np.ascontiguousarray(net.turn.T), np.ascontiguousarray(state.T)
     traced = []
     for t in range(len(symbols)):
-        before = state * keep[t][:, None]
-        turned = before @ net.turn
-        gates = _sigmoid(added[t, :, : 2 * hidden] + turned[:, : 2 * hidden])
-        reset, update = gates[:, :hidden], gates[:, hidden:]
-        offer = np.tanh(added[t, :, 2 * hidden :] + reset * turned[:, 2 * hidden :])
+        added = np.ascontiguousarray(net.inputs[symbols[t]].T)
+        before = state * keep[t]
+        turned = turn @ before
+        gates = _sigmoid(added[: 2 * hidden] + turned[: 2 * hidden])
+        reset, update = gates[:hidden], gates[hidden:]
+        offer = np.tanh(added[2 * hidden :] + reset * turned[2 * hidden :])
         state = offer + update * (before - offer)
-        states[t] = state
+        states[t] = state.T
         if trace:
-            traced.append((before, reset, update, offer, turned[:, 2 * hidden :]))
-    return states, state, traced
+            traced.append((before, reset, update, offer, turned[2 * hidden :]))
+    return states, state.T, traced
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
+def _chosen(logits: np.ndarray, at: np.ndarray, learn: bool) -> np.ndarray:
+    """Log probability of place ``at`` of each row; to learn, ``logits`` become the gradient for them."""
+    rows = np.arange(len(at))
     logits -= logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+    own = logits[rows, at]
+    np.exp(logits, out=logits)
+    total = logits.sum(1)
+    if learn:
+        logits /= total[:, None]
+        logits[rows, at] -= 1
+    return own - np.log(total)
 
 
 def _outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: Network | None = None):
     """Log probability of each target symbol (of a tail class: of the class), and the gradient for the states."""
+    learn = grads is not None
     head = targets < HEAD_CLASSES * CLASS_SIZE
-    target_class = np.where(head, targets // CLASS_SIZE, targets - HEAD_CLASSES * (CLASS_SIZE - 1))
-    rows = np.arange(len(targets))
-    logs = _log_softmax(states @ net.classes + net.class_bias)
-    out = logs[rows, target_class]
-    back = None
-    if grads is not None:
-        error = np.exp(logs)
-        error[rows, target_class] -= 1
-        grads.classes += states.T @ error
-        grads.class_bias += error.sum(0)
-        back = error @ net.classes.T
+    target_class = np.where(head, targets // CLASS_SIZE, targets - HEAD_CLASSES * (CLASS_SIZE - 1)).astype(np.uint8)
+    # Sorted by class, each class's rows are one block.
     order = np.argsort(target_class, kind="stable")
-    ends = np.searchsorted(target_class[order], np.arange(HEAD_CLASSES + 1))
+    states, targets, target_class = states[order], targets[order], target_class[order]
+    ends = np.searchsorted(target_class, np.arange(HEAD_CLASSES + 1))
+    logits = states @ net.classes
+    logits += net.class_bias
+    logs = _chosen(logits, target_class, learn)
+    back = None
+    if learn:
+        grads.classes += states.T @ logits
+        grads.class_bias += logits.sum(0)
+        back = logits @ net.classes.T
     for k in range(HEAD_CLASSES):
-        chosen = order[ends[k] : ends[k + 1]]
-        if not len(chosen):
+        block = slice(ends[k], ends[k + 1])
+        own = states[block]
+        if not len(own):
             continue
-        own = states[chosen]
-        logs = _log_softmax(own @ net.words[k] + net.word_bias[k])
-        places, at = targets[chosen] % CLASS_SIZE, np.arange(len(chosen))
-        out[chosen] += logs[at, places]
-        if grads is not None:
-            error = np.exp(logs)
-            error[at, places] -= 1
-            grads.words[k] += own.T @ error
-            grads.word_bias[k] += error.sum(0)
-            back[chosen] += error @ net.words[k].T
+        logits = own @ net.words[k]
+        logits += net.word_bias[k]
+        logs[block] += _chosen(logits, targets[block] % CLASS_SIZE, learn)
+        if learn:
+            grads.words[k] += own.T @ logits
+            grads.word_bias[k] += logits.sum(0)
+            back[block] += logits @ net.words[k].T
+    out = np.empty_like(logs)
+    out[order] = logs
+    if learn:
+        unsorted = np.empty_like(back)
+        unsorted[order] = back
+        back = unsorted
     return out, back
 
 
 def _back(net: Network, symbols, keep, traced, back: np.ndarray, grads: Network) -> None:
     """Backpropagation through the steps of one window."""
     steps, lanes, hidden = back.shape
-    from_gates, added = (np.empty((steps, lanes, 3 * hidden), np.float32) for _ in range(2))
-    later = np.zeros((lanes, hidden), np.float32)
+    from_gates, added = np.empty((3 * hidden, lanes), np.float32), np.empty((steps, 3 * hidden, lanes), np.float32)
+    later = np.zeros((hidden, lanes), np.float32)
     for t in reversed(range(steps)):
         before, reset, update, offer, turned = traced[t]
-        d = back[t] + later
-        d_offer = d * (1 - update) * (1 - offer * offer)
-        d_update = d * (before - offer) * update * (1 - update)
-        d_reset = d_offer * turned * reset * (1 - reset)
-        added[t] = np.concatenate((d_reset, d_update, d_offer), 1)
-        from_gates[t] = np.concatenate((d_reset, d_update, d_offer * reset), 1)
-        later = (d * update + from_gates[t] @ net.turn.T) * keep[t][:, None]
-    before = np.stack([x[0] for x in traced]).reshape(-1, hidden)
-    grads.turn += before.T @ from_gates.reshape(-1, 3 * hidden)
+        later += back[t].T
+        d, d_reset, d_update, d_offer = later, added[t, :hidden], added[t, hidden : 2 * hidden], added[t, 2 * hidden :]
+        rest = 1 - update
+        np.multiply(d * rest, 1 - offer * offer, out=d_offer)
+        np.multiply(d * (before - offer), update * rest, out=d_update)
+        np.multiply(d_offer * turned, reset * (1 - reset), out=d_reset)
+        from_gates[: 2 * hidden] = added[t, : 2 * hidden]
+        np.multiply(d_offer, reset, out=from_gates[2 * hidden :])
+        grads.turn += before @ from_gates.T
+        later = (d * update + net.turn @ from_gates) * keep[t]
     flat = symbols.ravel()
-    order = np.argsort(flat, kind="stable")
-    starts = np.flatnonzero(np.concatenate(([True], flat[order][1:] != flat[order][:-1])))
-    grads.inputs[flat[order][starts]] += np.add.reduceat(added.reshape(-1, 3 * hidden)[order], starts)
+    order = np.argsort(flat.astype(np.uint16), kind="stable")
+    ordered = flat[order]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    grads.inputs[ordered[starts]] += np.add.reduceat(added.transpose(0, 2, 1).reshape(-1, 3 * hidden)[order], starts)
 
 
 def _lanes(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +260,7 @@ def train(
     return net
 
 
-def log_probabilities(net: Network, symbols: np.ndarray, lengths: np.ndarray, lanes: int = 4 * LANES) -> np.ndarray:
+def log_probabilities(net: Network, symbols: np.ndarray, lengths: np.ndarray, lanes: int = LANES) -> np.ndarray:
     """Natural log probability of each document's symbols."""
     if not len(lengths):
         return np.zeros(0)

@@ -78,6 +78,21 @@ def test_gradients():
         assert (loss(flat + step) - loss(flat - step)) / 2e-2 == pytest.approx(got[i], rel=0.05, abs=5e-3)
 
 
+def test_every_token_is_learnt_from(monkeypatch):
+    rng, net = np.random.default_rng(2), small_net()
+    lengths = np.concatenate((rng.integers(1, 60, 300), [900]))
+    symbols = rng.integers(0, 400, lengths.sum())
+    real, learnt = lm._outputs, []
+
+    def outputs(net, states, targets, grads=None):
+        learnt.extend(targets if grads is not None else [])
+        return real(net, states, targets, grads)
+
+    monkeypatch.setattr(lm, "_outputs", outputs)
+    lm.train(net, symbols, lengths, np.zeros_like(net.flat()))
+    assert Counter(learnt) == Counter(symbols.tolist())
+
+
 def test_probabilities_of_all_words_sum_to_one(spark, docs_of):
     """Over all known words, one unknown word of each tail class, and the end, after a given text."""
     docs = docs_of([(i, f"the cat sat on mat{i % 7}, and dog{i % 5}.") for i in range(40)])
