@@ -3,8 +3,9 @@
 Numbers, units and capitalised names become typed placeholders, so a question asked again with other
 values has the same template. Windows of template tokens are hash-joined with those of the benchmark;
 documents that hold most windows of an item are aligned with it, and an alignment counts only if its slots
-are consistent: a value of the item always became the same value in the document. Beside the templates
-the words themselves are compared in lower case, as in text all in capitals no name can be told.
+are consistent: a value of the item always became the same value in the document, as far as windows match at
+that shift; past an inserted word they match at another. Beside the templates the words themselves are compared
+in lower case, as in text all in capitals no name can be told; equal words need no slots.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -79,8 +80,9 @@ def _slots(table: DataFrame, key: str, position: str, value: str) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
     """``doc_id``, ``item_id``, ``windows``, ``matched``, ``exact`` per document and benchmark item it holds.
 
-    An item is held if at least ``coverage`` percent of its distinct windows stand in the document within
-    alignments whose slots are consistent. ``exact`` says that all slot values are the item's own. Items
+    An item is held if at least ``coverage`` percent of its distinct windows stand in the document, word for word
+    or as templates within alignments whose slots are consistent. ``exact`` says that all slot values are the item's
+    own, from the first to the last window that matches at a shift. Items
     shorter than a window, empty or null hold nothing and are held by nothing; rows without id are left out.
     Rows of the same id count as one document or item each, whose windows are united.
     """
@@ -107,18 +109,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     placed = placed.select("doc_id", "form", F.posexplode("windows").alias("at", "hash"))
     aligned = placed.join(held, ["doc_id", "form"]).join(item_rows, ["item_id", "form", "hash"])
     shift = F.col("at") - F.col("item_at")
-    aligned = written(aligned.select("doc_id", "item_id", "form", "windows", shift.alias("shift"), "hash"), "aligned")
-    shifts = aligned.select("doc_id", "item_id", "shift").distinct()
+    aligned = written(aligned.select("doc_id", "item_id", "form", "windows", shift.alias("shift"), "item_at", "hash"), "aligned")
+    shifts = aligned.groupBy("doc_id", "item_id", "shift").agg(
+        F.collect_set(F.when(F.col("form") == 0, F.col("item_at"))).alias("starts"),
+        F.min("item_at").alias("first"), (F.max("item_at") + (window - 1)).alias("last"),
+    )
     item_slots = _slots(items, "item_id", "item_at", "item_value")
     doc_slots = _slots(texts, "doc_id", "at", "doc_value")
-    pairs = shifts.join(small(item_slots), "item_id").withColumn("at", F.col("item_at") + F.col("shift"))
+    pairs = shifts.join(small(item_slots), "item_id").filter("item_at between first and last")
+    covered = F.exists("starts", lambda start: F.col("item_at").between(start, start + (window - 1)))
+    pairs = pairs.select("doc_id", "item_id", "shift", "kind", "item_value", (F.col("item_at") + F.col("shift")).alias("at"), covered.alias("covered"))
     pairs = pairs.join(doc_slots, ["doc_id", "at", "kind"])
+    matched = F.when(F.col("covered"), F.col("doc_value"))
     values = pairs.groupBy("doc_id", "item_id", "shift", "kind", "item_value").agg(
-        F.min("doc_value").alias("low"), F.max("doc_value").alias("high")
+        (F.min(matched) != F.max(matched)).alias("mixed"), F.max(F.col("doc_value") != F.col("item_value")).alias("changed")
     )
-    changed = F.max((F.col("low") != F.col("item_value")) | (F.col("high") != F.col("item_value")))
-    slots = values.groupBy("doc_id", "item_id", "shift").agg(F.max(F.col("low") != F.col("high")).alias("mixed"), changed.alias("changed"))
-    fitting = aligned.join(slots, ["doc_id", "item_id", "shift"], "left").filter(~F.coalesce("mixed", F.lit(False)))
+    slots = values.groupBy("doc_id", "item_id", "shift").agg(F.max("mixed").alias("mixed"), F.max("changed").alias("changed"))
+    fitting = aligned.join(slots, ["doc_id", "item_id", "shift"], "left").filter((F.col("form") == 1) | ~F.coalesce("mixed", F.lit(False)))
     agreed = fitting.groupBy("doc_id", "item_id", "form", "windows").agg(
         F.count_distinct("hash").alias("matched"), (~F.max(F.coalesce("changed", F.lit(False)))).alias("exact")
     )

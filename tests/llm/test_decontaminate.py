@@ -45,6 +45,25 @@ def test_several_places_and_a_gap(docs_of, benchmark):
     assert set(found) == {(1, 1), (2, 1)} and found[1, 1]["matched"] < found[1, 1]["windows"]
 
 
+def test_an_inserted_word_does_not_make_slots_inconsistent(docs_of, spark):
+    """Past the insertion a repeated name would be compared with the word before it."""
+    item = "Anna Weber buys ripe apples at the old market near the river and later that day the baker says that Anna Weber sold most of them to her brother"
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    other = item.replace("Anna", "Eva").replace("Weber", "Braun")
+    found = held(docs_of([(i, t.replace("later that", "later inserted that")) for i, t in enumerate((item, other))]), benchmark)
+    assert {k: r["exact"] for k, r in found.items()} == {(0, 1): True, (1, 1): False}
+
+
+def test_equal_words_count_where_slots_differ(docs_of, spark):
+    """One of two equal values changed: as a template it is inconsistent, but most windows are the item's own words."""
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    text = lambda one, two: " ".join(["has", one, *words, two, "left"])
+    benchmark = spark.createDataFrame([(1, text("7", "7"))], "item_id long, text string")
+    found = held(docs_of([(1, text("7", "8")), (2, text("7", "7"))]), benchmark)
+    assert set(found) == {(1, 1), (2, 1)} and found[2, 1]["exact"] and not found[1, 1]["exact"]
+    assert found[1, 1]["matched"] < found[1, 1]["windows"] == found[2, 1]["matched"]
+
+
 def test_odd_rows(odd_docs, benchmark):
     assert held(odd_docs, benchmark) == {}
     kept = decontaminate.without_benchmark(odd_docs, benchmark)
