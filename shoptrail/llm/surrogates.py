@@ -5,7 +5,8 @@ that the same person, number or address is the same everywhere, however it is wr
 each other or a real value are made anew until all are distinct.
 
 Types: e-mail address, credential (password, key, token), IBAN, IPv4 address, card number, phone number, and a
-name after a title. Names keep gender and script; later mentions of such a name in its document follow it.
+name after a title: all its words, with initials, hyphens, apostrophes and the particles between them. Names keep
+gender and script; later mentions of such a name in its document follow it, but for initials and single letters.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,15 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Doña", "госпожа", "κυρία"],
     "n": ["Mx", "Dr", "Prof"],
 }
+_ANY_TITLE = "|".join(t for titles in TITLES.values() for t in titles)
+TITLED = rf"(?:{_ANY_TITLE})\.? (?:(?:Dr|Prof)\.? )*+"
+# Name words: initials, or a capital and all letters up to the word's end; no possessive s. The particles stay as they are.
+PARTICLE = r"(?:van|von|de|del|della|di|da|dos|du|bin|ibn|ter|ten)(?: (?:der|den|dem|la|las|los|le))?+"
+INITIALS = r"\p{Lu}\.(?:[-‐‑]?\p{Lu}\.)*+"
+NAME_WORD = r"(?:d['’])?+\p{Lu}[\p{L}\p{M}]*+(?:['’](?!s(?!\p{L}))\p{L}[\p{L}\p{M}]*+|[-‐‑]\p{Lu}[\p{L}\p{M}]*+)*+"
+_NAME_PART = rf"(?:{PARTICLE} )?+(?:{INITIALS}|{NAME_WORD})"
+# A run of name words ends before another title and before "I".
+_NAME_STOP = rf"(?!(?:{_ANY_TITLE.replace('|Don|', '|')})\.? \p{{Lu}}|I(?![\p{{L}}.]))"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
     "secret": r"(?<![A-Za-z])(?i:password|passwd|secret|token|api[_-]?key)(?:=|:[ ]?|[ ]?=[ ]?|[ ]\"|[ ]')[A-Za-z0-9_+/-]{8,}+|(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
@@ -28,7 +38,7 @@ PATTERNS = {
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}(?![0-9])|(?<![A-Za-z0-9])[0-9]{13,19}(?![A-Za-z0-9])",
     "phone": r"(?<![A-Za-z0-9+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])|(?<![A-Za-z0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "name": r"(?<!\p{L})(?:" + "|".join(t for titles in TITLES.values() for t in titles) + r")\.? \p{Lu}[\p{Ll}\p{M}]++(?: \p{Lu}[\p{Ll}\p{M}]++)?",
+    "name": rf"(?<!\p{{L}}){TITLED}{_NAME_PART}(?: {_NAME_STOP}{_NAME_PART})*+",
 }
 # Names are built from syllables of the script they replace; given names get an ending of their gender.
 SYLLABLES = {
@@ -60,20 +70,28 @@ def _last(text: Column, n: int) -> Column:
     return F.reverse(F.substring(F.reverse(text), 1, n))
 
 
+def _name_entities(mention: Column) -> Column:
+    """The words of a titled name in order, as ``kind`` and ``norm``: given names (with the gender the title shows),
+    then a surname; particles are of no kind."""
+    title = F.regexp_extract(mention, r"^([^ .]+)", 1)
+    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
+    words = F.split(F.regexp_replace(mention, f"^{TITLED}", ""), " ")
+
+    def entity(word: Column, left: Column) -> Column:
+        kind = F.when(left == 1, "surname").when(word.rlike(r"^(?:d['’])?\p{Lu}"), "given")
+        return F.struct(kind.alias("kind"), F.when(kind == "given", F.concat(gender, F.lit(":"), word)).otherwise(word).alias("norm"))
+
+    return let(words, lambda words: F.transform(words, lambda word, i: entity(word, F.size(words) - i)))
+
+
 def parts(mention: Column) -> Column:
     """The entities in a mention, as ``kind`` and the normal form ``norm`` that all their spellings share.
 
-    Lower case for addresses, digits for cards, the last ten digits for phones; a name is a surname, or a
-    given name (with the gender its title shows) and a surname.
+    Lower case for addresses, digits for cards, the last ten digits for phones; a name is a surname after any
+    number of given names (with the gender its title shows).
     """
     kind = _kind(mention)
     digits = F.regexp_replace(mention, "[^0-9]", "")
-    title = F.regexp_extract(mention, r"^([^ .]+)", 1)
-    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
-    words = F.split(F.regexp_replace(mention, r"^\S+ ", ""), " ")
-    entity = lambda k, norm: F.struct(F.lit(k).alias("kind") if isinstance(k, str) else k.alias("kind"), norm.alias("norm"))
-    surname = F.array(entity("surname", F.element_at(words, -1)))
-    given = F.array(entity("given", F.concat(gender, F.lit(":"), F.element_at(words, 1))))
     norm = (
         F.when(kind == "email", F.lower(mention))
         .when(kind == "card", digits)
@@ -82,8 +100,8 @@ def parts(mention: Column) -> Column:
         .when(kind == "secret", F.regexp_extract(mention, SECRET_VALUE, 1))
         .otherwise(mention)
     )
-    names = F.when(F.size(words) > 1, F.concat(given, surname)).otherwise(surname)
-    return F.when(kind == "name", names).otherwise(F.array(entity(kind, norm)))
+    names = F.filter(_name_entities(mention), lambda e: e["kind"].isNotNull())
+    return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
 
 
 def _word(kind: Column, norm: Column) -> Column:
@@ -209,12 +227,23 @@ def _refilled(mention: Column, chars: Column) -> Column:
     return F.reverse(F.aggregate(source, F.struct(F.lit("").alias("out"), F.lit(0).alias("k")), step, lambda done: done["out"]))
 
 
+def _as_initials(word: Column, name: Column) -> Column:
+    """``word`` with its letters replaced by capitals of ``name``; dots and hyphens stay."""
+    letter = lambda i: F.upper(F.substring(name, i % F.length(name) + 1, F.lit(1)))
+    return F.array_join(F.transform(F.split(word, ""), lambda c, i: F.when(c.rlike(r"^\p{L}$"), letter(i)).otherwise(c)), "")
+
+
 def _rewritten(mention: Column, known: Column) -> Column:
     """A mention in its own format with the surrogates of the map ``known`` (by kind and normal form)."""
     found = parts(mention)
     new = F.transform(found, lambda p: F.element_at(known, F.concat_ws(":", p["kind"], p["norm"])))
     kind, norm, value = F.element_at(found, 1)["kind"], F.element_at(found, 1)["norm"], F.element_at(new, 1)
-    name = F.concat_ws(" ", F.regexp_extract(mention, r"^(\S+) ", 1), F.array_join(new, " "))
+
+    def renamed(e: Column) -> Column:
+        word, value = _word(e["kind"], e["norm"]), F.element_at(known, F.concat_ws(":", e["kind"], e["norm"]))
+        return F.when(e["kind"].isNull(), word).when(word.contains("."), _as_initials(word, value)).otherwise(value)
+
+    name = F.concat(F.regexp_extract(mention, f"^({TITLED})", 1), F.array_join(F.transform(_name_entities(mention), renamed), " "))
     return (
         F.when(kind.isin("given", "surname"), name)
         .when(kind.isin("card", "phone", "iban"), _refilled(mention, value))
@@ -253,8 +282,10 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     mapping = F.map_from_entries(F.transform("entries", lambda e: F.struct(e["entity"], e["surrogate"])))
     new = let(mapping, lambda known: F.transform("found", lambda m: _rewritten(m, known)))
     filled = filled.withColumn("body", _interleaved(F.col("body"), F.lit(ANY), new))
-    # Later mentions of a name, without its title.
-    names = F.array_sort(F.filter("entries", lambda e: e["kind"].isin("given", "surname") & (F.length(e["word"]) > 2)))
+    # Later mentions of a name, without its title; the longest first, as one may start with another.
+    follows = lambda e: e["kind"].isin("given", "surname") & (F.length(e["word"]) > 1) & ~e["word"].contains(".")
+    ranked = lambda e: F.struct((-F.length(e["word"])).alias("rank"), *(e[c].alias(c) for c in ("entity", "surrogate", "kind", "word")))
+    names = F.array_sort(F.transform(F.filter("entries", follows), ranked))
     filled = filled.withColumn("names", names)
     bare = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(F.transform("names", lambda e: e["word"]), "|"), F.lit(r")(?!\p{L})"))
     other = F.transform(mentions(F.col("body"), bare), lambda m: F.get(F.filter("names", lambda e: e["word"] == m), F.lit(0))["surrogate"])

@@ -40,6 +40,30 @@ def test_scripts(docs_of):
     assert re.fullmatch(r"κύριος [Α-Ω][α-ωάέήίόύώ]+", row[2]["text"]) and "Παπάς" not in row[2]["text"]
 
 
+def test_whole_names_are_replaced(docs_of):
+    names = [
+        "Dr. Anna Maria Schmidt", "Mr. McDonald", "Ms. Mary-Jane Watson", "Mr. John F. Kennedy", "Mr. O'Neil", "Ms. Li", "Mr. J.-P. O’Hara",
+        "Prof. Dr. Ludwig van der Berg", "Mrs. Ana Lucia Maria DeSouza-Smith", "Mr. SMITH", "Monsieur d'Artagnan",
+    ]
+    rows = replaced(docs_of([(i, f"Then {name} came, and {name.split()[-1]}'s friend.") for i, name in enumerate(names)]))
+    for i, name in enumerate(names):
+        new = re.fullmatch(r"Then (\S+ (?:Dr\. )?)(.+) came, and (.+)'s friend\.", rows[i]["text"])
+        assert new and name.startswith(new[1]) and rows[i]["replaced"] == 2, (name, rows[i])
+        old, words = name.removeprefix(new[1]).split(), new[2].split()
+        assert len(words) == len(old) and words[-1] == new[3] != old[-1], (name, rows[i])
+        for a, b in zip(old, words):
+            assert (a == b) == (a in ("van", "der")) or "." in a, (name, rows[i])
+            assert [c for c in a if c in ".-"] == [c for c in b if c in ".-"] or "." not in a
+    assert re.search(r"Mr\. [A-Z][a-z]+ [A-Z]\. [A-Z][a-z]+ came", rows[3]["text"]) and re.search(r"Mr\. [A-Z]\.-[A-Z]\. [A-Z][a-z]+ came", rows[6]["text"])
+
+
+def test_names_end_where_they_end(docs_of):
+    text = "Mr. Smith's dog; Mr. Smith I know, Smith-Jones is no Mrs. Ann Smith-Jones Mr. Don Jones"
+    new = replaced(docs_of([(1, text)]))[1]["text"]
+    found = re.fullmatch(r"Mr\. (\w+)'s dog; Mr\. \1 I know, (\w+) is no Mrs\. (\w+) \2 Mr\. (\w+) (\w+)", new)
+    assert found and len(set(found.groups())) == 5 and not {"Smith", "Jones", "Ann", "Don"} & set(found.groups()), new
+
+
 def test_same_everywhere_and_by_key(docs_of):
     docs = docs_of([(i, f"mail to someone.{i % 3}@host{i % 2}.org now") for i in range(12)])
     one, two, other = replaced(docs), replaced(docs), replaced(docs, "another")
