@@ -108,8 +108,84 @@ def contaminated(window: int = decontaminate.WINDOW, coverage: int = decontamina
       FROM agreed WHERE {enough}) WHERE rank = 1"""
 
 
+def hard_negatives() -> str:
+    """Every anchor against every row."""
+    return """
+    WITH taking AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+      SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM taking a JOIN taking b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scores WHERE same)
+      WHERE place <= 5),
+    ranked AS (
+      SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INT) AS rank
+      FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5"""
+
+
+def manifest() -> str:
+    """Each level by grouping the one below, and each leaf's climb."""
+    field = lambda c: f"coalesce(concat(octet_length(encode({c})), ':', {c}), '-')"
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"]
+    leaf = lambda text: f"sha256(concat({', '.join(map(field, [*fields, text]))}))"
+
+    def tree(name: str, lowest: str) -> str:
+        """Levels, runs and climbs over rows ``tree``, ``place``, ``n``, ``hash`` of ``lowest``."""
+        return f"""
+    {name}_nodes AS (
+      SELECT tree, 0 AS level, place, n, hash FROM {lowest}
+      UNION ALL
+      SELECT tree, level + 1, place // 16, CAST(ceil(n / 16.0) AS BIGINT), sha256(string_agg(hash, '' ORDER BY place))
+      FROM {name}_nodes WHERE n > 1 GROUP BY tree, level, place // 16, n),
+    {name}_runs AS (SELECT tree, level, place // 16 AS run, list(hash ORDER BY place) AS kin FROM {name}_nodes WHERE n > 1 GROUP BY ALL)"""
+
+    def climb(name: str, start: str) -> str:
+        others = "array_to_string(list_concat(kin[:place % 16], kin[place % 16 + 2:]), '')"
+        changed = "sha256(array_to_string(list_concat(kin[:place % 16], [folded], kin[place % 16 + 2:]), ''))"
+        return f"""
+    {name}_climb AS (
+      SELECT id, tree, 0 AS level, place, folded, proof FROM {start}
+      UNION ALL
+      SELECT id, c.tree, c.level + 1, place // 16, {changed}, concat(proof, {others})
+      FROM {name}_climb c JOIN {name}_runs r ON r.tree = c.tree AND r.level = c.level AND r.run = place // 16),
+    {name}_end AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY level DESC) AS last FROM {name}_climb) WHERE last = 1)"""
+
+    return f"""
+    WITH RECURSIVE crc AS (
+      SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+        lambda c, _: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS steps),
+    hashed AS (
+      SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf("text")} AS hash,
+        CASE WHEN xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+          lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0
+        THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS forged
+      FROM documents, crc),
+    leaves AS (
+      SELECT doc_id, tree, hash, coalesce(forged, hash) AS folded, row_number() OVER () AS id, count(*) OVER (PARTITION BY tree) AS n,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, hash) - 1 AS place, '' AS proof FROM hashed),
+    {tree("low", "leaves")},
+    {climb("low", "leaves")},
+    roots AS (
+      SELECT '' AS tree, tree AS own, hash, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM low_nodes WHERE n = 1),
+    {tree("top", "roots")},
+    top_start AS (SELECT id, '' AS tree, r.place, folded, proof FROM low_end e JOIN roots r ON r.own = e.tree),
+    {climb("top", "top_start")}
+    SELECT l.doc_id, l.hash AS leaf, r.hash AS subroot, t.hash AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
+      e.folded = t.hash AS verified
+    FROM leaves l JOIN top_end e USING (id) JOIN roots r ON r.own = l.tree JOIN top_nodes t ON t.n = 1"""
+
+
 ORACLES = {
     "op2_template_decontamination": contaminated(),
     "op5_hash_threshold_mix": mix(),
     "op9_tensored_minhash": near_duplicates(4),
+    "op12_inverted_multi_index": hard_negatives(),
+    "op13_merkle_manifest": manifest(),
 }

@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import decontaminate, fingerprints, language_model, mixing, near_dups, quality, surrogates, token_counts, toxicity, url_filter
+from shoptrail.llm import (
+    decontaminate, fingerprints, hard_negatives, language_model, manifest, mixing, near_dups, quality, sentence_pieces,
+    surrogates, token_counts, toxicity, url_filter,
+)
 from shoptrail.llm.common import remainder
 from shoptrail.llm.oracles import ORACLES as ORACLES
 
@@ -77,6 +80,22 @@ def op10_additive_quality(spark, sf_dir):
     return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_sentence_pieces(spark, sf_dir):
+    """``agrees``: the sentencepiece library gives the same ids and the same text."""
+    done = sentence_pieces.round_trip(_table(spark, sf_dir, "documents"), sentence_pieces.read_model())
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    digests = F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), *digests, "agrees")
+
+
+def op12_inverted_multi_index(spark, sf_dir):
+    return hard_negatives.hard_negatives(hard_negatives.prepared(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -94,5 +113,8 @@ QUERIES = [
     op8_weak_toxicity,
     op9_tensored_minhash,
     op10_additive_quality,
+    op11_sentence_pieces,
+    op12_inverted_multi_index,
+    op13_merkle_manifest,
     pipeline,
 ]

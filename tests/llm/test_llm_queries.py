@@ -19,12 +19,14 @@ COLUMNS = {
     "op8": "doc_id held_out score predicted",
     "op9": "doc_id n_shingles component_id kept",
     "op10": "doc_id held_out score predicted",
+    "op11": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13": "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
 def test_all_are_registered():
     names = [q.__name__ for q in queries.QUERIES]
-    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
     assert set(names) <= set(registry.queries()) and set(queries.ORACLES) <= set(registry.oracle_sql())
 
 
