@@ -16,7 +16,7 @@ from shoptrail.functions import text, times
 from shoptrail.operators import ads, categories, filters, flows, sessions
 from shoptrail.plans import ads as ad_plans
 from shoptrail.plans import shop
-from shoptrail.session import apply_settings, delete_on_exit, work_folder
+from shoptrail.session import apply_settings, work_folder
 from shoptrail.sinks.tables import first_rows, replace_table, written
 from shoptrail.sources import clicks as click_source
 from shoptrail.sources import event_views
@@ -75,7 +75,6 @@ def _click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "click-lines")
     files = max(6, int(spark.conf.get("spark.sql.shuffle.partitions")))
     lines.repartition(files, F.xxhash64("value")).write.parquet(folder)
-    delete_on_exit(spark, folder)
     stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", files // 3).parquet(folder)
     return click_source.parse_click_lines(click_source.line_values(stream))
 
@@ -90,7 +89,6 @@ def typed_actions(spark, sf_dir):
     name = "shoptrail_visits_" + folder.rsplit("-", 1)[1]
     texts = actions.select(*[F.col(c).cast("string") if c != "event_id" else F.col(c) for c in actions.columns])
     replace_table(texts, name, folder)
-    delete_on_exit(spark, folder)
     return table_scan(spark, name, keep=["event_id"])
 
 
@@ -316,8 +314,23 @@ def _run(spark, sf_dir, name, job, table, **options):
     return table(f"{root}/tables").read(spark)
 
 
+def _run_for_state(spark, sf_dir, name, job, **options):
+    """Run a job the same way; its folder of tables and its checkpoint."""
+    root = work_folder(spark, name)
+    places = f"{root}/tables", f"{root}/checkpoint"
+    job(_click_stream(spark, sf_dir), *places, trigger=jobs.ALL_AVAILABLE, **options).awaitTermination()
+    return places
+
+
 def stream_user_ad_counts(spark, sf_dir):
-    return _run(spark, sf_dir, "user-ads", jobs.count_user_ads, jobs.user_ad_table)
+    """The running counts, read from the job's state store."""
+    return jobs.user_ad_counts(spark, *_run_for_state(spark, sf_dir, "user-ads", jobs.count_user_ads))
+
+
+def stream_ban_counters(spark, sf_dir):
+    """The counters the ban job goes by, read from its state store."""
+    _, checkpoint = _run_for_state(spark, sf_dir, "ban-counters", jobs.block_heavy_clickers, threshold=THRESHOLD)
+    return jobs.state_counts(spark, checkpoint, ads.USER_KEYS)
 
 
 def stream_ad_city_counts(spark, sf_dir):
@@ -338,7 +351,14 @@ def stream_ad_trend(spark, sf_dir):
     return windows.select(start.alias("window_start"), bucket.alias("bucket"), "n")
 
 
-# --- keyed tables and sinks -----------------------------------------------------------------------
+def stream_trend_closed(spark, sf_dir):
+    """The trend under a watermark: closed, late and open windows; the clicks come out of order, so many are late."""
+    places = _run_for_state(spark, sf_dir, "closed-windows", jobs.chart_closed_windows, delay="1 hour")
+    start, bucket = times.time_to_text(F.col("window_start")), ads.bucket_label(F.col("bucket_start"))
+    return jobs.trend_so_far(spark, *places).select(start.alias("window_start"), bucket.alias("bucket"), "n")
+
+
+# --- tables that batches keep, and sinks -----------------------------------------------------------------------
 
 
 def counter_merge(spark, sf_dir):
@@ -350,7 +370,7 @@ def counter_merge(spark, sf_dir):
     table.put(early, 0)
     table.put(early, 0)
     table.put(late, 1)
-    return table.as_of(spark, 1)
+    return table.read(spark)
 
 
 def set_insert(spark, sf_dir):
@@ -359,7 +379,7 @@ def set_insert(spark, sf_dir):
     table = jobs.banned_table(work_folder(spark, "set-insert"))
     table.put(ad_plans.blacklist(filters.between_dates(clicks, end=MIDDLE), THRESHOLD), 0)
     table.put(ad_plans.blacklist(clicks, THRESHOLD), 1)
-    return table.as_of(spark, 1)
+    return table.read(spark)
 
 
 def keyed_replace(spark, sf_dir):
@@ -368,7 +388,7 @@ def keyed_replace(spark, sf_dir):
     table = jobs.area_top_table(work_folder(spark, "keyed-replace"))
     table.put(ad_plans.ad_area_top(clicks, k=1), 0)
     table.put(ad_plans.ad_area_top(clicks), 1)
-    return table.as_of(spark, 1)
+    return table.read(spark)
 
 
 def table_replace(spark, sf_dir):
@@ -418,10 +438,12 @@ _QUERIES = [
     ad_trend_sliding,
     ad_trend_window,
     stream_user_ad_counts,
+    stream_ban_counters,
     stream_ad_city_counts,
     stream_ad_area_top3,
     stream_blacklist,
     stream_ad_trend,
+    stream_trend_closed,
     counter_merge,
     set_insert,
     keyed_replace,
@@ -661,10 +683,12 @@ def oracle_sql() -> dict[str, str]:
         "ad_trend_window": trend,
         "ad_trend_sliding": sliding,
         "stream_user_ad_counts": user_counts,
+        "stream_ban_counters": user_counts,
         "stream_ad_city_counts": city_counts,
         "stream_ad_area_top3": area_json,
         "stream_blacklist": banned,
         "stream_ad_trend": sliding,
+        "stream_trend_closed": sliding,
         "counter_merge": city_counts,
         "set_insert": banned,
         "keyed_replace": area_json,

@@ -106,6 +106,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         options["expire_after"] = args.expire_after
     if args.query == "ad_trend":
         options["report"] = lambda windows: print_rows(windows, args.rows)
+        if not args.once:
+            options["ticks"] = jobs.live_ticks(spark)
     query = LIVE[args.query](parse_click_lines(lines), args.root, args.checkpoint, **options)
     query.awaitTermination()
 

@@ -36,6 +36,12 @@ def ads_json(ranked: DataFrame) -> DataFrame:
     return ranked.groupBy("date", "area").agg(F.to_json(F.map_from_entries(pairs)).alias("top_ads"))
 
 
+def from_json_ads(top: DataFrame) -> DataFrame:
+    """The rows ``date, area, ad_id, n`` of ranked ads in JSON form."""
+    counts = F.from_json("top_ads", "map<string,bigint>")
+    return top.select("date", "area", F.explode(counts).alias("ad_id", "n"))
+
+
 def drop_banned(clicks: DataFrame, banned: DataFrame) -> DataFrame:
     """Rows of users that are not banned, repeats kept.
 

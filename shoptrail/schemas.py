@@ -97,3 +97,12 @@ TREND_COUNTS = T.StructType(
         T.StructField("n", T.LongType()),
     ]
 )
+
+WINDOW_COUNTS = T.StructType(
+    [
+        T.StructField("date", T.StringType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("bucket_start", T.TimestampType()),
+        T.StructField("n", T.LongType()),
+    ]
+)

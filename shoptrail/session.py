@@ -45,7 +45,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for checkpoints and written tables, below ``spark.checkpoint.dir``.
+    """A new folder for checkpoints and written tables, below ``spark.checkpoint.dir``; it goes when the application ends.
 
     That folder is shared by all executors. Where the setting is absent, only a local session
     gets a temporary folder; on a cluster a machine-local folder would lose data.
@@ -54,53 +54,40 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="shoptrail-")
-    return f"{shared.rstrip('/')}/shoptrail/{name}-{uuid.uuid4().hex}"
+        shared = tempfile.gettempdir()
+    return f"{_application_folder(spark, shared.rstrip('/'))}/{name}-{uuid.uuid4().hex}"
 
 
-def _file_context(spark: SparkSession, path: str):
-    """Hadoop's file context for a path, and the path for it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop.FileContext.getFileContext(place.getFileSystem(conf).getUri(), conf), place
+# The folder of each application, made at its first use.
+_FOLDERS: dict[tuple[str, str], str] = {}
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder with all it holds; nothing happens if there is none."""
-    context, place = _file_context(spark, path)
-    if context.util().exists(place):
-        context.delete(place, True)
+def _application_folder(spark: SparkSession, shared: str) -> str:
+    key = spark.sparkContext.applicationId, shared
+    if key not in _FOLDERS:
+        folder = f"{shared}/shoptrail-{uuid.uuid4().hex}"
+        system, place = _file_system(spark, folder)
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        _FOLDERS[key] = folder
+    return _FOLDERS[key]
+
 
+def remove_work_folders(spark: SparkSession) -> None:
+    """Remove all that this application has put below the shared folder; call it before ``spark.stop()`` where the process
+    goes on. Results that are read from there are lost."""
+    own = spark.sparkContext.applicationId
+    for key in [k for k in _FOLDERS if k[0] == own]:
+        delete_folder(spark, _FOLDERS.pop(key))
 
-def delete_on_exit(spark: SparkSession, path: str) -> None:
-    """Let a folder live as long as the application."""
+
+def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-
-
-def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a small text file in place of an older one at once: readers see the old or the new text."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    context, place = _file_context(spark, path)
-    fresh = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.mkdirs(place.getParent())
-    stream = system.create(fresh)
-    stream.writeBytes(text)
-    stream.close()
-    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    options[0] = hadoop.Options.Rename.OVERWRITE
-    context.rename(fresh, place, options)
-
-
-def published_text(spark: SparkSession, path: str) -> str | None:
-    """The text of such a file, ``None`` where there is none."""
-    context, place = _file_context(spark, path)
-    if not context.util().exists(place):
-        return None
-    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
-    try:
-        return stream.readLine()
-    finally:
-        stream.close()
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens if there is none."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+

@@ -1,3 +1,9 @@
+import subprocess
+import sys
+import tempfile
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +14,7 @@ from shoptrail.sinks.jdbc import append_jdbc, jdbc_options
 from shoptrail.sinks.tables import first_rows, replace_table, written
 from shoptrail.sources.clicks import kafka_click_lines
 from shoptrail.sources.tables import parquet_scan, rows_table, table_scan, typed
-from shoptrail.session import work_folder
+from shoptrail.session import remove_work_folders, work_folder
 
 
 def test_replace_table(spark, tmp_path):
@@ -108,7 +114,37 @@ class FakeSession:
         self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
 
 
-def test_a_cluster_needs_a_shared_folder():
+def test_a_cluster_needs_a_shared_folder(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(FakeSession("spark://host:7077"), "x")
-    assert work_folder(FakeSession("local[2]"), "x").startswith("/")
+    local = FakeSession("local[2]")
+    local.sparkContext, local._jvm = spark.sparkContext, spark._jvm
+    assert work_folder(local, "x").startswith(tempfile.gettempdir())
+
+
+def test_work_folders_go(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    table = written(spark.range(3))
+    assert table.count() == 3 and any(shared.glob("shoptrail*"))
+    remove_work_folders(spark)
+    assert not any(shared.glob("shoptrail*"))
+    assert written(spark.range(3)).count() == 3
+
+
+def test_work_folders_go_when_the_process_ends(tmp_path):
+    code = f"""
+from shoptrail.session import build_session
+from shoptrail.sinks.tables import written
+spark = build_session("own", "local[1]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": "{tmp_path}"}})
+assert written(spark.range(3)).count() == 3
+import glob
+assert glob.glob("{tmp_path}/shoptrail*")
+spark.stop()
+"""
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=300)
+    for _ in range(60):  # the JVM ends a little after the process
+        if not any(tmp_path.glob("shoptrail*")):
+            break
+        time.sleep(0.5)
+    assert not any(tmp_path.glob("shoptrail*"))

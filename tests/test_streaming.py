@@ -1,5 +1,4 @@
 import os
-import shutil
 import time
 
 import pytest
@@ -11,7 +10,7 @@ from shoptrail.plans import ads as plans
 from shoptrail.schemas import CITY_AD_COUNTS
 from shoptrail.sources.clicks import file_click_lines, parse_click_lines
 from shoptrail.streaming import jobs
-from shoptrail.streaming.keyed_tables import KeyedTable, newest, summed, united
+from shoptrail.streaming.batch_tables import BatchTable, newest, summed, united
 
 START = 1_562_068_800_000
 
@@ -31,7 +30,7 @@ def drop_files(folder, lines, files, first=0):
     size = -(-len(lines) // files)
     for i in range(files):
         path = folder / f"lines-{first + i:03d}.txt"
-        path.write_text("\n".join(lines[i * size : (i + 1) * size]) + "\n")
+        path.write_text("".join(f"{line}\n" for line in lines[i * size : (i + 1) * size]))
         os.utime(path, (1_600_000_000 + first + i, 1_600_000_000 + first + i))
 
 
@@ -55,30 +54,37 @@ def run(job, spark, folder, tmp_path, **options):
     return query
 
 
+def places(folder):
+    return str(folder / "tables"), str(folder / "checkpoint")
+
+
 @pytest.mark.parametrize("files", [1, 3, 7])
 def test_stream_equals_batch(spark, tmp_path, files):
     lines = sample_lines()
     drop_files(tmp_path / "in", lines, files)
     clicks = batch(spark, lines)
-    root = str(tmp_path / "tables")
 
     run(jobs.count_city_ads, spark, tmp_path / "in", tmp_path / "a")
     got = jobs.city_counter_table(str(tmp_path / "a" / "tables"))
     assert values(got.read(spark)) == values(plans.ad_city_counts(clicks))
-    assert values(got.as_of(spark, files - 1)) == values(plans.ad_city_counts(clicks))
+    assert jobs.finished_batch(spark, str(tmp_path / "a" / "checkpoint")) == files - 1
 
     run(jobs.rank_area_ads, spark, tmp_path / "in", tmp_path / "b")
     top = jobs.area_top_table(str(tmp_path / "b" / "tables")).read(spark)
     assert values(top) == values(plans.ad_area_top(clicks))
 
     run(jobs.count_user_ads, spark, tmp_path / "in", tmp_path / "c")
-    counts = jobs.user_ad_table(str(tmp_path / "c" / "tables")).read(spark)
+    counts = jobs.user_ad_counts(spark, *places(tmp_path / "c"))
     assert values(counts) == values(ads.count_by(clicks, ads.USER_KEYS))
+    assert not (tmp_path / "c" / "tables").exists()
 
     run(jobs.block_heavy_clickers, spark, tmp_path / "in", tmp_path / "d", threshold=25)
     banned = values(jobs.banned_table(str(tmp_path / "d" / "tables")).read(spark))
     assert banned == values(plans.blacklist(clicks, 25))
     assert 0 < len(banned) < 5
+    counters = jobs.state_counts(spark, str(tmp_path / "d" / "checkpoint"), ads.USER_KEYS)
+    assert values(counters) == values(ads.count_by(clicks, ads.USER_KEYS))
+    assert os.listdir(tmp_path / "d" / "tables") == ["banned"]
 
     run(jobs.chart_trend, spark, tmp_path / "in", tmp_path / "e")
     panes = jobs.trend_table(str(tmp_path / "e" / "tables")).read(spark)
@@ -90,28 +96,32 @@ def test_a_ban_acts_from_the_next_batch_on(spark, tmp_path):
     drop_files(tmp_path / "in", lines[:5], 1)
     drop_files(tmp_path / "in", lines[5:], 1, first=1)
     initial = spark.createDataFrame([("w",)], "user_id string")
-    run(jobs.block_heavy_clickers, spark, tmp_path / "in", tmp_path, threshold=3, initial=initial)
-    root = str(tmp_path / "tables")
-    assert values(jobs.banned_table(root).read(spark)) == [("u",), ("w",)]
-    counts = jobs.ban_counter_table(root).read(spark).select("ad_id", "user_id", "n")
-    assert values(counts) == [("1", "u", 5), ("2", "v", 1)]
+    seen = []
+    see = lambda counts, batch_id: seen.append((batch_id, values(counts.select("ad_id", "user_id", "n"))))
+    run(jobs.block_heavy_clickers, spark, tmp_path / "in", tmp_path, threshold=3, initial=initial, admitted=see)
+    assert values(jobs.banned_table(str(tmp_path / "tables")).read(spark)) == [("u",), ("w",)]
+    assert seen == [(0, [("1", "u", 5)]), (1, [("2", "v", 1)])]
+    # The counters go on during the ban.
+    counts = jobs.state_counts(spark, str(tmp_path / "checkpoint"), ads.USER_KEYS)
+    assert values(counts.select("ad_id", "user_id", "n")) == [("1", "u", 5), ("2", "u", 1), ("2", "v", 1)]
 
 
-def test_users_banned_before_are_not_counted(spark, tmp_path):
+def test_users_banned_before_are_not_judged(spark, tmp_path):
     drop_files(tmp_path / "in", [f"{START + i} n x {u} 1" for i, u in enumerate("wwwv")], 1)
     initial = spark.createDataFrame([("w",)], "user_id string")
-    run(jobs.block_heavy_clickers, spark, tmp_path / "in", tmp_path, threshold=3, initial=initial)
-    counts = jobs.ban_counter_table(str(tmp_path / "tables")).read(spark)
-    assert values(counts.select("user_id", "n")) == [("v", 1)]
-
-
-@pytest.mark.parametrize("job, table", [
-    (jobs.count_city_ads, jobs.city_counter_table),
-    (jobs.rank_area_ads, jobs.area_top_table),
-    (jobs.count_user_ads, jobs.user_ad_table),
-    (jobs.block_heavy_clickers, jobs.banned_table),
-])
-def test_a_job_goes_on_from_its_checkpoint(spark, tmp_path, job, table):
+    seen = []
+    see = lambda counts, batch_id: seen.extend(values(counts.select("user_id", "n")))
+    run(jobs.block_heavy_clickers, spark, tmp_path / "in", tmp_path, threshold=3, initial=initial, admitted=see)
+    assert seen == [("v", 1)]
+
+
+def result(spark, job, folder):
+    tables = {jobs.count_city_ads: jobs.city_counter_table, jobs.rank_area_ads: jobs.area_top_table, jobs.block_heavy_clickers: jobs.banned_table}
+    return values(jobs.user_ad_counts(spark, *places(folder)) if job is jobs.count_user_ads else tables[job](places(folder)[0]).read(spark))
+
+
+@pytest.mark.parametrize("job", [jobs.count_city_ads, jobs.rank_area_ads, jobs.count_user_ads, jobs.block_heavy_clickers])
+def test_a_job_goes_on_from_its_checkpoint(spark, tmp_path, job):
     lines = sample_lines()
     options = {"threshold": 25} if job is jobs.block_heavy_clickers else {}
     drop_files(tmp_path / "in", lines[:100], 2)
@@ -120,24 +130,45 @@ def test_a_job_goes_on_from_its_checkpoint(spark, tmp_path, job, table):
     run(job, spark, tmp_path / "in", tmp_path, **options)
     drop_files(tmp_path / "whole", lines, 1)
     run(job, spark, tmp_path / "whole", tmp_path / "once", **options)
-    got = values(table(str(tmp_path / "tables")).read(spark))
-    assert got == values(table(str(tmp_path / "once" / "tables")).read(spark))
+    assert result(spark, job, tmp_path) == result(spark, job, tmp_path / "once")
 
 
-def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+@pytest.mark.parametrize("job", [jobs.count_city_ads, jobs.rank_area_ads, jobs.count_user_ads, jobs.block_heavy_clickers])
+def test_a_replayed_batch_changes_nothing(spark, tmp_path, job):
     """The last commit is lost, as in a crash between the sink and the commit: the batch runs again."""
-    lines = sample_lines()
-    drop_files(tmp_path / "in", lines, 3)
-    for job, options in [(jobs.count_city_ads, {}), (jobs.block_heavy_clickers, {"threshold": 25})]:
-        place = tmp_path / job.__name__
-        run(job, spark, tmp_path / "in", place, **options)
-        table = (jobs.city_counter_table if not options else jobs.ban_counter_table)(str(place / "tables"))
-        before = values(table.read(spark))
-        for name in ("2", ".2.crc"):
-            (place / "checkpoint" / "commits" / name).unlink()
-        query = run(job, spark, tmp_path / "in", place, **options)
-        assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [2]
-        assert values(table.read(spark)) == before
+    drop_files(tmp_path / "in", sample_lines(), 3)
+    options = {"threshold": 25} if job is jobs.block_heavy_clickers else {}
+    run(job, spark, tmp_path / "in", tmp_path, **options)
+    before = result(spark, job, tmp_path)
+    for name in ("2", ".2.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink()
+    assert jobs.finished_batch(spark, str(tmp_path / "checkpoint")) == 1
+    query = run(job, spark, tmp_path / "in", tmp_path, **options)
+    assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [2]
+    assert result(spark, job, tmp_path) == before
+
+
+def test_a_reader_beside_the_job_sees_whole_batches(spark, tmp_path):
+    """A batch whose sink has written, but which is not finished, is not read."""
+    drop_files(tmp_path / "in", sample_lines(), 3)
+    run(jobs.count_city_ads, spark, tmp_path / "in", tmp_path)
+    assert jobs.finished_batch(spark, str(tmp_path / "nowhere")) == -1
+    table = jobs.city_counter_table(places(tmp_path)[0])
+    (tmp_path / "checkpoint" / "commits" / "2").unlink()
+    until = jobs.finished_batch(spark, places(tmp_path)[1])
+    assert until == 1 and table.read(spark, until).agg(F.sum("n")).first()[0] == 160
+    assert table.read(spark).agg(F.sum("n")).first()[0] == 240
+
+
+def test_the_top_ads_follow_from_old_and_changed_ones(spark, tmp_path):
+    """Ads outside the top come up batch by batch, ties go by ad, other days and areas stay."""
+    batches = [["n 1", "n 1", "n 2", "n 3", "n 4", "s 9"], ["n 4", "n 5", "s 8"], ["n 5", "n 5", "n 4"], ["n 6"]]
+    lines = [[f"{START + 10 * i + j} {x.split()[0]} c u {x.split()[1]}" for j, x in enumerate(b)] for i, b in enumerate(batches)]
+    for i, own in enumerate(lines):
+        drop_files(tmp_path / "in", own, 1, first=i)
+        run(jobs.rank_area_ads, spark, tmp_path / "in", tmp_path)
+        want = plans.ad_area_top(batch(spark, [line for b in lines[: i + 1] for line in b]))
+        assert result(spark, jobs.rank_area_ads, tmp_path) == values(want)
 
 
 def test_expired_days_leave_the_state(spark, tmp_path):
@@ -147,12 +178,13 @@ def test_expired_days_leave_the_state(spark, tmp_path):
     # The watermark of a batch is that of the batch before, so day 0 is closed in the last batch.
     for i, d in enumerate([0, 5, 5, 0]):
         drop_files(tmp_path / "in", [line(d)], 1, first=i)
-    run(jobs.count_user_ads, spark, tmp_path / "in", tmp_path / "kept")
-    run(jobs.count_user_ads, spark, tmp_path / "in", tmp_path / "expired", expire_after="1 day")
-    counts = [values(jobs.user_ad_table(str(tmp_path / p / "tables")).read(spark).select("date", "n"))
-              for p in ("kept", "expired")]
+    counts = []
+    for name, options in (("kept", {}), ("expired", {"expire_after": "1 day"})):
+        run(jobs.count_user_ads, spark, tmp_path / "in", tmp_path / name, **options)
+        counts.append(values(jobs.user_ad_counts(spark, *places(tmp_path / name), **options).select("date", "n")))
     assert [n for _, n in counts[0]] == [2, 2]
     assert [n for _, n in counts[1]] == [1, 2]
+    assert jobs.state_counts(spark, places(tmp_path / "expired")[1], ads.USER_KEYS).count() == 1
 
 
 def reported(windows):
@@ -210,101 +242,127 @@ def test_a_job_runs_on_the_five_second_trigger(spark, tmp_path):
     assert jobs.city_counter_table(root).read(spark).agg(F.sum("n")).first()[0] == 60
 
 
-def test_an_unfinished_folder_is_not_read(spark, tmp_path):
-    table = KeyedTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",))
-    for batch_id in range(2):
-        table.put(spark.createDataFrame([("2019-07-02", "n", "x", "1", 5)], CITY_AD_COUNTS), batch_id)
-    shutil.copytree(tmp_path / "level0" / "part=1", tmp_path / "level0" / "part=2")
-    assert values(table.read(spark)) == [("2019-07-02", "n", "x", "1", 10)]
-
-
-def test_old_folders_go(spark, tmp_path):
-    table = KeyedTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=3)
-    rows = spark.createDataFrame([("2019-07-02", "n", "x", "1", 1)], CITY_AD_COUNTS).coalesce(1)
-    for batch_id in range(40):
-        table.put(rows, batch_id)
-    assert values(table.read(spark)) == [("2019-07-02", "n", "x", "1", 40)]
-    left = {p.name for p in (tmp_path / "level0").iterdir()}
-    live = {f"part={b}" for level, parts in table._complete(39) if level == 0 for b in parts}
-    assert live <= left and len(left) <= 3 * 3
-
-
-def test_folded_tables_read_the_same(spark, tmp_path):
-    rows = [[("2019-07-02", "n", "x", str(i % 3), i + 1)] for i in range(9)]
-    keys = ads.CITY_KEYS
-    for merge in (summed(keys), newest(keys), united):
-        name = str(tmp_path / f"t{id(merge)}")
-        folded = KeyedTable(name, CITY_AD_COUNTS, merge, ("date",), fold_every=2)
-        plain = KeyedTable(f"{name}-plain", CITY_AD_COUNTS, merge, ("date",), fold_every=1000)
-        for batch_id, batch_rows in enumerate(rows):
-            frame = spark.createDataFrame(batch_rows, CITY_AD_COUNTS)
-            folded.put(frame, batch_id)
-            folded.put(frame, batch_id)
-            plain.put(frame, batch_id)
-            assert values(folded.as_of(spark, batch_id)) == values(plain.as_of(spark, batch_id))
-        assert values(folded.read(spark)) == values(folded.as_of(spark, len(rows) - 1))
-        one = spark.createDataFrame([("2019-07-02", "1")], "date string, ad_id string")
-        assert {r.ad_id for r in folded.as_of(spark, 8, only=one).collect()} == {"1"}
-
-
-@pytest.mark.parametrize("fold_every", [2, 3, 10])
-def test_every_batch_is_read_once(fold_every):
-    table = KeyedTable("unused", CITY_AD_COUNTS, united, fold_every=fold_every)
-    for batch_id in range(120):
-        parts = table._complete(batch_id)
-        held = [b for level, ids in parts for i in ids
-                for b in range(i * fold_every**level, (i + 1) * fold_every**level)]
-        assert sorted(held) == list(range(batch_id + 1))
-        # A fold is written at the start of the batch that follows it.
-        assert all((i + 1) * fold_every**level <= batch_id for level, ids in parts if level for i in ids)
-
-
-@pytest.mark.parametrize("fold_every", [2, 3])
-def test_retired_folders_are_never_read_again(fold_every):
-    table = KeyedTable("root", CITY_AD_COUNTS, united, fold_every=fold_every)
-    gone, written = set(), set()
-    for batch_id in range(100):
-        retired = set(table.retired(batch_id))
-        needed = {f"root/level{level}/part={part}" for level, parts in table._complete(batch_id) for part in parts}
-        assert not needed & (gone | retired) and not retired & gone
-        gone |= retired
-        written |= needed
-    # Only what the last batch reads is left.
-    assert len(written - gone) <= len(needed) + fold_every
-
-
-def test_a_read_of_some_keys_skips_other_days(spark, tmp_path):
-    table = KeyedTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
+ROWS = [[("2019-07-02", "n", "x", str(i % 3), i + 1), (f"2019-07-{3 + i % 2:02d}", "n", "x", "1", 1)] for i in range(11)]
+
+
+@pytest.mark.parametrize("merge", [summed(ads.CITY_KEYS), newest(ads.CITY_KEYS), united], ids=["summed", "newest", "united"])
+def test_compacted_tables_read_the_same(spark, tmp_path, merge):
+    tables = [BatchTable(str(tmp_path / name), CITY_AD_COUNTS, merge, day, every)
+              for name, day, every in (("a", "date", 3), ("b", None, 4), ("c", "date", 1000))]
+    for batch_id, rows in enumerate(ROWS):
+        frame = spark.createDataFrame(rows, CITY_AD_COUNTS).coalesce(1)
+        for table in tables:
+            table.put(frame, batch_id)
+            if batch_id % 3 == 0:  # a replay, compaction included
+                table.put(frame, batch_id)
+        first, *others = [values(table.read(spark)) for table in tables]
+        assert all(other == first for other in others), batch_id
+    assert values(tables[0].read(spark, until=9)) == values(tables[2].read(spark, until=9))
+    assert {r.date for r in tables[0].read(spark, days=["2019-07-03"]).collect()} == {"2019-07-03"}
+
+
+def test_compaction_rewrites_only_days_with_new_rows_and_old_partitions_go(spark, tmp_path):
+    table = BatchTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), compact_every=5)
+    for batch_id in range(31):
+        day = "2019-07-01" if batch_id < 7 else "2019-07-02"
+        table.put(spark.createDataFrame([(day, "n", "x", "1", 1)], CITY_AD_COUNTS).coalesce(1), batch_id)
+    assert values(table.read(spark)) == [("2019-07-01", "n", "x", "1", 7), ("2019-07-02", "n", "x", "1", 24)]
+    merged = {day: sorted(p.name for p in (tmp_path / f"day={day}" / "merged=1").iterdir()) for day in ("2019-07-01", "2019-07-02")}
+    assert merged["2019-07-01"] == ["batch=9"] and merged["2019-07-02"] == ["batch=24", "batch=29"]
+    # Those of the last two rounds are left.
+    left = sorted(p.name for p in (tmp_path / "day=2019-07-02" / "merged=0").iterdir())
+    assert left == [f"batch={b}" for b in (25, 26, 27, 28, 29, 30)]
+
+
+def test_a_reader_keeps_its_files_until_the_next_compaction(spark, tmp_path):
+    table = BatchTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS), compact_every=3)
+    put = lambda b: table.put(spark.createDataFrame([("2019-07-01", "n", "x", "1", 1)], CITY_AD_COUNTS).coalesce(1), b)
     for batch_id in range(3):
-        rows = [(f"2019-07-{d:02d}", "n", "x", "1", d) for d in range(1, 10)]
-        table.put(spark.createDataFrame(rows, CITY_AD_COUNTS), batch_id)
-    only = spark.createDataFrame([("2019-07-03", "n")], "date string, area string")
-    some = table.as_of(spark, 2, only=only)
-    assert values(some) == [("2019-07-03", "n", "x", "1", 9)]
-    plan = some._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan and "(date" in plan.split("PartitionFilters: [isnotnull")[1]
-
-
-def test_folded_folders_are_not_needed(spark, tmp_path):
-    table = KeyedTable(str(tmp_path / "all"), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
-    frames = [spark.createDataFrame([("2019-07-02", "n", "x", "1", i)] if i < 5 else [], CITY_AD_COUNTS)
-              for i in range(8)]
-    for batch_id, frame in enumerate(frames):
-        table.put(frame, batch_id)
-    for level, parts in table._complete(7):
-        for part in parts:
-            folder = f"level{level}/part={part}"
-            shutil.copytree(tmp_path / "all" / folder, tmp_path / "kept" / folder)
-    shutil.copy(tmp_path / "all" / "finished", tmp_path / "kept" / "finished")
-    kept = KeyedTable(str(tmp_path / "kept"), CITY_AD_COUNTS, summed(ads.CITY_KEYS), ("date",), fold_every=2)
-    assert values(kept.read(spark)) == values(table.read(spark)) == [("2019-07-02", "n", "x", "1", 10)]
+        put(batch_id)
+    early = table.read(spark)
+    for batch_id in range(3, 6):
+        put(batch_id)
+    assert values(early) == [("2019-07-01", "n", "x", "1", 3)]
 
 
 def test_an_empty_table_is_empty(spark, tmp_path):
     table = jobs.banned_table(str(tmp_path))
-    assert table.as_of(spark, -1).count() == 0
     table.put(spark.createDataFrame([], "user_id string"), 0)
-    assert table.as_of(spark, 0).count() == table.read(spark).count() == 0
+    assert table.read(spark).count() == table.read(spark, until=0).count() == 0
+
+
+def test_a_read_of_some_days_opens_no_others(spark, tmp_path):
+    table = BatchTable(str(tmp_path), CITY_AD_COUNTS, summed(ads.CITY_KEYS))
+    table.put(spark.createDataFrame([(f"2019-07-{d:02d}", "n", "x", "1", d) for d in range(1, 10)], CITY_AD_COUNTS), 0)
+    some = table.read(spark, days=["2019-07-03"])
+    assert values(some) == [("2019-07-03", "n", "x", "1", 3)]
+    assert {file.split("/day=")[1][:10] for file in some.inputFiles()} == {"2019-07-03"}
+
+
+def ticks(spark, folder, seconds):
+    """A stream of times, one per batch."""
+    drop_files(folder, [str(START // 1000 + s) for s in seconds], len(seconds))
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(folder))
+    return lines.select(F.timestamp_seconds(F.col("value").cast("bigint")).alias("arrival"))
+
+
+def test_a_pause_of_three_slides_is_reported_three_times(spark, tmp_path):
+    for i, own in enumerate([[1], [], [], [], [45]]):
+        drop_files(tmp_path / "in", [f"{START + s * 1000} n x u 1" for s in own], 1, first=i)
+    reports = []
+    run(jobs.chart_trend, spark, tmp_path / "in", tmp_path, width=20, report=lambda w: reports.append(reported(w)),
+        ticks=ticks(spark, tmp_path / "ticks", [0, 10, 20, 30, 40]))
+    # By second 0 the first window that ends has no click yet; the click at second 1 is in the windows that end at 10 and 20.
+    row = lambda s: ("11:59:50" if s == 10 else "12:00:00", "12-00-00", 1)
+    assert reports == [[row(10)], [row(20)], [], []]
+    assert jobs.trend_table(places(tmp_path)[0]).read(spark).agg(F.sum("n")).first()[0] == 2
+
+
+def test_ticks_of_a_rate_source_report_silence(spark, tmp_path):
+    drop_files(tmp_path / "in", [f"{START + 1000} n x u 1"], 1)
+    rate = spark.readStream.format("rate-micro-batch").options(rowsPerBatch=1, startTimestamp=START, advanceMillisPerBatch=10_000).load()
+    reports = []
+    query = jobs.chart_trend(
+        stream(spark, tmp_path / "in"), *places(tmp_path), width=10, report=lambda w: reports.append(reported(w)),
+        ticks=rate.select(F.col("timestamp").alias("arrival")), trigger={"processingTime": "0 seconds"},
+    )
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            if len(reports) >= 4:
+                break
+    finally:
+        query.stop()
+    assert reports[0] == [("12:00:00", "12-00-00", 1)] and reports[1:4] == [[], [], []]
+
+
+def test_live_ticks_tell_the_time(spark, tmp_path):
+    query = jobs.live_ticks(spark).writeStream.format("memory").queryName("ticks_seen").option("checkpointLocation", str(tmp_path)).start()
+    try:
+        for _ in range(60):
+            time.sleep(0.5)
+            if spark.table("ticks_seen").count() >= 2:
+                break
+    finally:
+        query.stop()
+    assert spark.table("ticks_seen").columns == ["arrival"] and spark.table("ticks_seen").count() >= 2
+
+
+@pytest.mark.parametrize("delay", ["5 seconds", "1 day"])
+def test_closed_late_and_open_windows_are_the_whole_trend(spark, tmp_path, delay):
+    seconds = [[1, 30], [75, 80], [20, 130], [131, 5], [300], [31, 299], [301]]
+    lines = [[f"{START + s * 1000} n x u 1" for s in own] for own in seconds]
+    for i, own in enumerate(lines):
+        drop_files(tmp_path / "in", own, 1, first=i)
+        if i in (3, 6):  # a restart between
+            run(jobs.chart_closed_windows, spark, tmp_path / "in", tmp_path, delay=delay)
+    whole = ads.trend_windows(ads.trend_panes(batch(spark, sum(lines, []))))
+    assert values(jobs.trend_so_far(spark, *places(tmp_path))) == values(whole)
+    late = jobs.late_window_table(places(tmp_path)[0]).read(spark)
+    closed = jobs.closed_window_table(places(tmp_path)[0]).read(spark)
+    assert late.isEmpty() == closed.isEmpty() == (delay == "1 day")
+    with pytest.raises(ValueError, match="gaps"):
+        jobs.chart_closed_windows(stream(spark, tmp_path / "in"), *places(tmp_path), delay=delay, width=10, slide=20)
 
 
 def test_console(spark, tmp_path):
