@@ -6,8 +6,9 @@ empty. Symbols that are no piece become the pieces of their bytes.
 
 Where no piece has a blank after another character, no merge crosses the start of a run of blanks. Texts are cut
 there, and each distinct part of an Arrow batch goes through its own agenda once: merges in one part neither allow nor
-prevent merges in another. Ids and decoded bytes are then gathered from tables. Every batch can be compared with
-the sentencepiece library.
+prevent merges in another. The agendas of short parts are rows of one array, each of which gives its best pair in every
+round; a long part has a heap. Ids and decoded bytes are gathered from tables. Every batch can be compared
+with the sentencepiece library.
 
 Blanks are kept as spaces here; in the vocabulary's file they are U+2581, which in a text means a blank too.
 """
@@ -15,7 +16,8 @@ Blanks are kept as spaces here; in the vocabulary's file they are U+2581, which
 import struct
 from array import array
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -33,8 +35,12 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
 
-# Parts of texts remembered by a Python worker: how many, and the longest. Longer ones need a heap.
-REMEMBERED, LONGEST = 200_000, 64
+# Parts of more characters have a heap as their agenda.
+LONGEST = 64
+
+# A character that is no piece is a symbol with its code point, raised by this, as its number.
+CHARACTERS = 1 << 24
+NO_RANK = np.iinfo(np.int32).max
 
 
 def _number(data: bytes, at: int) -> tuple[int, int]:
@@ -65,6 +71,7 @@ class Vocabulary:
 
     ids: dict[str, int]
     ranks: dict[str, int]  # order of score, best first; equal scores share one
+    pairs: "Pairs"
     byte_ids: list[int]
     data: list[bytes]  # what each id stands for
     opens: list[bool]  # whether a piece begins with a blank
@@ -72,10 +79,41 @@ class Vocabulary:
     dummy_prefix: bool
     cuttable: bool
     proto: bytes
-    remembered: dict[str, list[int]] = field(default_factory=dict)
 
-    def __getstate__(self):
-        return {**self.__dict__, "remembered": {}}
+
+@dataclass
+class Pairs:
+    """The pairs of symbols that are a piece together, in order of ``keys``: their rank and the piece's id."""
+
+    keys: np.ndarray
+    ranks: np.ndarray
+    ids: np.ndarray
+    characters: np.ndarray  # the symbols of code points
+
+    @classmethod
+    def of(cls, ids: dict[str, int], ranks: dict[str, int]) -> "Pairs":
+        symbol = lambda text: ids.get(text, CHARACTERS + ord(text) if len(text) == 1 else None)
+        found = {}
+        for text, number in ids.items():
+            for i in range(1, len(text)):
+                left, right = symbol(text[:i]), symbol(text[i:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = ranks[text], number
+        keys = np.array(sorted(found), np.int64)
+        values = np.array([found[key] for key in keys.tolist()], np.int32).reshape(-1, 2)
+        characters = np.arange(0x110000, dtype=np.int32) + CHARACTERS
+        for text, number in ids.items():
+            if len(text) == 1:
+                characters[ord(text)] = number
+        return cls(keys, values[:, 0], values[:, 1], characters)
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of each pair; ``NO_RANK`` for those that are no piece."""
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        if not len(self.keys):
+            return np.full(left.shape, NO_RANK, np.int32), np.zeros(left.shape, np.int32)
+        return np.where(self.keys[at] == wanted, self.ranks[at], NO_RANK), self.ids[at]
 
 
 def read_model(path: str = MODEL) -> Vocabulary:
@@ -100,9 +138,11 @@ def read_model(path: str = MODEL) -> Vocabulary:
     plain = {text.replace(BLANK, " "): i for i, (text, _, kind) in enumerate(pieces) if kind == NORMAL and " " not in text}
     order = {score: rank for rank, score in enumerate(sorted({pieces[i][1] for i in plain.values()}, reverse=True))}
     data = [_stands_for(text, kind, trainer.get(44, b" \xe2\x81\x87 ")) for text, _, kind in pieces]
+    ranks = {text: order[pieces[i][1]] for text, i in plain.items()}
     return Vocabulary(
         plain,
-        {text: order[pieces[i][1]] for text, i in plain.items()},
+        ranks,
+        Pairs.of(plain, ranks),
         [i for i, (_, _, kind) in enumerate(pieces) if kind == BYTE],
         data,
         [kind == NORMAL and text.startswith(BLANK) for text, _, kind in pieces],
@@ -119,32 +159,39 @@ def _stands_for(text: str, kind: int, unknown: bytes) -> bytes:
     return {UNKNOWN: unknown, CONTROL: b""}.get(kind, text.replace(BLANK, " ").encode())
 
 
-NO_RANK = 1 << 62
-
+def merged_together(symbols: np.ndarray, pairs: Pairs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The symbols of many parts, rows of equally many characters, when no two neighbours are a piece any more.
 
-def merged(part: str, ranks: dict[str, int]) -> list[str]:
-    """The symbols of a part of a text when no two neighbours are a piece any more."""
-    if len(part) > LONGEST:
-        return merged_by_heap(part, ranks)
-    # An agenda in order of place: the least rank is searched, which is quicker than a heap for a few pairs.
-    symbols = list(part)
-    agenda = [ranks.get(a + b, NO_RANK) for a, b in zip(symbols, symbols[1:])]
-    while agenda:
-        best = min(agenda)
-        if best == NO_RANK:
-            break
-        i = agenda.index(best)
-        symbols[i] += symbols.pop(i + 1)
-        del agenda[i]
-        if i < len(agenda):
-            agenda[i] = ranks.get(symbols[i] + symbols[i + 1], NO_RANK)
-        if i:
-            agenda[i - 1] = ranks.get(symbols[i - 1] + symbols[i], NO_RANK)
-    return symbols
+    In each round every part merges its best pair, the leftmost of equals; parts that have none are done and come out,
+    as the numbers of their rows and their symbols.
+    """
+    rows = np.arange(len(symbols))
+    agenda, merges = pairs.look_up(symbols[:, :-1], symbols[:, 1:])
+    while len(rows):
+        width = symbols.shape[1]
+        best = agenda.argmin(1) if width > 1 else np.zeros(len(rows), np.int64)
+        own = np.arange(len(rows))
+        going = agenda[own, best] != NO_RANK if width > 1 else np.zeros(len(rows), bool)
+        if not going.all():
+            yield rows[~going], symbols[~going]
+            rows, symbols, agenda, merges, best = rows[going], symbols[going], agenda[going], merges[going], best[going]
+            own = np.arange(len(rows))
+        if not len(rows):
+            return
+        symbols[own, best] = merges[own, best]
+        later = np.arange(width - 1)[None, :] > best[:, None]
+        symbols = np.where(later, symbols[:, 1:], symbols[:, :-1])
+        # The merged pair leaves the agenda, and those at its sides are new.
+        later = later[:, :-1] | (np.arange(width - 2)[None, :] == best[:, None])
+        agenda, merges = (np.where(later, x[:, 1:], x[:, :-1]) for x in (agenda, merges))
+        for side in (best - 1, best):
+            with_one = np.flatnonzero((side >= 0) & (side < width - 2))
+            at = side[with_one]
+            agenda[with_one, at], merges[with_one, at] = pairs.look_up(symbols[with_one, at], symbols[with_one, at + 1])
 
 
 def merged_by_heap(part: str, ranks: dict[str, int]) -> list[str]:
-    """The same for parts of any length, with the agenda as a heap.
+    """The symbols of one part of any length, as texts, with the agenda as a heap.
 
     A symbol goes by the place of its first character; ``after`` holds where it ends, 0 once it is part of another,
     ``before`` where its left neighbour starts. An entry of the agenda is rank, start and end in one number, so that the
@@ -183,20 +230,39 @@ def merged_by_heap(part: str, ranks: dict[str, int]) -> list[str]:
     return symbols
 
 
-def part_ids(part: str, vocabulary: Vocabulary) -> list[int]:
-    """The ids of a part: its symbols, and the bytes of those that are no piece."""
-    known = vocabulary.remembered.get(part)
-    if known is not None:
-        return known
-    found: list[int] = []
-    for symbol in merged(part, vocabulary.ranks):
-        number = vocabulary.ids.get(symbol)
-        found.extend([number] if number is not None else (vocabulary.byte_ids[b] for b in symbol.encode()))
-    if len(part) <= LONGEST:
-        if len(vocabulary.remembered) >= REMEMBERED:
-            vocabulary.remembered.clear()
-        vocabulary.remembered[part] = found
-    return found
+def _with_bytes(symbols: list[int], vocabulary: Vocabulary) -> list[int]:
+    """Symbols as ids; a character that is no piece as the pieces of its bytes."""
+    return [i for x in symbols for i in ([x] if x < CHARACTERS else map(vocabulary.byte_ids.__getitem__, chr(x - CHARACTERS).encode()))]
+
+
+def ids_of(parts: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of distinct parts one after the other, and how many each has."""
+    texts = parts.to_pylist()
+    sizes = pc.utf8_length(parts).to_numpy()
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    firsts = np.cumsum(sizes) - sizes
+    counts, blocks, single = np.zeros(len(texts), np.int64), [], {}
+    for size in np.unique(sizes[sizes <= LONGEST]).tolist():
+        places = np.flatnonzero(sizes == size)
+        rows = vocabulary.pairs.characters[points[firsts[places][:, None] + np.arange(size)]]
+        for done, symbols in merged_together(rows, vocabulary.pairs):
+            plain = (symbols < CHARACTERS).all(1)
+            blocks.append((places[done[plain]], symbols[plain]))
+            counts[places[done]] = symbols.shape[1]
+            for place, row in zip(places[done[~plain]].tolist(), symbols[~plain].tolist()):
+                single[place] = _with_bytes(row, vocabulary)
+    for place in np.flatnonzero(sizes > LONGEST).tolist():
+        symbols = merged_by_heap(texts[place], vocabulary.ranks)
+        single[place] = _with_bytes([vocabulary.ids.get(x, CHARACTERS + ord(x[0])) for x in symbols], vocabulary)
+    for place, ids in single.items():
+        counts[place] = len(ids)
+    starts = np.cumsum(counts) - counts
+    flat = np.empty(int(counts.sum()), np.int32)
+    for places, symbols in blocks:
+        flat[starts[places][:, None] + np.arange(symbols.shape[1])] = symbols
+    for place, ids in single.items():
+        flat[starts[place] : starts[place] + len(ids)] = ids
+    return flat, counts
 
 
 def parts_of(texts: pa.Array, vocabulary: Vocabulary) -> tuple[pa.Array, np.ndarray]:
@@ -222,13 +288,12 @@ def encode(texts: pa.Array, vocabulary: Vocabulary, end: bool = True) -> tuple[n
     """The ids of some texts one after the other, each text's with the end id, and where they start and end."""
     parts, at = parts_of(texts, vocabulary)
     coded = parts.dictionary_encode()
-    lists = [part_ids(part, vocabulary) for part in coded.dictionary.to_pylist()] + [[vocabulary.end_id]]
-    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(lengths.sum()))
+    flat, lengths = ids_of(coded.dictionary, vocabulary)
+    flat, lengths = np.append(flat, np.int32(vocabulary.end_id)), np.append(lengths, 1)
     firsts = np.cumsum(lengths) - lengths
     order = coded.indices.to_numpy().astype(np.int64)
     if end:
-        order = np.insert(order, at[1:], len(lists) - 1)
+        order = np.insert(order, at[1:], len(lengths) - 1)
         at = at + np.arange(len(at))
     sizes = lengths[order]
     ends = np.cumsum(sizes)
@@ -269,8 +334,11 @@ def _library(vocabulary: Vocabulary):
 def _agrees(library, texts: Sequence[str | None], ids: np.ndarray, at: np.ndarray, decoded: Sequence[str]) -> list[bool]:
     """Whether the library gives the same ids and texts."""
     theirs = library.encode([text or "" for text in texts], num_threads=1, add_eos=True)
-    same = [np.array_equal(ids[a:b], own) for a, b, own in zip(at[:-1], at[1:], theirs)]
-    return [one and text == other for one, text, other in zip(same, decoded, library.decode(theirs, num_threads=1))]
+    same = np.diff(at) == np.fromiter(map(len, theirs), np.int64, len(theirs))
+    flat = np.fromiter(chain.from_iterable(theirs), np.int32)
+    if not same.all() or not np.array_equal(flat, ids):
+        same = [np.array_equal(ids[a:b], own) for a, b, own in zip(at[:-1], at[1:], theirs)]
+    return [bool(one) and text == other for one, text, other in zip(same, decoded, library.decode(theirs, num_threads=1))]
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, check: bool = True) -> DataFrame:
