@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.functions import text, times
+from shoptrail.functions import documents, text, times
 from shoptrail.operators import ads, categories, filters, flows, sessions
 from shoptrail.plans import ads as ad_plans
 from shoptrail.plans import shop
 from shoptrail.session import apply_settings, work_folder
 from shoptrail.sinks.tables import first_rows, replace_table, written
 from shoptrail.sources import clicks as click_source
-from shoptrail.sources import event_views
+from shoptrail.sources import event_views, session_tables, sql_text
 from shoptrail.sources.tables import table_scan
 from shoptrail.streaming import jobs
 
@@ -193,6 +193,58 @@ def _rounded(ratios):
     return ratios.select(*pages, F.round("ratio", 9).alias("ratio"))
 
 
+def _stored_sessions(spark, sf_dir):
+    folder = work_folder(spark, "sessions")
+    name = "shoptrail_sessions_" + folder.rsplit("-", 1)[1]
+    session_tables.store_sessions(_actions(spark, sf_dir), name, folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return name
+
+
+def page_flow_ratio_bucketed(spark, sf_dir):
+    """The page flow over visits stored by session: no exchange and no sort to follow them."""
+    followed = session_tables.next_actions(spark, _stored_sessions(spark, sf_dir), ["page_id"])
+    return _rounded(flows.conversion_ratio(flows.path_steps(followed, PATH)))
+
+
+def page_avg_dwell_bucketed(spark, sf_dir):
+    followed = session_tables.next_actions(spark, _stored_sessions(spark, sf_dir), ["action_time"])
+    return sessions.mean_dwell(sessions.dwell_times(followed))
+
+
+def _actions_view(spark, sf_dir):
+    name = "shoptrail_actions_view"
+    _actions(spark, sf_dir).createOrReplaceTempView(name)
+    return name
+
+
+def date_range_sql(spark, sf_dir):
+    """The bounds as parameters of SQL text: both given, the last blank, and none."""
+    name, columns = _actions_view(spark, sf_dir), ["event_id", "date", "session_id"]
+    parts = []
+    for bounds, (start, end) in {"both": (FIRST_DAY, LAST_DAY), "first": (MIDDLE, " \t"), "none": (None, "")}.items():
+        chosen = sql_text.actions_between(spark, name, start, end).select(*columns)
+        parts.append(chosen.withColumn("bounds", F.lit(bounds)))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def category_events_sql(spark, sf_dir):
+    """The category events by SQL functions and a lateral explode."""
+    return sql_text.category_events(spark, _actions_view(spark, sf_dir))
+
+
+def props_fields(spark, sf_dir):
+    """Fields of the events' documents by type; what is of another type is null."""
+    value = documents.document(F.col("props"))
+    return _events(spark, sf_dir).select(
+        "event_id",
+        documents.typed_field(value, "$.k", "int").alias("k"),
+        documents.typed_field(value, "$.k", "string").alias("k_text"),
+        documents.typed_field(value, "$.k", "date", strict=False).alias("k_day"),
+        documents.typed_field(value, "$.none", "int").alias("missing"),
+        documents.document_text(value).alias("document"),
+    )
+
+
 def session_dwell(spark, sf_dir):
     followed = sessions.with_next_action(_actions(spark, sf_dir), ["action_time"])
     return sessions.dwell_times(followed, ("session_id", "event_id"))
@@ -239,6 +291,23 @@ def ad_line_parse(spark, sf_dir):
     return parsed.select(F.unix_millis("ts").alias("ms"), "date", "area", "city", "user_id", "ad_id")
 
 
+def ad_line_quarantine(spark, sf_dir):
+    """Click lines of which every fifth is spoilt: the clicks of the good ones, and the others with the reason."""
+    lines = event_views.click_lines(_clicks(spark, sf_dir)).drop("arrival")
+    ms = F.substring_index("value", " ", 1).cast("bigint")
+    rest = F.expr("substr(value, instr(value, ' ') + 1)")
+    spoilt = (
+        F.when(ms % 5 != 0, F.col("value"))
+        .when(ms % 3 == 0, F.concat(F.lit("noon "), rest))
+        .when(ms % 3 == 1, F.concat(F.lit("99999999999999999 "), rest))
+        .otherwise(F.substring_index("value", " ", 3))
+    )
+    good, bad = click_source.sorted_out(lines.select(spoilt.alias("value")))
+    none = F.lit(None).cast("string")
+    good = good.select(F.unix_millis("ts").alias("ms"), "user_id", "ad_id", none.alias("value"), none.alias("reason"))
+    return good.union(bad.select(F.lit(None).cast("bigint"), none, none, "value", "reason"))
+
+
 def user_ad_day_counts(spark, sf_dir):
     return ads.count_by(_clicks(spark, sf_dir), ads.USER_KEYS)
 
@@ -419,11 +488,17 @@ _QUERIES = [
     page_view_lookup,
     page_flow_ratio,
     checkpointed_page_flow,
+    page_flow_ratio_bucketed,
+    page_avg_dwell_bucketed,
+    date_range_sql,
+    category_events_sql,
+    props_fields,
     session_dwell,
     page_avg_dwell_ms,
     text_functions,
     time_functions,
     ad_line_parse,
+    ad_line_quarantine,
     user_ad_day_counts,
     heavy_user_ad_days,
     blacklist,
@@ -568,6 +643,7 @@ def oracle_sql() -> dict[str, str]:
         FROM steps LEFT JOIN views ON from_page = page_id""",
         _FOLLOWED,
     )
+    dwell = _shop_sql("SELECT page_id, CAST(sum(ms) // count(*) AS BIGINT) AS avg_ms FROM dwell GROUP BY page_id", _FOLLOWED)
     sliding = _ads_sql("SELECT * FROM sliding", _SLIDING)
     trend = _ads_sql(
         f"""SELECT strftime(time_bucket(INTERVAL {TREND[2]} SECOND, ts), '%Y-%m-%d %H-%M-%S') AS bucket,
@@ -630,10 +706,19 @@ def oracle_sql() -> dict[str, str]:
         ),
         "page_flow_ratio": ratio,
         "checkpointed_page_flow": ratio,
-        "session_dwell": _shop_sql("SELECT * FROM dwell", _FOLLOWED),
-        "page_avg_dwell_ms": _shop_sql(
-            "SELECT page_id, CAST(sum(ms) // count(*) AS BIGINT) AS avg_ms FROM dwell GROUP BY page_id", _FOLLOWED
+        "page_flow_ratio_bucketed": ratio,
+        "date_range_sql": _shop_sql(
+            f"""SELECT event_id, date, session_id, 'both' AS bounds FROM uva WHERE date BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}'
+            UNION ALL SELECT event_id, date, session_id, 'first' FROM uva WHERE date >= '{MIDDLE}'
+            UNION ALL SELECT event_id, date, session_id, 'none' FROM uva"""
         ),
+        "category_events_sql": _shop_sql("SELECT * FROM kinds", _CATEGORY),
+        "props_fields": """SELECT event_id, CAST(props->>'$.k' AS INT) AS k, props->>'$.k' AS k_text,
+            CASE WHEN json_type(props, '$.k') = 'VARCHAR' THEN TRY_CAST(props->>'$.k' AS DATE) END AS k_day,
+            CAST(props->>'$.none' AS INT) AS missing, CAST(json(props) AS VARCHAR) AS document FROM events""",
+        "session_dwell": _shop_sql("SELECT * FROM dwell", _FOLLOWED),
+        "page_avg_dwell_ms": dwell,
+        "page_avg_dwell_bucketed": dwell,
         "text_functions": _shop_sql(
             """, parts AS (SELECT *, string_split(order_category_ids, ',') AS p FROM uva)
             SELECT event_id, CAST(coalesce(len(p), 0) AS INT) AS parts, p[1] AS first_part,
@@ -649,6 +734,14 @@ def oracle_sql() -> dict[str, str]:
               epoch_us(ts) // 1000000 * 1000 AS second_ms, CAST(k AS VARCHAR) AS k
             FROM ev""",
         "ad_line_parse": _ads_sql("SELECT epoch_us(ts) // 1000 AS ms, date, area, city, user_id, ad_id FROM ads"),
+        "ad_line_quarantine": _ads_sql(
+            """, lines AS (SELECT epoch_us(ts) // 1000 AS ms, concat_ws(' ', area, city, user_id, ad_id) AS rest, area, city, user_id, ad_id FROM ads)
+            SELECT ms, user_id, ad_id, NULL AS value, NULL AS reason FROM lines WHERE ms % 5 <> 0
+            UNION ALL SELECT NULL, NULL, NULL, CASE ms % 3 WHEN 0 THEN 'noon ' || rest WHEN 1 THEN '99999999999999999 ' || rest
+                ELSE list_aggregate((string_split(CAST(ms AS VARCHAR) || ' ' || rest, ' '))[:3], 'string_agg', ' ') END,
+              CASE ms % 3 WHEN 0 THEN 'the time is no number' WHEN 1 THEN 'the time is out of range' ELSE 'too few fields' END
+            FROM lines WHERE ms % 5 = 0"""
+        ),
         "user_ad_day_counts": user_counts,
         "heavy_user_ad_days": _ads_sql(f"SELECT * FROM user_counts WHERE n >= {THRESHOLD}", _BANS),
         "blacklist": banned,

@@ -11,7 +11,7 @@ from shoptrail.plans import shop
 from shoptrail.schemas import USER_VISIT_ACTION
 from shoptrail.session import build_session
 from shoptrail.sinks.jdbc import append_jdbc
-from shoptrail.sources.clicks import file_click_lines, kafka_click_lines, parse_click_lines
+from shoptrail.sources.clicks import file_click_lines, kafka_click_lines, parse_click_lines, sorted_out
 from shoptrail.sources.tables import parquet_scan, table_scan
 from shoptrail.streaming import jobs
 
@@ -53,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
         query.add_argument("--once", action="store_true", help="stop when all there is has been read")
         query.add_argument("--starting", default="latest", help="Kafka offsets a new checkpoint starts at")
         query.add_argument("--batch-limit", type=int, help="Kafka offsets or files per batch; a backlog takes several")
+        query.add_argument("--quarantine", help="folder for lines that cannot be read; without it such a line stops the job")
         if name == "blacklist":
             query.add_argument("--threshold", type=int, default=100)
             query.add_argument("--initial", help="parquet folder of users (user_id) banned from the start")
@@ -108,8 +109,17 @@ def main(argv: Sequence[str] | None = None) -> None:
         options["report"] = lambda windows: print_rows(windows, args.rows)
         if not args.once:
             options["ticks"] = jobs.live_ticks(spark)
-    query = LIVE[args.query](parse_click_lines(lines), args.root, args.checkpoint, **options)
+    aside = None
+    if args.quarantine:
+        clicks, bad = sorted_out(lines)
+        trigger = {"trigger": options["trigger"]} if args.once else {}
+        aside = jobs.keep_bad_lines(bad, args.quarantine, f"{args.checkpoint}-quarantine", **trigger)
+    else:
+        clicks = parse_click_lines(lines)
+    query = LIVE[args.query](clicks, args.root, args.checkpoint, **options)
     query.awaitTermination()
+    if aside is not None:
+        aside.awaitTermination()
 
 
 if __name__ == "__main__":

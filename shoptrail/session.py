@@ -12,6 +12,8 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Tables sorted by session are known to be sorted, so that following sessions needs no sort.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 # Running counts are never dropped by default, so their state must not live on the heap.

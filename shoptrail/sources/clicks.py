@@ -1,6 +1,6 @@
 """The ad-click log: one text line per click, ``epoch-ms area city user ad``."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.functions.times import day_text
@@ -61,3 +61,28 @@ def parse_click_lines(lines: DataFrame) -> DataFrame:
         fields.getItem(4).alias("ad_id"),
         *[c for c in lines.columns if c != "value"],
     )
+
+
+# Times from year 1 to 9999, in epoch milliseconds.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def line_fault(value: Column) -> Column:
+    """Why a click line cannot be read; null for a good one."""
+    fields = F.split(value, " ")
+    ms = F.get(fields, F.lit(0)).try_cast("bigint")
+    return (
+        F.when(value.isNull(), "no line")
+        .when(F.size(fields) < 5, "too few fields")
+        .when(ms.isNull(), "the time is no number")
+        .when(~ms.between(FIRST_MS, LAST_MS), "the time is out of range")
+    )
+
+
+def sorted_out(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The clicks of the good lines, as ``parse_click_lines`` gives them, and the bad lines with the ``reason``.
+
+    For jobs that have to go on where a line is bad; each line is in one of the two.
+    """
+    fault = line_fault(F.col("value"))
+    return parse_click_lines(lines.filter(fault.isNull())), lines.withColumn("reason", fault).filter("reason IS NOT NULL")

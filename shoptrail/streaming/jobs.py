@@ -217,6 +217,17 @@ def rank_area_ads(
     return start(running_counts(clicks, ads.AREA_KEYS, expire_after), step, checkpoint, "update", trigger)
 
 
+def keep_bad_lines(
+    bad: DataFrame, folder: str, checkpoint: str, trigger: Mapping[str, object] = EVERY_5_SECONDS
+) -> StreamingQuery:
+    """Keep the lines that ``sources.clicks.sorted_out`` sets aside, each once, as Parquet in ``folder``.
+
+    It runs beside the job that takes the good lines, with a checkpoint of its own.
+    """
+    writer = bad.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start(folder)
+
+
 def live_ticks(spark: SparkSession, every: int = 1) -> DataFrame:
     """A stream of the time, ``arrival``, a row each ``every`` seconds, so that a chart moves on in silence."""
     seconds = spark.readStream.format("rate").option("rowsPerSecond", 1).load()

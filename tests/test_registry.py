@@ -78,6 +78,19 @@ def test_clicks_are_never_on_the_build_side(spark, name):
     assert cities and set(cities) == {"BuildRight"}
 
 
+@pytest.mark.parametrize("name", ["page_flow_ratio_bucketed", "page_avg_dwell_bucketed"])
+def test_stored_sessions_are_followed_without_exchange_or_sort(spark, name):
+    registry.apply_settings(spark)
+    below = plan_of(spark, name).split("Window [lead(", 1)[1]
+    assert "Bucketed: true" in below and "Exchange" not in below and "Sort" not in below
+
+
+def test_sql_entry_plans(spark):
+    """Bounds and names are parameters; no join comes of the functions."""
+    plan = plan_of(spark, "category_events_sql")
+    assert "Generate explode" in plan and "Join" not in plan
+
+
 def test_too_many_cities_are_refused(spark, monkeypatch):
     monkeypatch.setattr(registry.event_views, "MOST_CITIES", 24)
     with pytest.raises(ValueError, match="cities"):

@@ -8,7 +8,7 @@ from shop_rows import values
 from shoptrail.operators import ads
 from shoptrail.plans import ads as plans
 from shoptrail.schemas import CITY_AD_COUNTS
-from shoptrail.sources.clicks import file_click_lines, parse_click_lines
+from shoptrail.sources.clicks import file_click_lines, parse_click_lines, sorted_out
 from shoptrail.streaming import jobs
 from shoptrail.streaming.batch_tables import BatchTable, newest, summed, united
 
@@ -365,6 +365,21 @@ def test_closed_late_and_open_windows_are_the_whole_trend(spark, tmp_path, delay
         jobs.chart_closed_windows(stream(spark, tmp_path / "in"), *places(tmp_path), delay=delay, width=10, slide=20)
 
 
+def test_bad_lines_are_set_aside_and_the_job_goes_on(spark, tmp_path):
+    good = sample_lines(20)
+    bad = ["", "noon n x u 1", f"{START} n x u", f"{10**17} n x u 1", f"{10**30} n x u 1"]
+    drop_files(tmp_path / "in", good[:10] + bad[:3], 1)
+    drop_files(tmp_path / "in", bad[3:] + good[10:], 1, first=1)
+    clicks, aside = sorted_out(file_click_lines(spark, str(tmp_path / "in"), files_per_batch=1))
+    jobs.count_city_ads(clicks, *places(tmp_path), trigger=jobs.ALL_AVAILABLE).awaitTermination()
+    for _ in range(2):  # a restart keeps each line once
+        jobs.keep_bad_lines(aside, str(tmp_path / "bad"), str(tmp_path / "bad-checkpoint"), jobs.ALL_AVAILABLE).awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "bad"))
+    assert values(kept.select("value")) == sorted((line,) for line in bad)
+    assert {r.value: r.reason for r in kept.collect()}["noon n x u 1"] == "the time is no number"
+    assert values(jobs.city_counter_table(places(tmp_path)[0]).read(spark)) == values(plans.ad_city_counts(batch(spark, good)))
+
+
 def test_console(spark, tmp_path):
     drop_files(tmp_path / "in", sample_lines(20), 1)
     counts = jobs.running_counts(stream(spark, tmp_path / "in"), ["area"])
