@@ -40,6 +40,7 @@ MIDDLE = "2024-01-16"
 THRESHOLD = 3
 AS_OF = "2024-01-15 12:00:00"
 RUN = "run-1"
+PART_SIZE = 30
 TREND = (21600, 3600, 3600)  # seconds: width, slide, bucket
 
 
@@ -128,6 +129,13 @@ def top_category_clicks_semi(spark, sf_dir):
     return clicks.select("event_id", "session_id", "click_category_id")
 
 
+def product_clicks_semi(spark, sf_dir):
+    """Clicks on the larger parts, from a list that may be of any length."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").filter(F.col("p_size") >= PART_SIZE)
+    clicks = categories.clicks_on_products(_actions(spark, sf_dir), parts, "p_partkey")
+    return clicks.select("event_id", "click_product_id")
+
+
 def date_range_filter(spark, sf_dir):
     chosen = filters.between_dates(_actions(spark, sf_dir), FIRST_DAY, LAST_DAY)
     return chosen.select("event_id", "date", "session_id")
@@ -479,6 +487,7 @@ _QUERIES = [
     category_session_top10_run,
     first_actions,
     top_category_clicks_semi,
+    product_clicks_semi,
     date_range_filter,
     not_blank_filter,
     list_texts,
@@ -679,6 +688,10 @@ def oracle_sql() -> dict[str, str]:
             WHERE CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top10)""",
             _CATEGORY,
         ),
+        "product_clicks_semi": _shop_sql(
+            f"""SELECT event_id, click_product_id FROM uva
+            WHERE click_product_id IN (SELECT p_partkey FROM part WHERE p_size >= {PART_SIZE})"""
+        ),
         "date_range_filter": _shop_sql(
             f"SELECT event_id, date, session_id FROM uva WHERE date BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}'"
         ),

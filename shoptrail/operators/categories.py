@@ -56,6 +56,17 @@ def clicks_in(actions: DataFrame, categories: DataFrame) -> DataFrame:
     return clicks.join(wanted, F.col("click_category_id").cast("string") == F.col("_wanted"), "left_semi")
 
 
+def clicks_on_products(actions: DataFrame, products: DataFrame, key: str = "product_id") -> DataFrame:
+    """The click actions on a product of the list ``products``, however long that is.
+
+    A short list is broadcast. For a longer one both sides are shuffled; where the list is filtered and the actions are
+    large (``session.SESSION_SETTINGS``), Spark makes a Bloom filter of it first, so that few other actions are.
+    """
+    wanted = products.select(F.col(key).alias("_product"))
+    clicks = actions.filter(F.col("click_product_id") != -1)
+    return clicks.join(wanted, F.col("click_product_id") == F.col("_product"), "left_semi")
+
+
 def session_clicks(clicks: DataFrame) -> DataFrame:
     """Clicks of each session on each category."""
     category = F.col("click_category_id").cast("string").alias("category_id")

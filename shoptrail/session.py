@@ -12,6 +12,9 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Facts from this size on are filtered by a Bloom filter of a filtered list before they are shuffled to meet it.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     # Tables sorted by session are known to be sorted, so that following sessions needs no sort.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }

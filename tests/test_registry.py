@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from oracle import oracle_rows, same, spark_rows
@@ -85,6 +86,26 @@ def test_stored_sessions_are_followed_without_exchange_or_sort(spark, name):
     assert "Bucketed: true" in below and "Exchange" not in below and "Sort" not in below
 
 
+def test_a_long_list_filters_the_actions_before_the_shuffle(spark, tmp_path):
+    name = "product_clicks_semi"
+    want = spark_rows(registry.queries()[name](spark, SF_DIR))
+    path = str(tmp_path / "visits")
+    registry._actions(spark, SF_DIR).write.parquet(path)
+    part = spark.read.parquet(f"{SF_DIR}/part.parquet").filter(F.col("p_size") >= registry.PART_SIZE)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        clicks = registry.categories.clicks_on_products(spark.read.parquet(path), part, "p_partkey").select("event_id", "click_product_id")
+        plan = clicks._jdf.queryExecution().executedPlan().toString()
+        assert "might_contain" in plan.split("SortMergeJoin")[1].split("Exchange")[1]
+        assert spark_rows(clicks) == want
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_sql_entry_plans(spark):
     """Bounds and names are parameters; no join comes of the functions."""
     plan = plan_of(spark, "category_events_sql")
