@@ -64,7 +64,7 @@ def contaminated(window: int = decontaminate.WINDOW, coverage: int = decontamina
     units = ", ".join(f"'{u}'" for u in decontaminate.UNITS)
 
     def tokens(name: str, table: str, key: str) -> str:
-        token = decontaminate.TOKEN.replace("'", "''")
+        token = r"[0-9]+(?:[.,][0-9]+)*|\p{L}[\p{L}\p{M}]*|[%$€£°]"
         runs = f"list_transform(range(1, len(h) - {window} + 2), lambda i: array_to_string(h[i:i + {window - 1}], chr(31)))"
         return f"""
     {name}_tokens AS (
@@ -90,19 +90,23 @@ def contaminated(window: int = decontaminate.WINDOW, coverage: int = decontamina
         SELECT doc_id, k.item_id, k.form, count(DISTINCT win) AS matched FROM doc_windows d JOIN known k USING (win) GROUP BY doc_id, k.item_id, k.form)
       JOIN sizes USING (item_id, form) WHERE {enough}),
     aligned AS (
-      SELECT h.doc_id, h.item_id, h.form, h.windows, d.pos - i.pos AS shift, d.win FROM held h
+      SELECT h.doc_id, h.item_id, h.form, h.windows, d.pos - i.pos AS shift, i.pos AS spot, d.win FROM held h
       JOIN doc_windows d ON d.doc_id = h.doc_id AND d.form = h.form
       JOIN item_windows i ON i.item_id = h.item_id AND i.form = h.form AND i.win = d.win),
+    spans AS (
+      SELECT doc_id, item_id, shift, min(spot) AS first, max(spot) + {window - 1} AS last,
+        coalesce(list(spot) FILTER (WHERE form = 0), []) AS starts FROM aligned GROUP BY doc_id, item_id, shift),
     slots AS (
-      SELECT doc_id, item_id, shift, bool_or(low <> high) AS mixed, bool_or(low <> value OR high <> value) AS changed FROM (
-        SELECT s.doc_id, s.item_id, s.shift, i.kind, lower(i.x) AS value, min(lower(d.x)) AS low, max(lower(d.x)) AS high
-        FROM (SELECT DISTINCT doc_id, item_id, shift FROM aligned) s
-        JOIN item_tokens i ON i.item_id = s.item_id
+      SELECT doc_id, item_id, shift, bool_or(mixed) AS mixed, bool_or(changed) AS changed FROM (
+        SELECT s.doc_id, s.item_id, s.shift, i.kind, lower(i.x) AS value, bool_or(lower(d.x) <> lower(i.x)) AS changed,
+          count(DISTINCT lower(d.x)) FILTER (WHERE len(list_filter(s.starts, lambda a: i.pos BETWEEN a AND a + {window - 1})) > 0) > 1 AS mixed
+        FROM spans s JOIN item_tokens i ON i.item_id = s.item_id AND i.pos BETWEEN s.first AND s.last
         JOIN doc_tokens d ON d.doc_id = s.doc_id AND d.pos = i.pos + s.shift AND d.kind = i.kind
         GROUP BY s.doc_id, s.item_id, s.shift, i.kind, lower(i.x)) GROUP BY doc_id, item_id, shift),
     agreed AS (
       SELECT doc_id, item_id, form, windows, count(DISTINCT win) AS matched, NOT bool_or(coalesce(changed, false)) AS exact
-      FROM aligned LEFT JOIN slots USING (doc_id, item_id, shift) WHERE NOT coalesce(mixed, false) GROUP BY doc_id, item_id, form, windows)
+      FROM aligned LEFT JOIN slots USING (doc_id, item_id, shift)
+      WHERE form = 1 OR NOT coalesce(mixed, false) GROUP BY doc_id, item_id, form, windows)
     SELECT doc_id, item_id, windows, matched, exact FROM (
       SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, windows DESC, exact DESC) AS rank
       FROM agreed WHERE {enough}) WHERE rank = 1"""

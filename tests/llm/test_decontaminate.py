@@ -1,6 +1,8 @@
 import pytest
 
-from shoptrail.llm import decontaminate
+import duckdb
+
+from shoptrail.llm import decontaminate, oracles
 
 ITEM = "Anna Weber buys 12 apples for 3 euros each and gives 5 apples to her brother Tom before she walks 4 km to the old market in town"
 
@@ -82,3 +84,28 @@ def test_a_large_benchmark_is_shuffled_with_the_same_result(docs_of, benchmark,
     few = held(docs, benchmark)
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert held(docs, benchmark) == few != {}
+
+
+def test_sql_states_the_same_rule(docs_of, spark):
+    """The cases that the given tables do not hold: insertions, changed and inconsistent slots, short items, capitals."""
+    inserted = "Anna Weber buys ripe apples at the old market near the river and later that day the baker says that Anna Weber sold most of them to her brother"
+    other = inserted.replace("Anna", "Eva").replace("Weber", "Braun")
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    text = lambda one, two: " ".join(["has", one, *words, two, "left"])
+    same = "x is 5 and y is 5 so the sum of 5 and 5 is ten in all"
+    items = [(1, ITEM), (2, inserted), (3, text("7", "7")), (4, same), (5, "What is 2+2?"), (6, ""), (7, None)]
+    texts = [inserted.replace("later that", "later inserted that"), other.replace("later that", "later inserted that"), text("7", "8"), text("7", "7"), text("9", "9"),
+             same.replace("5", "8"), "x is 1 and y is 2 so the sum of 3 and 4 is ten in all", ITEM.upper(), f"{ITEM} {ITEM.replace('12', '40')}", "What is 2+2?", "1,2,3 " * 50, None, ""]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in decontaminate.contaminated(docs_of(list(enumerate(texts))), benchmark).select("doc_id", "item_id", "windows", "matched", "exact").collect())
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR); CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    db.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    want = sorted(db.sql(oracles.contaminated()).fetchall())
+    assert got == want and {(0, 2), (1, 2), (2, 3), (5, 4), (7, 1)} <= {r[:2] for r in got} and (6, 4) not in {r[:2] for r in got}
+
+
+def test_long_runs_of_numbers_and_blanks(docs_of, benchmark):
+    runs = [",".join(map(str, range(100_000))), "1." * 100_000, " " * 5_000_000, "x" * 1_000_000, f"{'7,' * 50_000}1 {ITEM}"]
+    assert set(held(docs_of(list(enumerate(runs))), benchmark)) == {(4, 1)}
