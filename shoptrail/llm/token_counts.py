@@ -44,9 +44,27 @@ def encoder(ranks: dict[bytes, int]):
     return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), sizes
 
 
+# The splitter of the library gives up on runs of some million blanks; longer runs than this are cut out before.
+LONG_RUN = 100_000
+
+
+def _ids(text: str, encoding) -> list[int]:
+    """The ids of a text. Of a long run of blanks all but the last one are a piece by themselves (or all, at the
+    text's end), whatever stands around them, so that piece is encoded alone."""
+    import regex
+
+    out, done = [], 0
+    for run in regex.finditer(rf"\p{{White_Space}}{{{LONG_RUN},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoding.encode_ordinary(text[done : run.start()])
+        out += encoding._encode_single_piece(text[run.start() : end])
+        done = end
+    return out + encoding.encode_ordinary(text[done:])
+
+
 def token_spans(text: str, encoding, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First character of each token of a text, and the one after its last."""
-    ids = np.array(encoding.encode_ordinary(text), np.int64)
+    ids = np.array(_ids(text, encoding), np.int64)
     ends = np.cumsum(sizes[ids])
     data = text.encode()
     if len(data) == len(text):

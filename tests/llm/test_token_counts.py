@@ -84,3 +84,18 @@ def test_odd_rows(odd_docs, docs_of):
         by_id.setdefault(r["doc_id"], []).append(r)
     assert [(r["section"], r["n_tokens"], r["doc_tokens"]) for r in by_id[2]] == [(0, 0, 0)] and len(by_id[1]) == 2 and len(by_id[None]) == 1
     assert len(by_id[4]) == 2 and tc.token_counts(docs_of([])).collect() == []
+
+
+@pytest.mark.parametrize("text", [" " * 5_000_000, "a" + "\n" * 1_500_000 + "b", "x " + "\t" * 1_200_000 + " y"])
+def test_long_runs_of_blanks(docs_of, text):
+    rows = tc.token_counts(docs_of([(1, text)]).limit(1)).agg({"n_tokens": "sum", "doc_tokens": "max"}).first()
+    assert rows[0] == rows[1] > 0
+
+
+def test_cut_runs_encode_alike(monkeypatch):
+    monkeypatch.setattr(tc, "LONG_RUN", 5)
+    encoding, _ = tc.encoder(tc.read_ranks(tc.VOCABULARY))
+    rng = random.Random(2)
+    for _ in range(500):
+        text = "".join(rng.choice([" ", "\n", "\t", "\r\n", "\u00a0", "\x1c", "a", "é", "1", "."]) * rng.choice([1, 1, 2, 7]) for _ in range(rng.randrange(12)))
+        assert tc._ids(text, encoding) == encoding.encode_ordinary(text)
