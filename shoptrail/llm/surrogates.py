@@ -6,7 +6,7 @@ each other or a real value are made anew until all are distinct.
 
 Types: e-mail address, credential (password, key, token), IBAN, IPv4 address, card number, phone number, and a
 name after a title: all its words, with initials, hyphens, apostrophes and the particles between them. Names keep
-gender and script; later mentions of such a name in its document follow it, but for initials and single letters.
+gender, script and capitals; later mentions of such a name in its document follow it, but for initials and single letters.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,9 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Doña", "госпожа", "κυρία"],
     "n": ["Mx", "Dr", "Prof"],
 }
+# Domains of any number of labels are run through as a loop; what ends in a label that no domain ends in is tried up to
+# the last one that may be.
+LABEL = r"[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+"
 _ANY_TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 TITLED = rf"(?:{_ANY_TITLE})\.? (?:(?:Dr|Prof)\.? )*+"
 # Name words: initials, or a capital and all letters up to the word's end; no possessive s. The particles stay as they are.
@@ -32,7 +35,7 @@ _NAME_PART = rf"(?:{PARTICLE} )?+(?:{INITIALS}|{NAME_WORD})"
 # A run of name words ends before another title and before "I".
 _NAME_STOP = rf"(?!(?:{_ANY_TITLE.replace('|Don|', '|')})\.? \p{{Lu}}|I(?![\p{{L}}.]))"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
+    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:{LABEL}(?:\.{LABEL})*+(?<=\.[A-Za-z]{{2,24}})|(?:[A-Za-z0-9-]++\.){{1,16}}[A-Za-z]{{2,}})",
     "secret": r"(?<![A-Za-z])(?i:password|passwd|secret|token|api[_-]?key)(?:=|:[ ]?|[ ]?=[ ]?|[ ]\"|[ ]')[A-Za-z0-9_+/-]{8,}+|(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
@@ -71,24 +74,23 @@ def _last(text: Column, n: int) -> Column:
 
 
 def _name_entities(mention: Column) -> Column:
-    """The words of a titled name in order, as ``kind`` and ``norm``: given names (with the gender the title shows),
-    then a surname; particles are of no kind."""
+    """The words of a titled name in order, as ``kind``, ``norm`` (lower case), ``gender`` (of given names, as the title shows
+    it) and ``word``; particles are of no kind. A word is the same name wherever it stands in a name."""
     title = F.regexp_extract(mention, r"^([^ .]+)", 1)
     gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
     words = F.split(F.regexp_replace(mention, f"^{TITLED}", ""), " ")
 
     def entity(word: Column, left: Column) -> Column:
-        kind = F.when(left == 1, "surname").when(word.rlike(r"^(?:d['’])?\p{Lu}"), "given")
-        return F.struct(kind.alias("kind"), F.when(kind == "given", F.concat(gender, F.lit(":"), word)).otherwise(word).alias("norm"))
+        kind = F.when((left == 1) | word.rlike(r"^(?:d['’])?\p{Lu}"), "name")
+        return F.struct(kind.alias("kind"), F.lower(word).alias("norm"), F.when(left > 1, gender).otherwise("n").alias("gender"), word.alias("word"))
 
     return let(words, lambda words: F.transform(words, lambda word, i: entity(word, F.size(words) - i)))
 
 
 def parts(mention: Column) -> Column:
-    """The entities in a mention, as ``kind`` and the normal form ``norm`` that all their spellings share.
+    """The entities in a mention, as ``kind``, the normal form ``norm`` that all their spellings share, and ``gender``.
 
-    Lower case for addresses, digits for cards, the last ten digits for phones; a name is a surname after any
-    number of given names (with the gender its title shows).
+    Lower case for addresses and names, digits for cards, the last ten digits for phones; each word of a name is one.
     """
     kind = _kind(mention)
     digits = F.regexp_replace(mention, "[^0-9]", "")
@@ -100,13 +102,8 @@ def parts(mention: Column) -> Column:
         .when(kind == "secret", F.regexp_extract(mention, SECRET_VALUE, 1))
         .otherwise(mention)
     )
-    names = F.filter(_name_entities(mention), lambda e: e["kind"].isNotNull())
-    return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"))))
-
-
-def _word(kind: Column, norm: Column) -> Column:
-    """The real value of an entity; a given name without its gender."""
-    return F.when(kind == "given", F.substring(norm, 3, 1_000_000)).otherwise(norm)
+    names = F.transform(F.filter(_name_entities(mention), lambda e: e["kind"].isNotNull()), lambda e: F.struct(e["kind"], e["norm"], e["gender"]))
+    return F.when(kind == "name", names).otherwise(F.array(F.struct(kind.alias("kind"), norm.alias("norm"), F.lit("n").alias("gender"))))
 
 
 def _stream(*seed: Column) -> Column:
@@ -122,12 +119,13 @@ def _byte(stream: Column, i: Column) -> Column:
 def _alike(text: Column, stream: Column) -> Column:
     """``text`` with each digit, small and capital letter replaced by another of its class."""
 
-    def swap(c: Column, i: Column) -> Column:
-        letter = lambda first: F.char(_byte(stream, i) % 26 + first)
-        digit = (_byte(stream, i) % 10).cast("string")
+    def swap(c: Column, i: Column, s: Column) -> Column:
+        letter = lambda first: F.char(_byte(s, i) % 26 + first)
+        digit = (_byte(s, i) % 10).cast("string")
         return F.when(c.rlike("^[0-9]$"), digit).when(c.rlike("^[a-z]$"), letter(97)).when(c.rlike("^[A-Z]$"), letter(65)).otherwise(c)
 
-    return F.array_join(F.transform(F.split(text, ""), swap), "")
+    # Keyed bytes of a long text are costly: once, not per character.
+    return let(stream, lambda s: F.array_join(F.transform(F.split(text, ""), lambda c, i: swap(c, i, s)), ""))
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -157,17 +155,15 @@ def _email(norm: Column, stream: Column, key: str) -> Column:
     return F.concat(local, F.lit("@"), _alike(domain, _stream(F.lit(key), F.lit("domain"), domain)), F.regexp_extract(norm, r"(\.[^.]+)$", 1))
 
 
-def _name(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column:
-    """Syllables of the same script, one more for each attempt; an ending of the given name's gender."""
-    gender = F.when(kind == "given", F.substring(norm, 1, 1)).otherwise("n")
-    word = _word(kind, norm)
+def _name(word: Column, gender: Column, attempt: Column, stream: Column) -> Column:
+    """Syllables of the same script, one more for each attempt; an ending of the name's gender. In lower case."""
 
     def built(script: str) -> Column:
         pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), _byte(stream, i) % len(values) + 1)
         body = F.array_join(F.transform(F.sequence(F.lit(1), attempt + 2), lambda i: pick(SYLLABLES[script], i)), "")
         ends = ENDINGS[script]
         end = F.when(gender == "m", pick(ends["m"], F.lit(0))).when(gender == "f", pick(ends["f"], F.lit(0))).otherwise(pick(ends["n"], F.lit(0)))
-        return F.initcap(F.concat(body, end))
+        return F.concat(body, end)
 
     cyrillic, greek = word.rlike(r"\p{IsCyrillic}"), word.rlike(r"\p{IsGreek}")
     return F.when(cyrillic, built("cyrillic")).when(greek, built("greek")).otherwise(built("latin"))
@@ -175,7 +171,7 @@ def _name(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column
 
 def _surrogate(key: str) -> Column:
     """The surrogate of the columns ``kind``, ``norm`` at ``attempt``, in normal form."""
-    kind, norm, attempt = F.col("kind"), F.col("norm"), F.col("attempt")
+    kind, norm, attempt, gender = (F.col(c) for c in ("kind", "norm", "attempt", "gender"))
     stream = _stream(F.lit(key), kind, norm, attempt.cast("string"))
     octets = F.concat_ws(".", *((_byte(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)))
     hexadecimal = F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.when(c == "", "").otherwise(F.substring(stream, (i % 128 + 1).cast("int"), F.lit(1)))), "")
@@ -185,7 +181,7 @@ def _surrogate(key: str) -> Column:
         .when(kind == "card", _card(norm, stream))
         .when((kind == "secret") & norm.rlike("^[0-9a-f]+$"), hexadecimal)
         .when(kind == "iban", F.concat(F.substring(norm, 1, 2), _alike(F.substring(norm, 3, 1_000_000), stream)))
-        .when(kind.isin("given", "surname"), _name(kind, norm, attempt, stream))
+        .when(kind == "name", _name(norm, gender, attempt, stream))
         .otherwise(_alike(norm, stream))
     )
 
@@ -193,24 +189,26 @@ def _surrogate(key: str) -> Column:
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """``kind``, ``norm``, ``surrogate`` for the distinct (``kind``, ``norm``) of ``entities``.
 
-    A surrogate equals no other one and no real value of its pool; of entities that meet, the first keeps it and
-    the others get the next of their own sequence, until none meet. Both kinds of names are one pool. Where the
-    values of a format are nearly used up, real values are taken too from ``RELAXED`` attempts on.
+    A surrogate equals no other one and no real value of its kind; of entities that meet, the first keeps it and
+    the others get the next of their own sequence, until none meet. A name's surrogate has the ``gender`` (``m``, ``f``) of
+    its titles, where they agree. Where the values of a format are nearly used up, real values are taken too from
+    ``RELAXED`` attempts on.
     """
-    pool = F.when(F.col("kind").isin("given", "surname"), "name").otherwise(F.col("kind"))
-    state = entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0))
+    entities = entities if "gender" in entities.columns else entities.withColumn("gender", F.lit("n"))
+    shown = lambda g: F.max((F.col("gender") == g).cast("int"))
+    state = entities.groupBy("kind", "norm").agg(shown("m").alias("m"), shown("f").alias("f"))
+    gender = F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise("n")
+    state = state.select("kind", "norm", gender.alias("gender"), F.lit(0).alias("attempt"))
     state = written(state.withColumn("surrogate", _surrogate(key)), "surrogates")
-    real = state.select(pool.alias("pool"), _word(F.col("kind"), F.col("norm")).alias("surrogate")).distinct()
-    real = written(real.withColumn("real", F.lit(True)), "real-values")
+    real = state.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("real"))
     while True:
-        pooled = state.withColumn("pool", pool)
-        first = pooled.groupBy("pool", "surrogate").agg(F.min(F.struct("attempt", "kind", "norm")).alias("first"))
-        checked = pooled.join(first, ["pool", "surrogate"]).join(real, ["pool", "surrogate"], "left")
-        again = (F.col("real").isNotNull() & (F.col("attempt") < RELAXED)) | (F.col("first") != F.struct("attempt", "kind", "norm"))
-        checked = written(checked.select("kind", "norm", "attempt", "surrogate", again.alias("again")), "surrogates")
+        first = state.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "norm")).alias("first"))
+        checked = state.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
+        again = (F.col("real").isNotNull() & (F.col("attempt") < RELAXED)) | (F.col("first") != F.struct("attempt", "norm"))
+        checked = written(checked.select("kind", "norm", "gender", "attempt", "surrogate", again.alias("again")), "surrogates")
         if checked.filter("again").isEmpty():
             return checked.select("kind", "norm", "surrogate")
-        anew = checked.filter("again").select("kind", "norm", (F.col("attempt") + 1).alias("attempt"))
+        anew = checked.filter("again").select("kind", "norm", "gender", (F.col("attempt") + 1).alias("attempt"))
         state = checked.filter("not again").drop("again").unionByName(anew.withColumn("surrogate", _surrogate(key)))
 
 
@@ -233,6 +231,11 @@ def _as_initials(word: Column, name: Column) -> Column:
     return F.array_join(F.transform(F.split(word, ""), lambda c, i: F.when(c.rlike(r"^\p{L}$"), letter(i)).otherwise(c)), "")
 
 
+def _cased(word: Column, value: Column) -> Column:
+    """``value`` as the mention ``word`` is written: all in capitals, or with the first one."""
+    return F.when((F.length(word) > 1) & (word == F.upper(word)), F.upper(value)).otherwise(F.initcap(value))
+
+
 def _rewritten(mention: Column, known: Column) -> Column:
     """A mention in its own format with the surrogates of the map ``known`` (by kind and normal form)."""
     found = parts(mention)
@@ -240,12 +243,12 @@ def _rewritten(mention: Column, known: Column) -> Column:
     kind, norm, value = F.element_at(found, 1)["kind"], F.element_at(found, 1)["norm"], F.element_at(new, 1)
 
     def renamed(e: Column) -> Column:
-        word, value = _word(e["kind"], e["norm"]), F.element_at(known, F.concat_ws(":", e["kind"], e["norm"]))
-        return F.when(e["kind"].isNull(), word).when(word.contains("."), _as_initials(word, value)).otherwise(value)
+        word, value = e["word"], F.element_at(known, F.concat_ws(":", e["kind"], e["norm"]))
+        return F.when(e["kind"].isNull(), word).when(word.contains("."), _as_initials(word, value)).otherwise(_cased(word, value))
 
     name = F.concat(F.regexp_extract(mention, f"^({TITLED})", 1), F.array_join(F.transform(_name_entities(mention), renamed), " "))
     return (
-        F.when(kind.isin("given", "surname"), name)
+        F.when(kind == "name", name)
         .when(kind.isin("card", "phone", "iban"), _refilled(mention, value))
         .when(kind == "secret", F.concat(F.substring(mention, F.lit(1), F.length(mention) - F.length(norm)), value))
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(value))
@@ -272,23 +275,26 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     hits = docs.filter(has).select(F.struct(*columns).alias("row"), F.col("text").alias("body"))
     hits = hits.withColumn("hash", F.xxhash64("body")).withColumn("found", mentions(F.col("body")))
     hits = written(hits.withColumn("entities", F.array_distinct(F.flatten(F.transform("found", parts)))), "entities")
-    rows = hits.select("hash", F.explode("entities").alias("e")).select("hash", "e.kind", "e.norm").distinct()
+    rows = hits.select("hash", F.explode("entities").alias("e")).select("hash", "e.kind", "e.norm", "e.gender").distinct()
     rows = written(rows, "entity-rows")
     table = surrogate_table(rows, key)
     named = F.concat_ws(":", "kind", "norm")
-    entry = F.struct(named.alias("entity"), "surrogate", "kind", _word(F.col("kind"), F.col("norm")).alias("word"))
-    known = rows.join(table, ["kind", "norm"]).groupBy("hash").agg(F.collect_set(entry).alias("entries"))
+    entry = F.struct(named.alias("entity"), "surrogate", "kind", F.col("norm").alias("word"))
+    known = rows.select("hash", "kind", "norm").distinct().join(table, ["kind", "norm"]).groupBy("hash").agg(F.collect_set(entry).alias("entries"))
     filled = hits.join(known, "hash")
     mapping = F.map_from_entries(F.transform("entries", lambda e: F.struct(e["entity"], e["surrogate"])))
     new = let(mapping, lambda known: F.transform("found", lambda m: _rewritten(m, known)))
     filled = filled.withColumn("body", _interleaved(F.col("body"), F.lit(ANY), new))
-    # Later mentions of a name, without its title; the longest first, as one may start with another.
-    follows = lambda e: e["kind"].isin("given", "surname") & (F.length(e["word"]) > 1) & ~e["word"].contains(".")
+    # Later mentions of a name, without its title, in any case from a capital on; the longest first, as one may start
+    # with another.
+    follows = lambda e: (e["kind"] == "name") & (F.length(e["word"]) > 1) & ~e["word"].contains(".")
     ranked = lambda e: F.struct((-F.length(e["word"])).alias("rank"), *(e[c].alias(c) for c in ("entity", "surrogate", "kind", "word")))
     names = F.array_sort(F.transform(F.filter("entries", follows), ranked))
     filled = filled.withColumn("names", names)
-    bare = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join(F.transform("names", lambda e: e["word"]), "|"), F.lit(r")(?!\p{L})"))
-    other = F.transform(mentions(F.col("body"), bare), lambda m: F.get(F.filter("names", lambda e: e["word"] == m), F.lit(0))["surrogate"])
+    capital = r"(?<!\p{L})(?=(?:d['’])?\p{Lu})(?iu:"
+    bare = F.concat(F.lit(capital), F.array_join(F.transform("names", lambda e: e["word"]), "|"), F.lit(r")(?!\p{L})"))
+    value = lambda m: F.get(F.filter("names", lambda e: e["word"] == F.lower(m)), F.lit(0))["surrogate"]
+    other = F.transform(mentions(F.col("body"), bare), lambda m: F.coalesce(_cased(m, value(m)), m))
     body = F.when(F.size("names") > 0, _interleaved(F.col("body"), bare, other)).otherwise(F.col("body"))
     count = F.size("found") + F.when(F.size("names") > 0, F.size(mentions(F.col("body"), bare))).otherwise(0)
     kept = [body.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns]

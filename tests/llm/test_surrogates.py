@@ -75,7 +75,7 @@ def test_same_everywhere_and_by_key(docs_of):
 
 def test_surrogates_are_distinct_and_no_real_values(spark, monkeypatch):
     """With a generator that often repeats itself, collisions are mended and the first keeps its surrogate."""
-    rows = [("ip", f"10.0.0.{i}") for i in range(12)] + [("surname", f"Name{i}") for i in range(6)] + [("given", f"m:Name{i}") for i in range(6)]
+    rows = [("ip", f"10.0.0.{i}") for i in range(12)] + [("name", f"name{i}") for i in range(12)]
     entities = spark.createDataFrame(rows, "kind string, norm string")
     real = surrogates._surrogate
 
@@ -89,7 +89,7 @@ def test_surrogates_are_distinct_and_no_real_values(spark, monkeypatch):
     for r in found:
         pools.setdefault("ip" if r["kind"] == "ip" else "name", []).append(r["surrogate"])
     assert len(found) == 24 and all(len(set(v)) == len(v) for v in pools.values())
-    assert not set(pools["ip"]) & {r[1] for r in rows} and not set(pools["name"]) & {f"Name{i}" for i in range(6)}
+    assert not set(pools["ip"]) & {r[1] for r in rows} and not set(pools["name"]) & {f"name{i}" for i in range(12)}
 
 
 def test_a_used_up_format_still_gets_distinct_surrogates(spark):
@@ -112,3 +112,28 @@ def test_odd_rows(odd_docs, docs_of):
     rows = surrogates.pseudonymised(twice, "k").collect()
     assert len(rows) == 4 and sorted(r["replaced"] for r in rows) == [1, 1, 2, 3000]
     assert surrogates.pseudonymised(docs_of([]), "k").collect() == []
+
+
+def test_long_domains_and_odd_ends(docs_of):
+    texts = ["x@" + "a." * 100_000 + "com", "to a@b.com.", "to a@b.com-", "to a@b.co.2024 now", "to a@b-c.de, ok", "x@" + "a." * 100_000 + "1", "1 " * 100_000]
+    got = {r["doc_id"]: r["text"] for r in surrogates.pseudonymised(docs_of(list(enumerate(texts))), "k").collect()}
+    assert all(got[i] != texts[i] for i in range(5)) and got[6] == texts[6]
+    assert got[1].endswith(".com.") and got[2].endswith(".com-") and got[3].endswith(".2024 now") and "b-c.de" not in got[4]
+
+
+def test_one_person_keeps_one_name(docs_of):
+    """Titles of other gender, capitals, and a given name alone do not make another person."""
+    rows = replaced(docs_of([
+        (1, "Dr. Anna Weber left. Mrs. Anna Weber came, and ANNA WEBER went."), (2, "Mr. SMITH and Mr. Smith; Smith said SMITH is no smith."),
+        (3, "Mr. John Smith saw Mr. John, and John."), (4, "Mrs. McDonald, McDonald, MCDONALD and Mr. Anna"),
+    ]))
+    one = re.fullmatch(r"Dr\. (\w+) (\w+) left\. Mrs\. \1 \2 came, and (\w+) (\w+) went\.", rows[1]["text"])
+    assert one and (one[3], one[4]) == (one[1].upper(), one[2].upper()) and "Anna" not in rows[1]["text"]
+    assert one[1][0].isupper() and one[1][1:].islower()
+    two = re.fullmatch(r"Mr\. (\w+) and Mr\. (\w+); \2 said \1 is no smith\.", rows[2]["text"])
+    assert two and two[1] == two[2].upper() and two[2] != "Smith"
+    three = re.fullmatch(r"Mr\. (\w+) (\w+) saw Mr\. \1, and \1\.", rows[3]["text"])
+    assert three and three[2] == two[2] and three[1].lower().endswith(tuple(surrogates.ENDINGS["latin"]["m"]))
+    four = re.fullmatch(r"Mrs\. (\w+), \1, (\w+) and Mr\. (\w+)", rows[4]["text"])
+    assert four and four[2] == four[1].upper() and four[3] == one[1]
+    assert one[1].lower().endswith(tuple(surrogates.ENDINGS["latin"]["f"]))
