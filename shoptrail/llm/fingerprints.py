@@ -136,19 +136,21 @@ def against_next(docs: DataFrame) -> DataFrame:
 
     Next is by falling ``doc_id``, null last, after the last the first; rows of equal id go by their text's hash. The
     edited text has the last third of the characters replaced by the first as many (or all) of the next
-    document. Texts are shuffled once, by ranges of ids, and each range is read in order; where two ranges
-    meet, the two documents are compared in a small second step.
+    document. Texts are shuffled once, by ranges of id and hash, equal rows dealt at random, and each range is read in
+    order; where two ranges meet, the two documents are compared in a small second step.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    rows = rows.withColumns({"place": F.xxhash64("text"), "spread": F.rand(7)})
+    order = [F.col("doc_id").desc_nulls_last(), F.col("place").asc(), F.col("spread").asc()]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, order[0]).sortWithinPartitions(*order)
+    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = ranged.select("doc_id", "text", F.spark_partition_id().alias("range"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, before, edges = Powers(), None, []
+        powers, before, edges, number = Powers(), None, [], None
         names = [c.split()[0] for c in _PAIR.split(", ")]
         for batch in slices(batches):
-            out = []
+            out, number = [], batch.column("range")[0].as_py()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 own = fingerprint(text.encode(), powers)
                 if before is None:
@@ -157,17 +159,20 @@ def against_next(docs: DataFrame) -> DataFrame:
                     out.append(_compared(*before, text, own, powers))
                 before = (doc_id, text, own)
             columns = list(zip(*out)) if out else [[]] * len(names)
-            yield _with_edges(columns, names, [])
+            yield _with_edges(columns, names, [], number)
         if before is not None:
             edges.append((before[0], before[1], False))
-            yield _with_edges([[]] * len(names), names, edges)
-
-    found = written(ranged.mapInArrow(run, f"{_PAIR}, text string, first boolean"), "fingerprints")
-    # The first and last document of each range, in order: a last one is followed by the next range's first one.
-    edges = found.filter("first is not null").select("doc_id", "text", "first")
-    in_order = Window.orderBy(F.col("doc_id").desc_nulls_last(), F.col("first").desc())
-    top = F.first("text").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    met = edges.withColumn("following", F.coalesce(F.lead("text").over(in_order), top)).filter("not first")
+            yield _with_edges([[]] * len(names), names, edges, number)
+
+    found = written(ranged.mapInArrow(run, f"{_PAIR}, text string, first boolean, range int"), "fingerprints")
+    # A range's last document is followed by the first one of the next range that has any, after all by the very first.
+    edges = found.filter("first is not null").select("doc_id", "text", "first", "range")
+    in_order = Window.orderBy("range")  # over the numbers of ranges only
+    ranges = edges.filter("first").select("range")
+    top = F.first("range").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranges = ranges.select("range", F.coalesce(F.lead("range").over(in_order), top).alias("next"))
+    following = edges.filter("first").select(F.col("range").alias("next"), F.col("text").alias("following"))
+    met = edges.filter("not first").join(ranges, "range").join(following, "next")
 
     def join_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, names = Powers(), [c.split()[0] for c in _PAIR.split(", ")]
@@ -186,10 +191,12 @@ def against_next(docs: DataFrame) -> DataFrame:
 _TYPES = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64()]
 
 
-def _with_edges(columns: list, names: list[str], edges: list[tuple]) -> pa.RecordBatch:
-    """Results, then edge rows (id, text, whether it is the first of its range), which have nothing but these."""
+def _with_edges(columns: list, names: list[str], edges: list[tuple], number: int | None) -> pa.RecordBatch:
+    """Results, then edge rows (id, text, whether it is the first of its range), which have nothing but these and the
+    range's number."""
     n = len(columns[0])
     arrays = [pa.array([*c, *[None] * len(edges)], t) for c, t in zip(columns, _TYPES)]
     arrays[0] = pa.array([*columns[0], *(e[0] for e in edges)], pa.int64())
     text, first = pa.array([*[None] * n, *(e[1] for e in edges)], pa.string()), pa.array([*[None] * n, *(e[2] for e in edges)], pa.bool_())
-    return pa.RecordBatch.from_arrays([*arrays, text, first], [*names, "text", "first"])
+    ranges = pa.array([*[None] * n, *[number] * len(edges)], pa.int32())
+    return pa.RecordBatch.from_arrays([*arrays, text, first, ranges], [*names, "text", "first", "range"])

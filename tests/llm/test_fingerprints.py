@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shoptrail.llm import fingerprints as fp
 
@@ -53,7 +54,10 @@ def test_pieces_do_not_depend_on_their_place():
 
 
 def expected(rows):
-    ordered = sorted(rows, key=lambda r: -r[0])
+    return in_turn(sorted(rows, key=lambda r: -r[0]))
+
+
+def in_turn(ordered):
     for (doc_id, text), (_, following) in zip(ordered, [*ordered[1:], ordered[0]]):
         text, following = text or "", following or ""
         cut = len(text) // 3
@@ -75,6 +79,13 @@ def test_against_next_equals_brute_force(spark, partitions):
     assert found == sorted(expected([(r["doc_id"], r["text"]) for r in docs.collect()]))
 
 
+def test_an_id_with_a_third_of_the_rows_is_spread(docs_of):
+    rows = [(7, f"text {i} of one id, " * (1 + i % 3)) for i in range(60)] + [(7, "the same text again")] * 40 + [(i, f"own {i} " * 9) for i in range(100, 300)]
+    docs = docs_of(rows)
+    turn = docs.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text")).select("doc_id", "text").collect()
+    assert sorted(tuple(r) for r in fp.against_next(docs).collect()) == sorted(in_turn([tuple(r) for r in turn]))
+
+
 def test_small_and_odd_tables(odd_docs, docs_of):
     assert fp.against_next(docs_of([])).collect() == []
     one = [tuple(r) for r in fp.against_next(docs_of([(5, "abcdef")])).collect()]
