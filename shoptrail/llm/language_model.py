@@ -403,8 +403,11 @@ def fit(docs: DataFrame) -> tuple[LanguageModel, DataFrame]:
     tail_n -= np.bincount(_tail_class(head), listed[:HEAD], TAIL_CLASSES).astype(np.int64)
     tail_v -= np.bincount(_tail_class(head), minlength=TAIL_CLASSES)
     net = fresh(np.concatenate(([ends], listed[:HEAD])), tail_n)
-    first = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(WARM_DOCS).distinct()
-    warm = docs.join(F.broadcast(first), "doc_id", "left_semi").select("text").coalesce(1).sortWithinPartitions(F.xxhash64("text"))
+    first = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(WARM_DOCS)
+    warm = docs.select("doc_id", "text").join(F.broadcast(first), "doc_id", "left_semi")
+    # One text of each id comes to the task that warms up, so at most so many; all are searched where they are.
+    warm = warm.groupBy("doc_id").agg(F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    warm = warm.select("text").repartition(1).sortWithinPartitions(F.xxhash64("text"))
     net = _trained(warm, net, words, WARM_LANES, WARM_EVERY, WARM_RATE)
     net = _trained(docs, net, words, LANES, BACKPROP_EVERY, RATE)
     return LanguageModel(net, words, listed, ends, tokens, distinct, np.log(tail_n + tail_v + 1.0)), counts
