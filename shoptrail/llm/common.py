@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.session import work_folder
+from shoptrail.session import delete_folder, work_folder
 
 WORD = r"([^\x20\x09-\x0D]+)"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -45,12 +45,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, divisor: int,
     """``doc_id``, ``text`` and 0/1 ``label`` of labelled documents whose id's remainder is not ``held_out``.
 
     At most ``limit`` labels are used, the first by hash of their id. Null ids and labels are left out; of
-    repeated labels of a document the largest counts.
+    repeated labels of a document the largest counts, and of rows of one id the one whose text has the least hash,
+    so there are at most ``limit`` rows.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna()
     known = known.filter(remainder(F.col("doc_id"), divisor) != held_out)
     known = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    one = F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    return found.groupBy("doc_id", "label").agg(one)
 
 
 def written(table: DataFrame, name: str = "llm") -> DataFrame:
@@ -60,6 +63,12 @@ def written(table: DataFrame, name: str = "llm") -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(folder)
 
 
+def dropped(table: DataFrame) -> None:
+    """Remove the files of a ``written`` table that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        delete_folder(table.sparkSession, folder)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of text (one row at least)."""
     for batch in batches:

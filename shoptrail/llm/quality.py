@@ -182,7 +182,7 @@ def fit_documents(
 ) -> Additive:
     """A model of a label, from at most ``limit`` labelled rows (see ``training_rows``).
 
-    Only features of those rows come to the driver. A document that has several rows counts once for each.
+    Only features of those rows come to the driver.
     """
     rows = training_rows(docs, labels, label, divisor, held_out, limit).select("doc_id", "label", "text")
     columns = ", ".join(f"{name} double" for name in FEATURES)
@@ -194,9 +194,10 @@ def fit_documents(
                 [batch.column("doc_id"), batch.column("label"), *(pa.array(c) for c in x.T)], ["doc_id", "label", *FEATURES]
             )
 
-    got = rows.mapInArrow(measure, f"doc_id {dict(rows.dtypes)['doc_id']}, label int, {columns}").toPandas()
-    got = got.sort_values(["doc_id", *FEATURES])  # the fit must not depend on the order rows arrive in
-    return fit(got[FEATURES].to_numpy(float), (got["label"].to_numpy() == 1).astype(float))
+    got = rows.mapInArrow(measure, f"doc_id {dict(rows.dtypes)['doc_id']}, label int, {columns}").toArrow()
+    got = got.sort_by([(c, "ascending") for c in ("doc_id", *FEATURES)])  # the fit must not depend on the order rows arrive in
+    x = np.column_stack([got.column(c).to_numpy() for c in FEATURES]).astype(float)
+    return fit(x, (got.column("label").to_numpy() == 1).astype(float))
 
 
 def score(

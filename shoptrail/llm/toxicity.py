@@ -211,8 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int =
             forms = pa.array([patterns(text) for text in texts], pa.list_(pa.bool_()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), held, forms], ["doc_id", "held", "forms"])
 
-    found = rows.mapInArrow(look, f"doc_id {dict(rows.dtypes)['doc_id']}, held array<int>, forms array<boolean>").toPandas()
-    held = sorted((list(h), list(f)) for h, f in zip(found["held"], found["forms"]))  # whatever order they came in
+    found = rows.mapInArrow(look, f"doc_id {dict(rows.dtypes)['doc_id']}, held array<int>, forms array<boolean>").toArrow()
+    held = sorted(zip(found.column("held").to_pylist(), found.column("forms").to_pylist()))  # whatever order they came in
     forms = np.array([f for _, f in held], bool).reshape(len(held), len(PATTERNS))
     held = [h for h, _ in held]
     posterior, _, _ = label_model(votes(held, forms, chosen), share)

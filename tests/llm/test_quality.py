@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from shoptrail.llm import quality
+from shoptrail.llm import common, quality
 from shoptrail.llm.common import remainder
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -58,3 +58,12 @@ def test_without_labels_or_documents(spark, docs_of):
     docs = docs_of([(1, "text"), (2, None)])
     assert {r["score"] for r in quality.score(docs, quality.fit_documents(docs, labels)).collect()} == {0.5}
     assert quality.score(docs_of([]), quality.fit_documents(docs_of([]), labels)).collect() == []
+
+
+def test_a_labelled_id_gives_one_row(spark, docs_of):
+    """An id with a third of the rows brings one text, whatever order its rows come in."""
+    rows = [(7, f"text {i}") for i in range(50)] + [(7, None)] + [(i, "own") for i in range(100, 200)]
+    labels = spark.createDataFrame([(7, 1), (7, 0), (101, 0), (105, 1), (None, 1), (104, None)], "doc_id bigint, quality int")
+    one, two = (common.training_rows(docs_of(r), labels, "quality", 5, 9, 20).collect() for r in (rows, rows[::-1]))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two)) and sorted(r["doc_id"] for r in one) == [7, 101, 105]
+    assert {r["doc_id"]: r["label"] for r in one}[7] == 1
