@@ -11,7 +11,7 @@ from shop_rows import actions, values
 from shoptrail import schemas
 from shoptrail.plans import shop
 from shoptrail.sinks.jdbc import append_jdbc, jdbc_options
-from shoptrail.sinks.tables import first_rows, replace_table, written
+from shoptrail.sinks.tables import drop_table, first_rows, replace_table, written
 from shoptrail.sources.clicks import kafka_click_lines
 from shoptrail.sources.tables import parquet_scan, rows_table, table_scan, typed
 from shoptrail.session import remove_work_folders, work_folder
@@ -22,7 +22,13 @@ def test_replace_table(spark, tmp_path):
     table = replace_table(spark.createDataFrame([(2,), (3,)], "c long"), "replaced", str(tmp_path / "two"))
     assert table.columns == ["c"]
     assert values(spark.table("replaced")) == [(2,), (3,)]
-    spark.sql("DROP TABLE replaced")
+    drop_table(spark, "replaced")
+    drop_table(spark, "replaced")
+    # A plain table is replaced as well.
+    spark.createDataFrame([(1,)], "a long").write.saveAsTable("replaced")
+    assert values(replace_table(spark.createDataFrame([(5,)], "a long"), "replaced")) == [(5,)]
+    drop_table(spark, "replaced")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("replaced")]
 
 
 def test_a_scan_reads_only_the_days_and_columns_of_the_query(spark, tmp_path):
@@ -37,7 +43,7 @@ def test_a_scan_reads_only_the_days_and_columns_of_the_query(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan and ">= 2019-07-03" in plan and "<= 2019-07-05" in plan
     read = plan[plan.index("ReadSchema: ") :].splitlines()[0]
     assert read == "ReadSchema: struct<click_category_id:bigint,order_category_ids:string,pay_category_ids:string>"
-    spark.sql("DROP TABLE visits")
+    drop_table(spark, "visits")
 
 
 def test_date_bounds_are_pushed_to_a_table_without_partitions(spark, tmp_path):
@@ -90,10 +96,13 @@ def test_a_failed_replacement_leaves_the_old_table(spark):
     with pytest.raises(Exception, match="no"):
         replace_table(bad, "kept")
     assert values(spark.table("kept")) == [(1,), (2,)]
-    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept")] == ["kept"]
+    kept = lambda: [t.name.split("__")[0] for t in spark.catalog.listTables() if t.name.startswith("kept")]
+    assert kept() == ["kept", "kept"]  # the view and its table
     # A result may read from the table it replaces.
     assert values(replace_table(spark.table("kept").filter("a > 1"), "kept")) == [(2,)]
-    spark.sql("DROP TABLE kept")
+    assert kept() == ["kept", "kept"]
+    drop_table(spark, "kept")
+    assert kept() == []
 
 
 def test_first_rows(spark):
