@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.llm import decontaminate, mixing, near_dups, quality, surrogates
-from shoptrail.session import work_folder
+from shoptrail.session import delete_folder, work_folder
 
 KEY = "corpus-pipeline"
 
@@ -20,7 +20,9 @@ ORACLE_SQL = None
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier accepts; it is fitted on labelled rows of ``docs`` outside the held-out fifth."""
     model = quality.fit_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, name="_score", decided="_good").filter("_good = 1").select(*docs.columns)
+    free = "_" * (1 + max(map(len, docs.columns)))  # longer than any column, so none of that name
+    scored = quality.score(docs, model, name=f"{free}score", decided=f"{free}good")
+    return scored.filter(F.col(f"{free}good") == 1).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +59,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, for the table ``documents`` of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage, for the table ``documents`` of a folder. A stage's files go when the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
         result, folder = stage(spark, docs, sf_dir), work_folder(spark, "pipeline")
         result.write.parquet(folder)
         docs = spark.read.schema(result.schema).parquet(folder)
+        if before:
+            delete_folder(spark, before)
+        before = folder
     return docs
