@@ -61,10 +61,14 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.arrays()]).astype(np.float32)
 
+    def over(self, flat: np.ndarray) -> "Network":
+        """A network of this shape whose values are those of ``flat``, without a copy."""
+        ends = np.cumsum([a.size for a in self.arrays()])
+        return Network(*(part.reshape(a.shape) for part, a in zip(np.split(flat, ends[:-1]), self.arrays())))
+
     def of(self, flat: np.ndarray) -> "Network":
         """A network of this shape with other values."""
-        ends = np.cumsum([a.size for a in self.arrays()])
-        return Network(*(part.reshape(a.shape).copy() for part, a in zip(np.split(flat, ends[:-1]), self.arrays())))
+        return self.over(flat.copy())
 
 
 SYMBOLS = HEAD_CLASSES * CLASS_SIZE + TAIL_CLASSES
@@ -109,58 +113,80 @@ def _run(net: Network, symbols: np.ndarray, keep: np.ndarray, state: np.ndarray,
         added = np.ascontiguousarray(net.inputs[symbols[t]].T)
         before = state * keep[t]
         turned = turn @ before
-        gates = _sigmoid(added[: 2 * hidden] + turned[: 2 * hidden])
+        gates, offer = added[: 2 * hidden], added[2 * hidden :]
+        gates += turned[: 2 * hidden]
+        _sigmoid(gates)
         reset, update = gates[:hidden], gates[hidden:]
-        offer = np.tanh(added[2 * hidden :] + reset * turned[2 * hidden :])
-        state = offer + update * (before - offer)
+        offer += reset * turned[2 * hidden :]
+        np.tanh(offer, out=offer)
+        state = before - offer
+        state *= update
+        state += offer
         states[t] = state.T
         if trace:
             traced.append((before, reset, update, offer, turned[2 * hidden :]))
     return states, state.T, traced
 
 
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the first axis, added in the order in which numpy adds a row: by eights, then these, then the rest."""
+    whole = len(x) // 8 * 8
+    sums = x[:8] + x[8:16]
+    for i in range(16, whole, 8):
+        sums += x[i : i + 8]
+    while len(sums) > 1:
+        sums = sums[::2] + sums[1::2]
+    for row in x[whole:]:
+        sums[0] += row
+    return sums[0]
+
+
 def _chosen(logits: np.ndarray, at: np.ndarray, learn: bool) -> np.ndarray:
-    """Log probability of place ``at`` of each row; to learn, ``logits`` become the gradient for them."""
-    rows = np.arange(len(at))
-    logits -= logits.max(1, keepdims=True)
-    own = logits[rows, at]
+    """Log probability of place ``at`` of each column; to learn, ``logits`` become the gradient for them."""
+    columns = np.arange(len(at))
+    logits -= logits.max(0)
+    own = logits[at, columns]
     np.exp(logits, out=logits)
-    total = logits.sum(1)
+    total = _column_sums(logits)
     if learn:
-        logits /= total[:, None]
-        logits[rows, at] -= 1
+        logits /= total
+        logits[at, columns] -= 1
     return own - np.log(total)
 
 
 def _outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: Network | None = None):
-    """Log probability of each target symbol (of a tail class: of the class), and the gradient for the states."""
+    """Log probability of each target symbol (of a tail class: of the class), and the gradient for the states.
+
+    For probabilities tokens are the last axis and all words of the head one array, so that each step runs over long rows.
+    """
     learn = grads is not None
     head = targets < HEAD_CLASSES * CLASS_SIZE
     target_class = np.where(head, targets // CLASS_SIZE, targets - HEAD_CLASSES * (CLASS_SIZE - 1)).astype(np.uint8)
-    # Sorted by class, each class's rows are one block.
+    # Sorted by class, each class's tokens are one block, and those of the head come first.
     order = np.argsort(target_class, kind="stable")
     states, targets, target_class = states[order], targets[order], target_class[order]
     ends = np.searchsorted(target_class, np.arange(HEAD_CLASSES + 1))
-    logits = states @ net.classes
-    logits += net.class_bias
+    turned = np.ascontiguousarray(states.T)
+    logits = net.classes.T @ turned
+    logits += net.class_bias[:, None]
     logs = _chosen(logits, target_class, learn)
     back = None
     if learn:
-        grads.classes += states.T @ logits
-        grads.class_bias += logits.sum(0)
-        back = logits @ net.classes.T
-    for k in range(HEAD_CLASSES):
-        block = slice(ends[k], ends[k + 1])
-        own = states[block]
-        if not len(own):
-            continue
-        logits = own @ net.words[k]
-        logits += net.word_bias[k]
-        logs[block] += _chosen(logits, targets[block] % CLASS_SIZE, learn)
-        if learn:
-            grads.words[k] += own.T @ logits
-            grads.word_bias[k] += logits.sum(0)
-            back[block] += logits @ net.words[k].T
+        own = np.ascontiguousarray(logits.T)
+        grads.classes += states.T @ own
+        grads.class_bias += own.sum(0)
+        back = own @ net.classes.T
+    blocks = [(k, slice(ends[k], ends[k + 1])) for k in range(HEAD_CLASSES) if ends[k] < ends[k + 1]]
+    logits = np.empty((CLASS_SIZE, ends[-1]), logits.dtype)
+    for k, block in blocks:
+        np.matmul(net.words[k].T, turned[:, block], out=logits[:, block])
+        logits[:, block] += net.word_bias[k][:, None]
+    logs[: ends[-1]] += _chosen(logits, targets[: ends[-1]] % CLASS_SIZE, learn)
+    for k, block in blocks if learn else []:
+        own = np.ascontiguousarray(logits[:, block].T)
+        grads.words[k] += states[block].T @ own
+        grads.word_bias[k] += own.sum(0)
+        back[block] += own @ net.words[k].T
     out = np.empty_like(logs)
     out[order] = logs
     if learn:
@@ -235,10 +261,10 @@ def train(
     """One run over some documents (flat symbols, their lengths). ``memory`` sums squared gradients, in place."""
     if not len(lengths):
         return net
-    flat, zero = net.flat(), np.zeros_like(net.flat())
-    net = net.of(flat)
-    parts = net.arrays()
-    sums = Network(*net.arrays()).of(memory)
+    # Values, gradients and squares are flat, so that a window's step is a few operations on long arrays kept for all windows.
+    values = net.flat()
+    gradients, buffer = np.empty_like(values), np.empty_like(values)
+    net, grads = net.over(values), net.over(gradients)
     state = None
     for i, (at, inputs, keep, n) in enumerate(_windows(symbols, lengths, lanes, WINDOW)):
         state = np.zeros((n, net.turn.shape[0]), np.float32) if state is None else state[:n]
@@ -247,16 +273,17 @@ def train(
         if not learn:
             continue
         real = (at >= 0).ravel()
-        grads = net.of(zero)
+        gradients.fill(0)
         _, back = _outputs(net, states.reshape(-1, states.shape[2])[real], symbols[at.ravel()[real]], grads)
         whole = np.zeros((real.size, states.shape[2]), np.float32)
         whole[real] = back
         _back(net, inputs, keep, traced, whole.reshape(states.shape), grads)
-        for value, grad, squares in zip(parts, grads.arrays(), sums.arrays()):
-            grad /= max(1, int(real.sum()))
-            squares += grad * grad
-            value -= rate * grad / np.sqrt(squares + 1e-10)
-    memory[:] = sums.flat()
+        gradients /= max(1, int(real.sum()))
+        memory += np.multiply(gradients, gradients, out=buffer)
+        np.sqrt(np.add(memory, 1e-10, out=buffer), out=buffer)
+        gradients *= rate
+        gradients /= buffer
+        values -= gradients
     return net
 
 
@@ -300,9 +327,10 @@ def _tail_class(words: pa.Array) -> np.ndarray:
     """By the first byte and by a comma, a full stop or something else at the end; alike for equal words."""
     if not len(words):
         return np.zeros(0, np.int64)
-    ends = np.cumsum(pc.binary_length(words).to_numpy())
-    data = np.frombuffer(b"".join(pc.cast(words, pa.binary()).to_pylist()), np.uint8)
-    first, last = data[np.concatenate(([0], ends[:-1]))], data[ends - 1]
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)
+    first, last = data[at[:-1]], data[at[1:] - 1]
     return (first % FIRST_GROUPS) * 3 + np.select([last == 44, last == 46], [0, 1], 2).astype(np.int64)
 
 
@@ -310,15 +338,13 @@ def _tokens(texts: pa.Array, words: pa.Array):
     """Symbols of some texts, their lengths, the place among the listed ``words`` (-1: not listed; end: -2) of each
     token, the words, and where each text's words start and end."""
     found, at = split_words(texts)
-    coded = found.dictionary_encode()
-    listed = pc.fill_null(pc.index_in(coded.dictionary, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    listed = pc.fill_null(pc.index_in(found, value_set=words), -1).to_numpy(zero_copy_only=False)
     head = (listed >= 0) & (listed < HEAD)
-    symbol = np.where(head, listed + 1, HEAD + 1 + _tail_class(coded.dictionary)).astype(np.int32)
-    listed = listed.astype(np.int32)
-    codes, n_words = coded.indices.to_numpy(), at[1:] - at[:-1]
-    places = np.arange(len(codes)) + np.repeat(np.arange(len(n_words)), n_words)
-    symbols, known = np.zeros(len(codes) + len(n_words), np.int32), np.full(len(codes) + len(n_words), -2, np.int32)
-    symbols[places], known[places] = symbol[codes], listed[codes]
+    symbol = np.where(head, listed + 1, HEAD + 1 + _tail_class(found)).astype(np.int32)
+    n_words = at[1:] - at[:-1]
+    places = np.arange(len(found)) + np.repeat(np.arange(len(n_words)), n_words)
+    symbols, known = np.zeros(len(found) + len(n_words), np.int32), np.full(len(found) + len(n_words), -2, np.int32)
+    symbols[places], known[places] = symbol, listed
     return symbols, n_words + 1, known, found, at
 
 

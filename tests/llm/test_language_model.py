@@ -93,6 +93,51 @@ def test_every_token_is_learnt_from(monkeypatch):
     assert Counter(learnt) == Counter(symbols.tolist())
 
 
+@pytest.mark.parametrize("learn", [False, True])
+def test_words_of_all_classes_share_one_softmax(monkeypatch, learn):
+    """One over the classes, one over the words of all classes: not one for each class of a window."""
+    rng, net = np.random.default_rng(4), small_net()
+    real, shapes = lm._chosen, []
+
+    def chosen(logits, at, learn):
+        shapes.append(logits.shape)
+        return real(logits, at, learn)
+
+    monkeypatch.setattr(lm, "_chosen", chosen)
+    targets = np.concatenate((rng.integers(0, 400, 300), rng.integers(lm.HEAD + 1, lm.SYMBOLS, 200)))
+    states = rng.normal(size=(500, 4)).astype(np.float32)
+    lm._outputs(net, states, targets, net.of(np.zeros_like(net.flat())) if learn else None)
+    assert shapes == [(lm.HEAD_CLASSES + lm.TAIL_CLASSES, 500), (lm.CLASS_SIZE, 300)]
+
+
+@pytest.mark.parametrize("places", [16, 50, 64])
+def test_sums_over_places(places):
+    rows = np.random.default_rng(places).random((30, places)).astype(np.float32)
+    assert np.allclose(lm._column_sums(np.ascontiguousarray(rows.T)), rows.sum(1), rtol=1e-6)
+
+
+def test_one_window_moves_values_by_gradient_and_squares():
+    rng, net = np.random.default_rng(6), small_net()
+    before, lengths = net.flat(), np.full(8, 10)
+    symbols = rng.integers(0, 400, lengths.sum())
+    memory = np.full_like(before, 0.25)
+    found = lm.train(net, symbols, lengths, memory, rate=0.1, lanes=8)
+    ((at, inputs, keep, n),) = lm._windows(symbols, lengths, 8, lm.WINDOW)
+    grads = net.of(np.zeros_like(before))
+    states, _, traced = lm._run(net, inputs, keep, np.zeros((n, 4), np.float32), True)
+    _, back = lm._outputs(net, states.reshape(-1, 4), symbols[at.ravel()], grads)
+    lm._back(net, inputs, keep, traced, back.reshape(states.shape), grads)
+    mean = grads.flat() / len(symbols)
+    assert np.allclose(memory, 0.25 + mean**2, rtol=1e-6) and np.array_equal(net.flat(), before)
+    assert np.allclose(found.flat(), before - 0.1 * mean / np.sqrt(memory + 1e-10), rtol=1e-5, atol=1e-7)
+
+
+def test_tail_classes_of_a_slice():
+    texts = ["cut", "alpha,", "beta.", "é", "x", "gamma", ",", "cut"]
+    expected = [t.encode()[0] % lm.FIRST_GROUPS * 3 + {44: 0, 46: 1}.get(t.encode()[-1], 2) for t in texts]
+    assert lm._tail_class(pa.array(texts)[1:7]).tolist() == expected[1:7] and lm._tail_class(pa.array(texts)).tolist() == expected
+
+
 def test_probabilities_of_all_words_sum_to_one(spark, docs_of):
     """Over all known words, one unknown word of each tail class, and the end, after a given text."""
     docs = docs_of([(i, f"the cat sat on mat{i % 7}, and dog{i % 5}.") for i in range(40)])
