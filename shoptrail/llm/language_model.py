@@ -446,6 +446,8 @@ def score(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> DataFrame
     model. A null or empty text is its end alone. Rows are scored one by one, whatever their ids.
     """
     end_log = np.log(model.ends + 1.0)
+    # Products of matrices may round a column otherwise beside others; texts without words score alike in any batch.
+    end_alone = log_probabilities(model.net, np.zeros(1, np.int32), np.ones(1, np.int64))[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, logs = pa.array(model.words, pa.string()), np.log(model.counts + 1.0)
@@ -457,6 +459,7 @@ def score(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> DataFrame
             sums = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
             tail = symbols > HEAD
             own = log_probabilities(model.net, symbols, lengths)
+            own[lengths == 1] = end_alone
             own -= sums(np.where(tail, model.tail_logs[np.maximum(symbols - HEAD - 1, 0)], 0.0))
             log = logs[listed]
             rare = listed[listed != -2] == -1
